@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casewright.session import small_table
+
 NUMERIC, NOMINAL, ORDINAL = "numeric", "categorical", "ordinal"
 BOOLEAN, DATE, IDENTIFIER = "boolean", "date", "identifier"
 FEATURE, TARGET, ID, LEAK = "feature", "target", "identifier", "leak"
@@ -119,18 +121,11 @@ class Catalog:
             )
             for c in self.contracts
         ]
-        return spark.createDataFrame(rows, CONTRACT_SCHEMA)
-
-    def annotate(self, df: DataFrame) -> DataFrame:
-        """Attach kind and role to the schema metadata of the columns present."""
-        out = df
-        for name in df.columns:
-            if name in self:
-                contract = self[name]
-                out = out.withMetadata(
-                    name, {"kind": contract.kind, "role": contract.role}
-                )
-        return out
+        return small_table(spark, rows, CONTRACT_SCHEMA)
+
+    def metadata(self, name: str) -> dict[str, str]:
+        """Schema metadata of a column: its kind and role."""
+        return {"kind": self[name].kind, "role": self[name].role}
 
 
 def numeric(name: str, low: float, high: float, *, integer: bool = False, **extra) -> ColumnContract:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ def null_if_token(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 
 
 def nan_to_null(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
+    return F.nanvl(col, F.lit(None).cast("double"))
 
 
 def number(col: Column) -> Column:
@@ -35,12 +35,14 @@ def stripped(col: Column) -> Column:
 
 def within(value: Column, contract: ColumnContract) -> Column:
     """True where ``value`` respects the bounds; a missing bound is open, null stays null."""
-    test = value.isNotNull()
-    if contract.low is not None:
-        test = test & (value >= F.lit(float(contract.low)))
-    if contract.high is not None:
-        test = test & (value <= F.lit(float(contract.high)))
-    return F.when(value.isNotNull(), test)
+    low, high = contract.low, contract.high
+    if low is not None and high is not None:
+        return (value >= F.lit(float(low))) & (value <= F.lit(float(high)))
+    if low is not None:
+        return value >= F.lit(float(low))
+    if high is not None:
+        return value <= F.lit(float(high))
+    return F.when(value.isNotNull(), True)
 
 
 def clipped(value: Column, contract: ColumnContract) -> Column:
@@ -52,14 +54,19 @@ def clipped(value: Column, contract: ColumnContract) -> Column:
     return F.when(value.isNotNull(), out)
 
 
+def lookup(col: Column, values: Mapping[str, float]) -> Column:
+    """Value of a text in a small literal map; other texts are null."""
+    pairs = [F.lit(x) for label, value in values.items() for x in (label, float(value))]
+    return F.create_map(*pairs)[col]
+
+
 def level_code(col: Column, levels: Sequence[str]) -> Column:
     """Position of an ordered label, 0 first; labels outside ``levels`` are null."""
-    position = F.array_position(F.array(*[F.lit(x) for x in levels]), col)
-    return F.when(position > 0, (position - 1).cast("double"))
+    return lookup(col, {label: i for i, label in enumerate(levels)})
 
 
 def flag(col: Column) -> Column:
-    return F.when(col == "Yes", F.lit(1.0)).when(col == "No", F.lit(0.0))
+    return lookup(col, {"Yes": 1, "No": 0})
 
 
 def differs(col: Column, label: str) -> Column:

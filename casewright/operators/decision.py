@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-
-import math
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from casewright.functions.probability import argmax_class, tail_probability
 from casewright.operators.metrics import CLASSES, CUT
 from casewright.operators.ranking import WINDOW_ROWS, cumulative, value_at_rank
+from casewright.session import small_table, staged
 
 # Sweep grid, cost ratios, capacity shares, decision texts.
 GRID = tuple(round(i / 100, 2) for i in range(2, 99))
@@ -60,9 +61,14 @@ def threshold_sweep(
         .agg(F.count_if("_pos").alias("pos"), F.count_if(~F.col("_pos")).alias("neg"))
     )
     # Bucket 0 lies under the whole grid; buckets without rows still need a line.
-    lines = [(0, None), *[(i + 1, t) for i, t in enumerate(points)]]
-    table = df.sparkSession.createDataFrame(lines, "_bucket int, threshold double")
-    full = table.join(F.broadcast(hist), "_bucket", "left").na.fill(0, ["pos", "neg"])
+    zero = [(i, 0, 0) for i in range(len(points) + 1)]
+    lines = small_table(df.sparkSession, zero, "_bucket int, pos bigint, neg bigint")
+    full = (
+        hist.unionByName(lines)
+        .groupBy("_bucket")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .withColumn("threshold", F.get(F.array(*[F.lit(t) for t in points]), F.col("_bucket") - 1))
+    )
     everything = Window.partitionBy(F.lit(0))  # over len(grid) + 1 rows
     upward = everything.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, 0)
     tp, fp = F.sum("pos").over(upward), F.sum("neg").over(upward)
@@ -149,8 +155,9 @@ def capacity_analysis(
     cutting rank among the tied rows is looked up the same distributed way.
     """
     spark = df.sparkSession
-    rows = df.select(
-        F.col(key).alias("_key"), positive.alias("_pos"), F.col(score).alias("_score")
+    # Three narrow columns, written once because two or three passes follow.
+    rows = staged(
+        df.select(F.col(key).alias("_key"), positive.alias("_pos"), F.col(score).alias("_score"))
     )
     weights = {"n": F.lit(1), "pos": F.col("_pos").cast("bigint")}
     cum = cumulative(rows, "_score", weights, window_rows=window_rows)
@@ -163,29 +170,45 @@ def capacity_analysis(
         .withColumn("k", wanted)
         .where((n_above < F.col("k")) & (F.col("k") <= n_above + F.col("n")))
         .select(
-            "f", "k", "_score", "n", "pos", (F.col("k") - n_above).alias("take"),
-            pos_above.alias("pos_above"), F.col("pos_total").alias("p"), "n_total",
+            "f",
+            "k",
+            "_score",
+            "n",
+            "pos",
+            (F.col("k") - n_above).alias("take"),
+            pos_above.alias("pos_above"),
+            F.col("pos_total").alias("p"),
         )
     )
     edges = {r["f"]: r for r in boundary.collect()}
-    size = None
+    p = next((e["p"] for e in edges.values()), None)
+    if p is None:
+        p = rows.agg(F.count_if("_pos")).first()[0]
+
+    def tied_positives(edge) -> DataFrame:
+        """Positives among the first ``take`` of the tied cases, by key."""
+        tied = rows.where(F.col("_score") == F.lit(edge["_score"]))
+        if edge["n"] <= window_rows:
+            taken = tied.orderBy("_key").limit(edge["take"])
+        else:
+            last = value_at_rank(tied, "_key", edge["take"] - 1, window_rows=window_rows)
+            taken = tied.where(F.col("_key") <= F.lit(last.first()["_key"]))
+        return taken.agg(F.lit(edge["f"]).alias("f"), F.count_if("_pos").alias("caught"))
+
+    split = [e for e in edges.values() if 0 < e["pos"] and e["take"] < e["n"]]
+    inside = {}
+    if split:
+        inside = dict(reduce(DataFrame.union, [tied_positives(e) for e in split]).collect())
     out = []
-    for f in fractions:
-        edge = edges.get(float(f))
-        if edge is None:  # no capacity at all (or no rows)
-            if size is None:
-                size = rows.agg(F.count(F.lit(1)), F.count_if("_pos")).first()
-            out.append((float(f), 0, 1.0, 0, int(size[1])))
+    for f in map(float, fractions):
+        edge = edges.get(f)
+        if edge is None:  # no capacity at all
+            out.append((f, 0, 1.0, 0, int(p)))
             continue
-        caught = edge["pos_above"] + edge["pos"]
-        if edge["take"] < edge["n"]:
-            tied = rows.where(F.col("_score") == F.lit(edge["_score"]))
-            last = value_at_rank(tied, "_key", edge["take"] - 1, window_rows=window_rows)
-            last_key = last.first()["_key"]
-            inside = tied.where(F.col("_key") <= F.lit(last_key)).agg(F.count_if("_pos"))
-            caught = edge["pos_above"] + inside.first()[0]
-        out.append((float(f), int(edge["k"]), float(edge["_score"]), int(caught), int(edge["p"])))
-    table = spark.createDataFrame(
+        caught = edge["pos_above"] + inside.get(f, edge["pos"])
+        out.append((f, int(edge["k"]), float(edge["_score"]), int(caught), int(p)))
+    table = small_table(
+        spark,
         out,
         "capacity_fraction double, cases_progressed bigint, implied_threshold double, "
         "caught bigint, p bigint",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from casewright import contracts as C
 from casewright.contracts import Catalog
 from casewright.functions import cells
+from casewright.session import small_table
 
 # Names of the twelve feature groups.
 RAW_NUMERIC, ORDINAL_CODES, BOOLEAN_FLAGS = "raw_numeric", "ordinal_codes", "boolean_flags"
@@ -158,7 +159,7 @@ class FeatureSpec:
 
     def group_table(self, spark) -> DataFrame:
         rows = [(c, g, c in self.nominal) for c, g in self.groups.items()]
-        return spark.createDataFrame(rows, "feature string, feature_group string, nominal boolean")
+        return small_table(spark, rows, "feature string, feature_group string, nominal boolean")
 
 
 def compile_plan(

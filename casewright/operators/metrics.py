@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from casewright.functions.probability import tail_probability
 from casewright.operators.ranking import WINDOW_ROWS, cumulative
+from casewright.session import small_table
 
 CLASSES = (1, 2, 3, 4, 5, 6)
 CUT = 4
@@ -208,22 +209,37 @@ def confusion(
     df: DataFrame, y: str = "y", pred: str = "pred", classes: Sequence[int] = CLASSES
 ) -> DataFrame:
     """Rows ``severity, pred_1 .. pred_K`` for every class, zero-filled."""
-    spark = df.sparkSession
-    grid = spark.createDataFrame([(int(c),) for c in classes], "severity int")
+    grid = small_table(df.sparkSession, [(int(c),) for c in classes], "severity int")
+    cells = {f"pred_{c}": F.count_if(F.col(pred) == c) for c in classes}
     counts = df.groupBy(F.col(y).cast("int").alias("severity")).agg(
-        *[F.count_if(F.col(pred) == c).alias(f"pred_{c}") for c in classes]
+        *[cell.alias(name) for name, cell in cells.items()]
     )
-    return grid.join(F.broadcast(counts), "severity", "left").na.fill(0).orderBy("severity")
+    return _zero_filled(counts, grid, "severity")
 
 
 def triage_confusion(df: DataFrame, y: str = "y", pred: str = "pred", cut: int = CUT) -> DataFrame:
     """Two rows: true side of the cut, with counts of the predicted side."""
-    grid = df.sparkSession.createDataFrame([(False,), (True,)], "progressed boolean")
+    grid = small_table(df.sparkSession, [(False,), (True,)], "progressed boolean")
     counts = df.groupBy((F.col(y) >= cut).alias("progressed")).agg(
         F.count_if(F.col(pred) < cut).alias("pred_not_progressed"),
         F.count_if(F.col(pred) >= cut).alias("pred_progressed"),
     )
-    return grid.join(F.broadcast(counts), "progressed", "left").na.fill(0)
+    return _zero_filled(counts, grid, "progressed")
+
+
+def _zero_filled(counts: DataFrame, grid: DataFrame, key: str) -> DataFrame:
+    """Counts for every key of the grid; keys outside the grid are left out.
+
+    Zero rows are added and summed away: no join, so no null filter on a
+    computed key is pushed back into (and evaluated again under) the counts.
+    """
+    names = [c for c in counts.columns if c != key]
+    zeros = grid.select(
+        key, *[F.lit(0).cast("bigint").alias(n) for n in names], F.lit(1).alias("_grid")
+    )
+    every = counts.withColumn("_grid", F.lit(0)).unionByName(zeros)
+    summed = every.groupBy(key).agg(*[F.sum(n).alias(n) for n in (*names, "_grid")])
+    return summed.where(F.col("_grid") > 0).drop("_grid")
 
 
 def error_analysis(df: DataFrame, y: str = "y", pred: str = "pred", cut: int = CUT) -> DataFrame:

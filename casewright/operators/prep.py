@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from casewright.operators.features import FeatureSpec
 from casewright.operators.ranking import WINDOW_ROWS, cumulative, quantile_of
+from casewright.session import small_table
 
 # Rare levels below this count share one column; its name's suffix.
 MIN_FREQUENCY = 5
@@ -88,8 +89,8 @@ def imputed_moments(
     fill_rows = [
         (c, n, float(fills[n][c])) for n in masks for c in columns if fills[n].get(c) is not None
     ]
-    fill_df = df.sparkSession.createDataFrame(
-        fill_rows, "column string, training_set string, fill double"
+    fill_df = small_table(
+        df.sparkSession, fill_rows, "column string, training_set string, fill double"
     )
     joined = rows.select("column", "s.*").join(
         F.broadcast(fill_df), ["column", "training_set"], "left"

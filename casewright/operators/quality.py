@@ -206,11 +206,16 @@ def null_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 class CleanResult:
     """Lazy tables of one cleaning pass; nothing runs until one of them is used."""
 
+    source: DataFrame
+    catalog: Catalog
     frame: DataFrame
     audit: SchemaAudit
-    log: DataFrame
     dropped: list[str]
 
+    @property
+    def log(self) -> DataFrame:
+        return violation_log(self.source, self.catalog)
+
     @property
     def missingness(self) -> DataFrame:
         return missingness(self.frame)
@@ -274,5 +279,5 @@ def clean(
         return quarantined_category(contract) if name in texts else F.col(name)
 
     kept = [c for c in df.columns if c not in dropped]
-    frame = df.select(*[cleaned(c).alias(c) for c in kept])
-    return CleanResult(catalog.annotate(frame), audit, violation_log(df, catalog), dropped)
+    frame = df.select(*[cleaned(c).alias(c, metadata=catalog.metadata(c)) for c in kept])
+    return CleanResult(df, catalog, frame, audit, dropped)

@@ -22,6 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casewright.session import small_table
+
 # Distinct values one window task may hold.
 WINDOW_ROWS = 500_000
 FANOUT = 32
@@ -45,7 +47,7 @@ def _edges(df: DataFrame, by: Sequence[str], value: str, buckets: int) -> DataFr
     found = df.groupBy(*by).agg(
         F.percentile_approx(value, cuts, 10 * buckets).alias("_edges")
     )
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    return small_table(df.sparkSession, found.collect(), found.schema)
 
 
 def _bucket(value: Column, edges: Column, levels: int) -> Column:

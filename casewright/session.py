@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def local_session(name: str = "casewright", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -18,6 +22,7 @@ def local_session(name: str = "casewright", cores: str = "*", partitions: int =
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
         .getOrCreate()
     )
@@ -25,6 +30,17 @@ def local_session(name: str = "casewright", cores: str = "*", partitions: int =
     return spark
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A literal table (grids, edges, contracts): a local relation, not a scan job."""
+    types = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [() for _ in types]
+    data = pa.table(
+        [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, types)],
+        names=types.names,
+    )
+    return spark.createDataFrame(data, types)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

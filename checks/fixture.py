@@ -136,109 +136,94 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
-
-
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order: cells as they would be read, dirt included."""
-    lines = table(spark, sf_dir, "lineitem")
-    by_order = lines.groupBy("l_orderkey").agg(
-        F.sum("l_quantity").cast("bigint").alias("qty"),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.max((F.col("l_returnflag") == "R").cast("int")).alias("has_r"),
-        F.max((F.col("l_returnflag") == "A").cast("int")).alias("has_a"),
-        F.max((F.col("l_linestatus") == "O").cast("int")).alias("has_open"),
-        F.sum(_cents("l_extendedprice") * _cents("l_discount")).alias("disc_units"),
-        F.sum(_cents("l_extendedprice") * _cents("l_tax")).alias("tax_units"),
-        F.max("l_linenumber").alias("top_line"),
-        F.date_diff(F.max("l_shipdate"), F.min("l_shipdate")).alias("span"),
+    by_order = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(
+            F.expr("CAST(SUM(l_quantity) AS BIGINT) AS qty"),
+            F.expr("COUNT(*) AS n_lines"),
+            F.expr("MAX(INT(l_returnflag = 'R')) AS has_r"),
+            F.expr("MAX(INT(l_returnflag = 'A')) AS has_a"),
+            F.expr("MAX(INT(l_linestatus = 'O')) AS has_open"),
+            F.expr(
+                "SUM(BIGINT(ROUND(l_extendedprice * 100)) * BIGINT(ROUND(l_discount * 100)))"
+                " AS disc_units"
+            ),
+            F.expr(
+                "SUM(BIGINT(ROUND(l_extendedprice * 100)) * BIGINT(ROUND(l_tax * 100)))"
+                " AS tax_units"
+            ),
+            F.expr("MAX(l_linenumber) AS top_line"),
+            F.expr("DATEDIFF(MAX(l_shipdate), MIN(l_shipdate)) AS span"),
+        )
     )
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     base = (
         orders.join(customers, orders.o_custkey == customers.c_custkey)
         .join(by_order, orders.o_orderkey == by_order.l_orderkey, "left")
-        .withColumns(
-            {
-                "k": F.col("o_orderkey"),
-                "price": F.col("o_totalprice"),
-                "n_lines": F.coalesce("n_lines", F.lit(0)).cast("bigint"),
-                "has_r": F.coalesce("has_r", F.lit(0)),
-                "impact0": F.floor(F.col("o_totalprice") / 5000).cast("bigint") + 1,
-                "prio_idx": 5 - F.substring("o_orderpriority", 1, 1).cast("bigint"),
-                "serial": F.date_diff(
-                    F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date")
-                ).cast("bigint"),
-            }
+        .selectExpr(
+            "o_orderkey AS k",
+            "o_totalprice AS price",
+            "o_orderpriority AS prio",
+            "o_orderstatus AS st",
+            "c_mktsegment AS seg",
+            "c_acctbal AS bal",
+            "COALESCE(n_lines, 0L) AS n_lines",
+            "COALESCE(has_r, 0) AS has_r",
+            "COALESCE(has_a, 0) AS has_a",
+            "COALESCE(has_open, 0) AS has_open",
+            "qty",
+            "disc_units",
+            "tax_units",
+            "top_line",
+            "span",
+            "BIGINT(FLOOR(o_totalprice / 5000)) + 1 AS impact0",
+            "5 - BIGINT(SUBSTRING(o_orderpriority, 1, 1)) AS prio_idx",
+            "BIGINT(DATEDIFF(DATE(o_orderdate), DATE'1899-12-30')) AS serial",
         )
         .withColumn(
             "latent",
-            10 * F.col("impact0")
-            + 80 * F.col("prio_idx")
-            + 60 * F.col("has_r")
-            + 20 * F.col("n_lines")
-            + (F.col("k") * 7919) % 200,
+            F.expr("10*impact0 + 80*prio_idx + 60*has_r + 20*n_lines + (k*7919) % 200"),
+        )
+        .withColumn(
+            "severity",
+            F.expr(
+                "CASE "
+                + " ".join(f"WHEN latent < {c} THEN {i}" for i, c in enumerate(LATENT_CUTS, 1))
+                + " ELSE 6 END"
+            ),
         )
     )
-    k = F.col("k")
-
-    def every(n: int) -> Column:
-        return k % n == 0
-
-    def yes(test: Column) -> Column:
-        return F.when(test, "Yes").otherwise("No")
-
-    severity = F.lit(6)
-    for i, cut in reversed(list(enumerate(LATENT_CUTS))):
-        severity = F.when(F.col("latent") < cut, i + 1).otherwise(severity)
-    qty = F.col("qty")
-    return base.select(
+    return base.selectExpr(
         "k",
-        F.concat(F.lit("C-"), k.cast("string")).alias("case_ref"),
-        F.when(every(61), None)
-        .when(every(97), -3)
-        .when(every(101), 130)
-        .otherwise(F.col("impact0"))
-        .cast("bigint")
-        .alias("impact_score"),
-        F.when(every(59), None)
-        .otherwise(F.floor(F.col("price") / 6000).cast("bigint") + 1 + (k * 31) % 7)
-        .cast("bigint")
-        .alias("risk_score"),
-        F.when(every(67), None)
-        .when(every(103), -250.0)
-        .when(every(107), 900000.0)
-        .otherwise(F.col("price"))
-        .alias("loss_gbp"),
-        (F.col("disc_units") / 10000.0).alias("discount_gbp"),
-        (F.col("tax_units") / 10000.0).alias("tax_gbp"),
-        F.col("c_acctbal").alias("balance_gbp"),
-        qty.alias("duration_days"),
-        F.col("span").cast("bigint").alias("delay_days"),
-        F.col("n_lines").alias("n_failures"),
-        F.col("top_line").cast("bigint").alias("n_organisations"),
-        F.when(~every(43), F.col("o_orderpriority")).alias("priority_level"),
-        F.when(every(53), None)
-        .when(qty.isNull(), "None")
-        .when(qty < 50, "Minor")
-        .when(qty < 120, "Moderate")
-        .otherwise("Severe")
-        .alias("scale_level"),
-        F.when(every(89), "X")
-        .when(every(13), F.concat(F.lit(" "), F.col("o_orderstatus")))
-        .otherwise(F.col("o_orderstatus"))
-        .alias("route"),
-        F.when(every(31), None)
-        .when(every(7), "None")
-        .otherwise(F.col("c_mktsegment"))
-        .alias("segment"),
-        yes(F.col("has_r") == 1).alias("repeated_flag"),
-        yes(F.coalesce("has_a", F.lit(0)) == 1).alias("disputed_flag"),
-        yes(F.coalesce("has_open", F.lit(0)) == 1).alias("open_flag"),
-        F.col("serial").alias("created_serial"),
-        yes(severity >= 4).alias("investigated_flag"),
-        severity.alias("severity"),
+        "CONCAT('C-', k) AS case_ref",
+        "BIGINT(CASE WHEN k % 61 = 0 THEN NULL WHEN k % 97 = 0 THEN -3"
+        " WHEN k % 101 = 0 THEN 130 ELSE impact0 END) AS impact_score",
+        "CASE WHEN k % 59 != 0 THEN BIGINT(FLOOR(price / 6000)) + 1 + (k * 31) % 7 END"
+        " AS risk_score",
+        "CASE WHEN k % 67 = 0 THEN NULL WHEN k % 103 = 0 THEN -250D"
+        " WHEN k % 107 = 0 THEN 900000D ELSE price END AS loss_gbp",
+        "disc_units / 10000D AS discount_gbp",
+        "tax_units / 10000D AS tax_gbp",
+        "bal AS balance_gbp",
+        "qty AS duration_days",
+        "BIGINT(span) AS delay_days",
+        "n_lines AS n_failures",
+        "BIGINT(top_line) AS n_organisations",
+        "CASE WHEN k % 43 != 0 THEN prio END AS priority_level",
+        "CASE WHEN k % 53 = 0 THEN NULL WHEN qty IS NULL THEN 'None' WHEN qty < 50 THEN 'Minor'"
+        " WHEN qty < 120 THEN 'Moderate' ELSE 'Severe' END AS scale_level",
+        "CASE WHEN k % 89 = 0 THEN 'X' WHEN k % 13 = 0 THEN CONCAT(' ', st) ELSE st END AS route",
+        "CASE WHEN k % 31 = 0 THEN NULL WHEN k % 7 = 0 THEN 'None' ELSE seg END AS segment",
+        "IF(has_r = 1, 'Yes', 'No') AS repeated_flag",
+        "IF(has_a = 1, 'Yes', 'No') AS disputed_flag",
+        "IF(has_open = 1, 'Yes', 'No') AS open_flag",
+        "serial AS created_serial",
+        "IF(severity >= 4, 'Yes', 'No') AS investigated_flag",
+        "severity",
     )
 
 
@@ -430,7 +415,7 @@ def split_datasets(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     return frame.where(~later), frame.where(later)
 
 
-def latent(impact: Column, prio: Column, flag: Column, failures: Column) -> Column:
+def fixed_score(impact: Column, prio: Column, flag: Column, failures: Column) -> Column:
     """The fixed linear score, from cleaned cells with constant fills."""
     return (
         F.lit(10.0) * F.coalesce(impact, F.lit(48.0))
@@ -444,7 +429,7 @@ def latent(impact: Column, prio: Column, flag: Column, failures: Column) -> Colu
 def scored(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """``k, y, eta, proba, pred, p`` under constant coefficients, so nothing is fitted."""
     frame = cleaned(spark, sf_dir)
-    eta = latent(
+    eta = fixed_score(
         F.col("impact_score"),
         cells.level_code(F.col("priority_level"), PRIORITIES),
         cells.flag(F.col("repeated_flag")),
