@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("metrics", "decision")
+MODULES = ("metrics", "decision", "quality", "profiling")
 
 
 def load():

@@ -253,7 +253,7 @@ l AS (
 s AS (
   SELECT *, CAST(CASE WHEN latent < 420 THEN 1 WHEN latent < 640 THEN 2 WHEN latent < 840 THEN 3
                  WHEN latent < 1060 THEN 4 WHEN latent < 1250 THEN 5 ELSE 6 END AS INTEGER) AS severity FROM l),
-cases AS (
+cases AS MATERIALIZED (
 SELECT k, 'C-' || CAST(k AS VARCHAR) AS case_ref,
   CASE WHEN k % 61 = 0 THEN NULL WHEN k % 97 = 0 THEN -3 WHEN k % 101 = 0 THEN 130 ELSE impact0 END AS impact_score,
   CASE WHEN k % 59 = 0 THEN NULL ELSE CAST(FLOOR(price / 6000) AS BIGINT) + 1 + (k * 31) % 7 END AS risk_score,
@@ -316,7 +316,7 @@ def _clean_sql() -> str:
             parts.append(_category_sql(c))
         else:
             parts.append(c.name)
-    return "clean AS (SELECT " + ",\n  ".join(parts) + "\n  FROM cases)"
+    return "clean AS MATERIALIZED (SELECT " + ",\n  ".join(parts) + "\n  FROM cases)"
 
 
 CLEAN_CTE = CASES_CTE + ",\n" + _clean_sql()
@@ -375,7 +375,7 @@ f2 AS (SELECT *, """
     + " AS vulnerability, "
     + sum_sql("n_failures", "n_organisations", "repeated_flag")
     + """ AS failure_intensity FROM f1),
-features AS (SELECT k, case_ref, severity, """
+features AS MATERIALIZED (SELECT k, case_ref, severity, """
     + ", ".join(NUMERIC_COLUMNS)
     + ", priority_level_code, scale_level_code, repeated_flag, disputed_flag, open_flag,"
     + """ route, segment,
@@ -464,7 +464,7 @@ def _scored_sql() -> str:
    + 60*({flag_sql('repeated_flag')}) + 20*n_failures + 100) / CAST(100 AS DOUBLE) AS eta FROM clean),
 sc1 AS (SELECT *, {cum} FROM sc0),
 sc2 AS (SELECT *, {ps} FROM sc1),
-scored AS (SELECT *, {pred} AS pred, GREATEST(0, LEAST(1, p4 + p5 + p6)) AS p FROM sc2)"""
+scored AS MATERIALIZED (SELECT *, {pred} AS pred, GREATEST(0, LEAST(1, p4 + p5 + p6)) AS p FROM sc2)"""
 
 
 SCORED_CTE = CLEAN_CTE + ",\n" + _scored_sql()
