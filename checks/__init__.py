@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("metrics", "decision", "quality", "profiling")
+MODULES = ("metrics", "decision", "quality", "profiling", "featuring", "sources")
 
 
 def load():
