@@ -12,6 +12,12 @@ from casewright.contracts import ColumnContract
 # Cell texts that mean "missing". The word "None" is a category.
 NULL_TOKENS = ("", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "#N/A")
 
+# Fixed value: the characters that count as white space (Unicode included).
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 DAY_SECONDS = 86400
 
 
@@ -30,7 +36,7 @@ def number(col: Column) -> Column:
 
 def stripped(col: Column) -> Column:
     """Text without leading and trailing white space of any sort."""
-    return F.regexp_replace(col.cast("string"), r"^\s+|\s+$", "")
+    return F.btrim(col.cast("string"), F.lit(WHITE_SPACE))
 
 
 def within(value: Column, contract: ColumnContract) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.operators.features import FeatureSpec
-from casewright.operators.ranking import WINDOW_ROWS, cumulative, quantile_of
+from casewright.operators.ranking import MARGIN, WINDOW_ROWS, cumulative, quantile_of
 from casewright.session import small_table
 
 # Rare levels below this count share one column; its name's suffix.
@@ -23,22 +23,78 @@ MIN_FREQUENCY = 5
 RARE = "infrequent"
 
 
+# Share of the rows on either side of the middle that the median is looked for in.
+BAND = 0.04
+
+
 def medians(
     df: DataFrame,
     columns: Sequence[str],
     masks: Mapping[str, Column] | None = None,
     *,
+    band: float = BAND,
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Exact medians ``(column, <mask>...)`` of the non-null cells of each training set."""
+    """Exact medians ``(column, <mask>...)`` of the non-null cells of each training set.
+
+    Approximate quantiles fence off a band around the middle.  Cells under or
+    over it all become one value, so the exact running totals only sort the few
+    per cent inside.  A median that falls outside its band shows as infinite;
+    that column is then done again without a band, so the result is always exact.
+    """
     masks = masks or {"median": F.lit(1)}
-    flagged = df.select(*[m.cast("bigint").alias(n) for n, m in masks.items()], *columns)
-    long = flagged.unpivot(list(masks), list(columns), "column", "value")
-    weights = {n: F.col(n) for n in masks}
-    cum = cumulative(long, "value", weights, ["column"], window_rows=window_rows)
-    return cum.groupBy("column").agg(
-        *[quantile_of("value", n, 0.5).cast("double").alias(n) for n in masks]
+    flagged = df.select(
+        *[m.cast("bigint").alias(n) for n, m in masks.items()],
+        *[F.col(c).cast("double").alias(c) for c in columns],
     )
+    # One sketch per column, in long form: as one wide row they would not compile well.
+    sketched = (
+        flagged.select(*columns)
+        .unpivot([], list(columns), "column", "value")
+        .groupBy("column")
+        .agg(
+            F.approx_count_distinct("value").alias("d"),
+            F.percentile_approx("value", [0.5 - band, 0.5 + band], 2000).alias("q"),
+        )
+        .where(F.col("q").isNotNull())
+    )
+    sketch = {r["column"]: r for r in sketched.collect()}
+    known = [c for c in columns if c in sketch]
+    most = int(max([sketch[c]["d"] for c in known], default=0) * MARGIN)
+
+    def run(names: Sequence[str], fenced: bool) -> DataFrame:
+        cells = []
+        for c in names:
+            value = F.col(c)
+            if fenced:
+                low, high = sketch[c]["q"]
+                value = (
+                    F.when(value < F.lit(low), F.lit(float("-inf")))
+                    .when(value > F.lit(high), F.lit(float("inf")))
+                    .otherwise(value)
+                )
+            cells.append(value.alias(c))
+        long = flagged.select(*masks, *cells).unpivot(list(masks), list(names), "column", "value")
+        weights = {n: F.col(n) for n in masks}
+        cum = cumulative(
+            long, "value", weights, ["column"], window_rows=window_rows, distinct=most
+        )
+        return cum.groupBy("column").agg(
+            *[quantile_of("value", n, 0.5).cast("double").alias(n) for n in masks]
+        )
+
+    if not known:
+        return small_table(
+            df.sparkSession, [], "column string, " + ", ".join(f"{n} double" for n in masks)
+        )
+    rows = [tuple(r) for r in run(known, True).collect()]
+    # An infinite end of the band also turns an interpolated median into NaN.
+    missed = [r[0] for r in rows if any(v is not None and not np.isfinite(v) for v in r[1:])]
+    rows = [r for r in rows if r[0] not in missed]
+    if missed:
+        rows += [tuple(r) for r in run(missed, False).collect()]
+    schema = "column string, " + ", ".join(f"{n} double" for n in masks)
+    return small_table(df.sparkSession, rows, schema)
 
 
 def level_counts(

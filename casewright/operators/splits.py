@@ -35,11 +35,10 @@ def hash_rank(
     if buckets is None:
         buckets = _bucket_count(df.count())
     hashed = df.withColumn("_hash", order_hash(key, seed))
-    # High bits first, so bucket order is hash order.
-    width = (1 << 64) // buckets
-    signed = (F.col("_hash").cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)"))
-    bucket = F.floor(signed / F.lit(width).cast("decimal(20,0)")).cast("int")
-    hashed = hashed.withColumn("_bucket", F.lit(0) if buckets == 1 else bucket)
+    # High bits first (sign kept), so bucket order is hash order.
+    bits = int(math.log2(buckets))
+    bucket = F.shiftright("_hash", 64 - bits).cast("int") if bits else F.lit(0)
+    hashed = hashed.withColumn("_bucket", bucket)
 
     sizes = hashed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*by)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,10 @@ def local_session(name: str = "casewright", cores: str = "*", partitions: int =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # One-file test tables: let joins shuffle and split small files, so all cores get rows.
+        .config("spark.sql.autoBroadcastJoinThreshold", "512k")
+        .config("spark.sql.files.openCostInBytes", "256k")
+        .config("spark.hadoop.parquet.block.size", str(1 << 20))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
         .getOrCreate()
@@ -31,6 +37,25 @@ def local_session(name: str = "casewright", cores: str = "*", partitions: int =
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Not needed where the package is installed on the cluster or was passed with
+    ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if _SHIPPED.get("app") == sc.applicationId:
+        return
+    folder = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="casewright-py-")) / folder.name
+    archive = shutil.make_archive(str(target), "zip", folder.parent, folder.name)
+    sc.addPyFile(archive)  # copied to every executor by Spark
+    _SHIPPED["app"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A literal table (grids, edges, contracts): a local relation, not a scan job."""
     types = StructType.fromDDL(schema) if isinstance(schema, str) else schema
