@@ -23,12 +23,18 @@ def _bucket_count(rows: int) -> int:
     return max(1, min(MAX_BUCKETS, 1 << max(0, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS)))))
 
 
-def order_hash(key: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(int(seed)), F.col(key))
+def order_hash(key: str, seed: int | Column) -> Column:
+    start = seed if isinstance(seed, Column) else F.lit(int(seed))
+    return F.xxhash64(start.cast("int"), F.col(key))
 
 
 def hash_rank(
-    df: DataFrame, key: str, seed: int, by: Sequence[str] = (), *, buckets: int | None = None
+    df: DataFrame,
+    key: str,
+    seed: int | Column,
+    by: Sequence[str] = (),
+    *,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``_rank`` (from 0, in seeded hash order inside ``by``) and ``_size``."""
     by = list(by)
@@ -89,10 +95,15 @@ def repeated_stratified_folds(
     df: DataFrame, key: str, label: str, *, k: int = 5, repeats: int = 3, seed: int = 42
 ) -> DataFrame:
     """Add ``fold_0 .. fold_{repeats-1}``, one independent assignment per repeat."""
-    out = df
-    for r in range(repeats):
-        out = stratified_folds(out, key, label, k=k, seed=seed + r, name=f"fold_{r}")
-    return out
+    names = [f"fold_{r}" for r in range(repeats)]
+    # Only key and class are ranked; all repeats share one shuffle.
+    long = df.select(key, label, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r"))
+    ranked = hash_rank(long, key, F.lit(int(seed)) + F.col("_r"), [label, "_r"])
+    fold = F.pmod(F.col("_rank") + F.col(label).cast("bigint"), F.lit(k)).cast("int")
+    wide = ranked.groupBy(key).agg(
+        *[F.max(F.when(F.col("_r") == r, fold)).alias(n) for r, n in enumerate(names)]
+    )
+    return df.join(wide, key)
 
 
 def plain_folds(

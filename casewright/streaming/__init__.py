@@ -1,0 +1,5 @@
+"""No streaming operators: every stage of this library is a batch job.
+
+Cleaning (`operators.quality.clean(...).frame`), features and scoring with a
+fitted model are plain projections, so they also accept a streaming DataFrame.
+"""
