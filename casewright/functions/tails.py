@@ -62,12 +62,3 @@ def kolmogorov_p(distance: Column, n: Column, m: Column) -> Column:
 
     return run(distance.cast("double"), n.cast("double"), m.cast("double"))
 
-
-def normal_cdf(col: Column) -> Column:
-    """Standard normal distribution function (``math.erf`` over Arrow batches)."""
-
-    @F.pandas_udf("double")
-    def run(z: pd.Series) -> pd.Series:
-        return pd.Series([0.5 * math.erfc(-v / math.sqrt(2.0)) for v in z], dtype="float64")
-
-    return run(col)

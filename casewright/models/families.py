@@ -7,11 +7,14 @@ of them alike.  Imputation, encoding and scaling are fitted inside ``fit``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -23,7 +26,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright.functions.probability import FLOOR, count_below, share_of_total
-from casewright.functions.tails import normal_cdf
 from casewright.models import ordered_logit
 from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
@@ -107,7 +109,7 @@ class Multinomial:
 
 def fit_logistic(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
     """Multinomial logistic, ridge of strength 1/C on the total loss, balanced weights."""
-    options = {"C": 0.5, "maxIter": 5000, "balanced": True, **(params or {})}
+    options = {"C": 0.5, "maxIter": 5000, "tol": 1e-5, "balanced": True, **(params or {})}
     table, prep = training_table(
         df, spec, label, classes, scaled=True, balanced=options["balanced"]
     )
@@ -119,7 +121,7 @@ def fit_logistic(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> M
         # Spark averages the loss by total weight; the penalty is scaled alike.
         regParam=1.0 / (options["C"] * mass),
         maxIter=options["maxIter"],
-        tol=1e-7,
+        tol=options["tol"],
     ).fit(table)
     return Multinomial(prep, model)
 
@@ -306,9 +308,17 @@ def optimise_cuts(
 
 def interval_probabilities(score: Column, cuts: Sequence[float], sigma: float) -> Column:
     """Normal mass of the residual between the cuts, floored and normalised."""
-    below = [normal_cdf((F.lit(float(c)) - score) / F.lit(float(sigma))) for c in cuts]
-    parts = [below[0], *[b - a for a, b in zip(below, below[1:])], F.lit(1.0) - below[-1]]
-    return share_of_total(F.array(*[F.greatest(p, F.lit(FLOOR)) for p in parts]))
+    edges = [float(c) for c in cuts]
+
+    @F.pandas_udf("array<double>")
+    def run(values: pd.Series) -> pd.Series:
+        z = (np.array(edges)[None, :] - values.to_numpy()[:, None]) / sigma
+        below = 0.5 * np.vectorize(math.erfc)(-z / math.sqrt(2.0)) if len(z) else z
+        padded = np.hstack([np.zeros((len(z), 1)), below, np.ones((len(z), 1))])
+        parts = np.maximum(np.diff(padded, axis=1), FLOOR)
+        return pd.Series(list(parts / parts.sum(axis=1, keepdims=True)))
+
+    return run(score)
 
 
 @dataclass(frozen=True)

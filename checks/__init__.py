@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("metrics", "decision", "quality", "profiling", "featuring", "sources", "prep", "modelling")
+MODULES = ("metrics", "decision", "quality", "profiling", "featuring", "sources", "prep", "modelling", "evaluation", "explaining")
 
 
 def load():
