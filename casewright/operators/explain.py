@@ -237,7 +237,8 @@ def surrogate_rules(
         maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed
     ).fit(rows)
     agreement = tree.transform(rows).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")))
-    text = tree.toDebugString
+    # The first line names the run's model object; the rules follow it.
+    text = tree.toDebugString.split("\n", 1)[1]
     for j in reversed(range(len(names))):
         text = text.replace(f"feature {j} ", f"{names[j]} ")
     text = text.replace("Predict: 0.0", "-> CLOSE (not progressed)")

@@ -113,6 +113,16 @@ def has_other_than(name: str, group: str, column: str, label: str, **extra) -> D
     return Derived(name, group, lambda x: cells.differs(x[key], label), needs=(key,), **extra)
 
 
+def vulnerability_sum(
+    x: Inputs, code: str, other_than: tuple[str, str], flags: Sequence[str]
+) -> Column:
+    """Null-skipping sum of a level code, "has a category" and flags, whichever exist."""
+    text, label = other_than
+    parts = x.present([code])
+    parts += [cells.differs(c, label) for c in x.present([text])]
+    return cells.null_skipping_sum(*parts, *x.present(flags))
+
+
 @dataclass(frozen=True)
 class FeaturePlan:
     """What to derive from a cleaned table; ``regime`` B leaves internal assessments out."""

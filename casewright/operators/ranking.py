@@ -41,29 +41,43 @@ def distinct_bound(df: DataFrame, by: Sequence[str], value: str) -> int:
     return int(math.ceil((top or 0) * MARGIN))
 
 
-def _edges(df: DataFrame, by: Sequence[str], value: str, buckets: int) -> DataFrame:
+def _edges(df: DataFrame, by: Sequence[str], value: str, levels: int) -> DataFrame:
     """One row per group: sorted edges of near-equal buckets, fixed on the driver.
 
     Both branches of the prefix sum must see the same edges, so they are
-    collected once (groups x buckets numbers) and not left in the plan.
+    collected once (groups x buckets numbers) and not left in the plan.  They
+    are laid out by level: ``_e0`` splits the range into FANOUT parts, entry i
+    of ``_e1`` splits part i, and so on.
     """
+    buckets = FANOUT**levels
     cuts = [i / buckets for i in range(1, buckets)]
-    found = df.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, 10 * buckets).alias("_edges")
-    )
-    return small_table(df.sparkSession, found.collect(), found.schema)
+    found = df.groupBy(*by).agg(F.percentile_approx(value, cuts, 10 * buckets).alias("_cuts"))
+    rows = []
+    for row in found.collect():
+        flat = row["_cuts"]
+        layers = []
+        for level in range(levels):
+            step = FANOUT ** (levels - level - 1)
+            layers.append(
+                [
+                    [flat[(part * FANOUT + i) * step - 1] for i in range(1, FANOUT)]
+                    for part in range(FANOUT**level)
+                ]
+            )
+        rows.append((*[row[c] for c in by], *layers))
+    element = found.schema["_cuts"].dataType.elementType.simpleString()
+    kinds = dict(df.dtypes)
+    fields = [f"`{c}` {kinds[c]}" for c in by]
+    fields += [f"_e{level} array<array<{element}>>" for level in range(levels)]
+    return small_table(df.sparkSession, rows, ", ".join(fields))
 
 
-def _bucket(value: Column, edges: Column, levels: int) -> Column:
-    """Edges at or below the value, found level by level with ``FANOUT`` comparisons each."""
+def _bucket(value: Column, levels: int) -> Column:
+    """Edges at or below the value, found level by level with FANOUT comparisons each."""
     position = F.lit(0)
-    for level in reversed(range(levels)):
-        step = FANOUT**level
-        probes = F.transform(
-            F.sequence(F.lit(1), F.lit(FANOUT - 1)),
-            lambda i, base=position, step=step: F.get(edges, base + i * F.lit(step) - F.lit(1)),
-        )
-        position = position + F.size(F.filter(probes, lambda e: e <= value)) * F.lit(step)
+    for level in range(levels):
+        edges = F.get(F.col(f"_e{level}"), position)
+        position = position * F.lit(FANOUT) + F.size(F.filter(edges, lambda e: e <= value))
     return position
 
 
@@ -105,16 +119,15 @@ def cumulative(
     levels = 1
     while FANOUT**levels < min(MAX_BUCKETS, math.ceil(bound / window_rows)):
         levels += 1
-    edges = _edges(rows, by, value, FANOUT**levels)
+    edges = _edges(rows, by, value, levels)
+    layers = [f"_e{level}" for level in range(levels)]
     if by:
-        # One row per group, each with a bounded array.
+        # One row per group, each with a bounded number of edges.
         keyed = counts.join(F.broadcast(edges), on=by)
     else:
-        literal = F.array(*[F.lit(e) for e in edges.first()["_edges"]])
-        keyed = counts.withColumn("_edges", literal)
-    placed = keyed.select(
-        *by, value, *names, _bucket(F.col(value), F.col("_edges"), levels).alias("_bucket")
-    )
+        fixed = edges.first()
+        keyed = counts.withColumns({e: F.lit(fixed[e]) for e in layers})
+    placed = keyed.select(*by, value, *names, _bucket(F.col(value), levels).alias("_bucket"))
     # At most MAX_BUCKETS rows per group, whatever the size of the table.
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in names])
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
