@@ -31,7 +31,7 @@ from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
 from casewright.operators.metrics import CLASSES
 from casewright.operators.prep import Preprocessor, fit_preprocessor
-from casewright.session import small_table, staged
+from casewright.session import ensure_staged, small_table, staged
 
 # Independent fits submitted to Spark at the same time.
 PARALLEL_FITS = 4
@@ -61,6 +61,7 @@ def training_table(
 
     ``label`` is the 0-based position of the class; weights are balanced.
     """
+    df = ensure_staged(df)  # fitted statistics and the training rows both read it
     prep = fit_preprocessor(df, spec, scaled=scaled)
     place = F.array_position(F.array(*[F.lit(int(c)) for c in classes]), F.col(label).cast("int"))
     rows = df.where(F.col(label).isNotNull()).select(

@@ -23,14 +23,14 @@ from casewright.models.ordered_logit import cross_fit
 from casewright.operators import metrics as M
 from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
-from casewright.session import staged
+from casewright.session import ensure_staged, staged
 
 
 def with_folds(
     df: DataFrame, key: str, label: str, *, k: int = 5, repeats: int = 3, seed: int = 42
 ) -> tuple[DataFrame, list[str]]:
     """Stage the table once with its fold columns; every fold's fit reads from it."""
-    rows = staged(df)
+    rows = ensure_staged(df)
     folded = splits.repeated_stratified_folds(rows, key, label, k=k, repeats=repeats, seed=seed)
     return staged(folded), [f"fold_{r}" for r in range(repeats)]
 

@@ -93,9 +93,9 @@ def _finish(classes: Sequence[int], with_proba: bool) -> dict[str, Column]:
         "qwk": kappa_from_sums(*[col(c) for c in ("n", "s_y", "s_p", "s_yy", "s_pp", "s_d2")]),
         "mae": col("s_abs") / col("n"),
         "macro_f1": sum(f1_parts, F.lit(0.0)) / F.lit(float(len(classes))),
-        "balanced_accuracy": recall_total / seen,
-        "accuracy": col("hit") / col("n"),
-        "exact_or_adjacent": col("near") / col("n"),
+        "balanced_accuracy": _ratio(recall_total, seen, None),
+        "accuracy": _ratio(col("hit"), col("n"), None),
+        "exact_or_adjacent": _ratio(col("near"), col("n"), None),
         "severe_recall": _ratio(col("tp"), col("tp") + col("fn")),
         "severe_precision": _ratio(col("tp"), col("tp") + col("fp")),
         "severe_f1": _ratio(

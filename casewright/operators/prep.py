@@ -115,6 +115,11 @@ def modes(counts: DataFrame, weight: str = "n") -> DataFrame:
     return ranked.where(F.col("_r") == 1).select("column", F.col("level").alias("mode"))
 
 
+def _flags(masks: Mapping[str, Column]) -> list[Column]:
+    """Masks as booleans, whether given as conditions or as 0 / 1."""
+    return [m.cast("boolean") for m in masks.values()]
+
+
 def imputed_moments(
     df: DataFrame,
     columns: Sequence[str],
@@ -123,25 +128,57 @@ def imputed_moments(
 ) -> DataFrame:
     """Rows ``(column, training_set, n, mean, std)`` of the median-filled columns.
 
-    Population deviation.  Moments of the non-null cells (Spark's stable central
-    moments) are pooled with the point mass of the filled cells.
+    Population deviation.  One pass takes Spark's stable central moments per
+    column and combination of masks (folds overlap in few combinations); those
+    few rows are pooled per training set, and then with the point mass of the
+    filled cells.
     """
-    flagged = df.select(*[m.cast("bigint").alias(n) for n, m in masks.items()], *columns)
-    long = flagged.unpivot(list(masks), list(columns), "column", "value")
-    aggs = []
-    for n in masks:
-        cell = F.when(F.col(n) == 1, F.col("value"))
-        aggs.append(
+    names = list(masks)
+    bits = [F.when(m, F.lit(1 << i)).otherwise(F.lit(0)) for i, m in enumerate(_flags(masks))]
+    flagged = df.select(
+        sum(bits[1:], bits[0]).cast("bigint").alias("_set"),
+        *[F.col(c).cast("double").alias(c) for c in columns],
+    )
+    cells = (
+        flagged.unpivot(["_set"], list(columns), "column", "value")
+        .groupBy("column", "_set")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("value").alias("k"),
+            F.coalesce(F.avg("value"), F.lit(0.0)).alias("mu"),
+            F.coalesce(F.var_pop("value"), F.lit(0.0)).alias("v"),
+        )
+    )
+    # Means are taken around the column's own centre, so squares do not cancel.
+    column = Window.partitionBy("column")  # a row per combination of masks
+    centre = F.sum(F.col("k") * F.col("mu")).over(column) / F.greatest(
+        F.sum("k").over(column), F.lit(1)
+    )
+    cells = cells.withColumn("_c", centre).withColumn("_d", F.col("mu") - F.col("_c"))
+    sets = []
+    for i, name in enumerate(names):
+        inside = F.col("_set").bitwiseAND(F.lit(1 << i)) != 0
+        n = F.sum(F.when(inside, F.col("n")).otherwise(0))
+        k = F.sum(F.when(inside, F.col("k")).otherwise(0))
+        shift = F.try_divide(F.sum(F.when(inside, F.col("k") * F.col("_d")).otherwise(0.0)), k)
+        square = F.try_divide(
+            F.sum(
+                F.when(inside, F.col("k") * (F.col("v") + F.col("_d") * F.col("_d"))).otherwise(0.0)
+            ),
+            k,
+        )
+        sets.append(
             F.struct(
-                F.lit(n).alias("training_set"),
-                F.sum(n).alias("n"),
-                F.count(cell).alias("k"),
-                F.avg(cell).alias("mu"),
-                F.var_pop(cell).alias("v"),
-            ).alias(n)
+                F.lit(name).alias("training_set"),
+                n.alias("n"),
+                k.alias("k"),
+                F.when(k > 0, F.max("_c") + shift).alias("mu"),
+                F.when(k > 0, F.greatest(F.lit(0.0), square - shift * shift)).alias("v"),
+            )
         )
-    stats = long.groupBy("column").agg(*aggs)
-    rows = stats.select("column", F.explode(F.array(*[F.col(n) for n in masks])).alias("s"))
+    rows = cells.groupBy("column").agg(F.array(*sets).alias("sets")).select(
+        "column", F.explode("sets").alias("s")
+    )
     fill_rows = [
         (c, n, float(fills[n][c])) for n in masks for c in columns if fills[n].get(c) is not None
     ]
@@ -151,7 +188,7 @@ def imputed_moments(
     joined = rows.select("column", "s.*").join(
         F.broadcast(fill_df), ["column", "training_set"], "left"
     )
-    share = F.col("k") / F.col("n")
+    share = F.try_divide("k", "n")
     mu, fill = F.coalesce("mu", "fill"), F.coalesce("fill", F.lit(0.0))
     return joined.select(
         "column",

@@ -93,4 +93,11 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._casewright_staged = True
+    return back
+
+
+def ensure_staged(df: DataFrame) -> DataFrame:
+    """``df`` itself where it is a staged table already, else staged now."""
+    return df if getattr(df, "_casewright_staged", False) else staged(df)
