@@ -115,11 +115,10 @@ def elapsed_days(col: Column, reference: str) -> Column:
     return F.floor(gap / F.lit(DAY_SECONDS * 1_000_000)).cast("double")
 
 
-def date_parts(col: Column) -> dict[str, Column]:
-    """Year, month, quarter and day of the week with Monday as 0."""
-    return {
-        "year": F.year(col).cast("double"),
-        "month": F.month(col).cast("double"),
-        "quarter": F.quarter(col).cast("double"),
-        "dayofweek": F.weekday(col).cast("double"),
-    }
+DATE_PARTS = ("year", "month", "quarter", "dayofweek")
+
+
+def date_part(col: Column, part: str) -> Column:
+    """Year, month, quarter or day of the week with Monday as 0."""
+    get = {"year": F.year, "month": F.month, "quarter": F.quarter, "dayofweek": F.weekday}
+    return get[part](col).cast("double")

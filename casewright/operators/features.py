@@ -55,7 +55,9 @@ class Derived:
 class Inputs:
     """Expressions a derived feature may use: raw numbers, flags, texts, earlier features."""
 
-    def __init__(self, columns: Iterable[str], features: dict[str, Column]) -> None:
+    def __init__(
+        self, columns: Iterable[str], features: dict[str, Callable[[], Column]]
+    ) -> None:
         self._columns = set(columns)
         self._features = features
 
@@ -67,7 +69,7 @@ class Inputs:
         """``num:x`` numeric cell, ``flag:x`` Yes/No as 1/0, ``text:x`` the text; else a feature."""
         kind, _, column = name.partition(":")
         if not column:
-            return self._features[name]
+            return self._features[name]()
         cell = F.col(column)
         return {"num": cells.number, "flag": cells.flag, "text": lambda c: c}[kind](cell)
 
@@ -172,17 +174,17 @@ class FeatureSpec:
         return small_table(spark, rows, "feature string, feature_group string, nominal boolean")
 
 
-def compile_plan(
+def _layout(
     columns: Sequence[str], plan: FeaturePlan
-) -> tuple[dict[str, Column], FeatureSpec]:
-    """Feature expressions and their spec, from column names alone."""
+) -> tuple[dict[str, Callable[[], Column]], FeatureSpec]:
+    """What each feature will be, without building any expression."""
     catalog = plan.catalog
     full = plan.regime == "A"
-    features: dict[str, Column] = {}
+    features: dict[str, Callable[[], Column]] = {}
     groups: dict[str, str] = {}
     inputs = Inputs(columns, features)
 
-    def add(name: str, group: str, value: Column) -> None:
+    def add(name: str, group: str, value: Callable[[], Column]) -> None:
         features[name] = value
         groups[name] = group
 
@@ -192,18 +194,21 @@ def compile_plan(
         ]
 
     for c in usable(C.NUMERIC):
-        add(c, PROXIES if c in plan.internal else RAW_NUMERIC, cells.number(F.col(c)))
+        group = PROXIES if c in plan.internal else RAW_NUMERIC
+        add(c, group, lambda c=c: cells.number(F.col(c)))
     for c in usable(C.ORDINAL):
-        code = cells.level_code(F.col(c), catalog.levels(c))
-        add(f"{c}_code", PROXIES if c in plan.internal else ORDINAL_CODES, code)
+        group = PROXIES if c in plan.internal else ORDINAL_CODES
+        add(f"{c}_code", group, lambda c=c: cells.level_code(F.col(c), catalog.levels(c)))
     for c in usable(C.BOOLEAN):
-        add(c, BOOLEAN_FLAGS, cells.flag(F.col(c)))
+        add(c, BOOLEAN_FLAGS, lambda c=c: cells.flag(F.col(c)))
     for c in usable(C.NOMINAL):
-        add(c, NOMINAL, F.col(c))
+        add(c, NOMINAL, lambda c=c: F.col(c))
     for c in [c for c in catalog.columns(C.DATE) if c in columns]:
-        add(f"{plan.date_prefix}_age_days", DATE_PARTS, cells.elapsed_days(F.col(c), plan.reference_date))
-        for part, value in cells.date_parts(F.col(c)).items():
-            add(f"{plan.date_prefix}_{part}", DATE_PARTS, value)
+        age = f"{plan.date_prefix}_age_days"
+        add(age, DATE_PARTS, lambda c=c: cells.elapsed_days(F.col(c), plan.reference_date))
+        for part in cells.DATE_PARTS:
+            name = f"{plan.date_prefix}_{part}"
+            add(name, DATE_PARTS, lambda c=c, part=part: cells.date_part(F.col(c), part))
     for item in plan.derived:
         if item.internal and not full:
             continue
@@ -211,16 +216,24 @@ def compile_plan(
             continue
         if item.any_of and not any(n in inputs for n in item.any_of):
             continue
-        add(item.name, item.group, item.build(inputs))
+        add(item.name, item.group, lambda item=item: item.build(inputs))
     for c in plan.indicators:
         if c in columns and (full or c not in plan.internal):
-            add(f"{c}_missing", MISSING, F.col(c).isNull().cast("double"))
+            add(f"{c}_missing", MISSING, lambda c=c: F.col(c).isNull().cast("double"))
 
     nominal = tuple(c for c, g in groups.items() if g == NOMINAL)
     numeric = tuple(c for c in groups if c not in nominal)
     return features, FeatureSpec(numeric, nominal, groups, plan.regime)
 
 
+def compile_plan(
+    columns: Sequence[str], plan: FeaturePlan
+) -> tuple[dict[str, Column], FeatureSpec]:
+    """Feature expressions and their spec, from column names alone."""
+    features, spec = _layout(columns, plan)
+    return {name: build() for name, build in features.items()}, spec
+
+
 def engineer(
     df: DataFrame, plan: FeaturePlan, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, FeatureSpec]:
@@ -234,8 +247,8 @@ def engineer(
 
 
 def spec_of(columns: Sequence[str], plan: FeaturePlan) -> FeatureSpec:
-    """The spec from column names alone; no data is read."""
-    return compile_plan(columns, plan)[1]
+    """The spec from column names alone; no data is read and no session is needed."""
+    return _layout(columns, plan)[1]
 
 
 def split_target(df: DataFrame, catalog: Catalog) -> tuple[DataFrame, DataFrame]:

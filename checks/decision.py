@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casewright.functions.probability import ordered_probabilities
 from casewright.operators import decision as D
 from casewright.operators import metrics as M
 from checks.fixture import scored, with_scored
 from checks.metrics import POINT_SQL, r, rounded
 from checks.registry import query
 
-SEVERE = F.col("y") >= M.CUT
+
+
+def severe():
+    return F.col("y") >= M.CUT
+
+
 THRESHOLD = 0.2
 GRID_SQL = "(SELECT CAST(i AS DOUBLE) / 100 AS t FROM range(2, 99) g(i))"
 
@@ -28,7 +32,7 @@ COST_SQL = (
     ),
 )
 def c1(spark, sf_dir):
-    return rounded(D.expected_cost(scored(spark, sf_dir), SEVERE, F.col("pred") >= M.CUT, 5.0))
+    return rounded(D.expected_cost(scored(spark, sf_dir), severe(), F.col("pred") >= M.CUT, 5.0))
 
 
 def _sweep_cte() -> str:
@@ -56,7 +60,7 @@ _SWEEP_OUT = ", ".join(
 
 @query("c2_threshold_sweep", f"{_sweep_cte()}\nSELECT {_SWEEP_OUT} FROM sweep")
 def c2(spark, sf_dir):
-    return rounded(D.threshold_sweep(scored(spark, sf_dir), SEVERE, "p"))
+    return rounded(D.threshold_sweep(scored(spark, sf_dir), severe(), "p"))
 
 
 def _points_sql(ratios) -> str:
@@ -73,13 +77,13 @@ SELECT ratio AS cost_ratio, threshold, {r('CAST(tp AS DOUBLE) / np', 'severe_rec
 
 @query("c3_operating_point", _points_sql([5]))
 def c3(spark, sf_dir):
-    sweep = D.threshold_sweep(scored(spark, sf_dir), SEVERE, "p")
+    sweep = D.threshold_sweep(scored(spark, sf_dir), severe(), "p")
     return rounded(D.operating_points(sweep, [5.0]))
 
 
 @query("c4_operating_points", _points_sql([3, 5, 10]))
 def c4(spark, sf_dir):
-    sweep = D.threshold_sweep(scored(spark, sf_dir), SEVERE, "p")
+    sweep = D.threshold_sweep(scored(spark, sf_dir), severe(), "p")
     return rounded(D.operating_points(sweep))
 
 
@@ -99,7 +103,7 @@ FROM cap GROUP BY f""",
 )
 def c5(spark, sf_dir):
     # Scores are compared at full precision; only the report is rounded.
-    return rounded(D.capacity_analysis(scored(spark, sf_dir), SEVERE, "p", "k"))
+    return rounded(D.capacity_analysis(scored(spark, sf_dir), severe(), "p", "k"))
 
 
 def _side(classes) -> str:
