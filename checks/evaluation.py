@@ -149,7 +149,7 @@ def e29(spark, sf_dir):
     )
     table = V.baseline_ladder(
         frame, spec, raw, "impact_score", "severity", "k",
-        k=2, params={"lightgbm": {"maxIter": 4, "stepSize": 0.3}},
+        k=2, params={"lightgbm": {"maxIter": 4, "stepSize": 0.3}, "logistic": {"maxIter": 60}},
     )
     return rounded(table)
 

@@ -50,7 +50,8 @@ ROUNDS = {
     "xgboost": {"maxIter": 6, "stepSize": 0.3},
     "lightgbm": {"maxIter": 6, "stepSize": 0.3},
 }
-STACK = {"xgboost": {"maxIter": 3, "stepSize": 0.3}, "lightgbm": {"maxIter": 3, "stepSize": 0.3}}
+FEW = {"maxIter": 3, "stepSize": 0.3}
+STACK = {"xgboost": FEW, "lightgbm": FEW, "logistic": {"maxIter": 60}}
 
 
 def frame_for_fit(spark, sf_dir) -> tuple[DataFrame, ft.FeatureSpec]:
@@ -381,7 +382,9 @@ def m16(spark, sf_dir):
     """Every row is scored once, by a model that did not see it."""
     frame, spec = frame_for_fit(spark, sf_dir)
     folded, columns = V.with_folds(frame, "k", "severity", k=3, repeats=1)
-    oof = V.out_of_fold(folded, "logistic", spec, "severity", "k", columns, 3)
+    oof = V.out_of_fold(
+        folded, "logistic", spec, "severity", "k", columns, 3, params={"maxIter": 60}
+    )
     counts = staged(oof).withColumnRenamed("y", "severity")
     ids = counts.agg(F.count_distinct("id").alias("n_ids"))
     return rounded(M.join_groups(quality(counts), ids, []))
