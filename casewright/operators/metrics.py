@@ -217,7 +217,7 @@ def confusion(
     return _zero_filled(counts, grid, "severity")
 
 
-def triage_confusion(df: DataFrame, y: str = "y", pred: str = "pred", cut: int = CUT) -> DataFrame:
+def boundary_confusion(df: DataFrame, y: str = "y", pred: str = "pred", cut: int = CUT) -> DataFrame:
     """Two rows: true side of the cut, with counts of the predicted side."""
     grid = small_table(df.sparkSession, [(False,), (True,)], "progressed boolean")
     counts = df.groupBy((F.col(y) >= cut).alias("progressed")).agg(

@@ -43,58 +43,61 @@ def medians(
     that column is then done again without a band, so the result is always exact.
     """
     masks = masks or {"median": F.lit(1)}
-    flagged = df.select(
-        *[m.cast("bigint").alias(n) for n, m in masks.items()],
-        *[F.col(c).cast("double").alias(c) for c in columns],
-    )
-    # One sketch per column, in long form: as one wide row they would not compile well.
-    sketched = (
-        flagged.select(*columns)
-        .unpivot([], list(columns), "column", "value")
-        .groupBy("column")
+    columns = list(columns)
+    long = _long_numbers(df, columns, {n: m.cast("bigint") for n, m in masks.items()})
+    # Approximate fences and distinct counts, one row per column.
+    fences = (
+        long.where(F.col("value").isNotNull())
+        .groupBy("_j")
         .agg(
-            F.approx_count_distinct("value").alias("d"),
-            F.percentile_approx("value", [0.5 - band, 0.5 + band], 2000).alias("q"),
+            F.approx_count_distinct("value").alias("_d"),
+            F.percentile_approx("value", [0.5 - band, 0.5 + band], 2000).alias("_q"),
         )
-        .where(F.col("q").isNotNull())
+        .select("_j", "_d", F.get("_q", F.lit(0)).alias("_low"), F.get("_q", F.lit(1)).alias("_high"))
+        .collect()
+    )
+    schema = "column string, " + ", ".join(f"{n} double" for n in masks)
+    if not fences:
+        return small_table(df.sparkSession, [], schema)
+    most = int(max(f["_d"] for f in fences) * MARGIN)
+    table = small_table(
+        df.sparkSession,
+        [(f["_j"], f["_low"], f["_high"]) for f in fences],
+        "_j int, _low double, _high double",
     )
-    sketch = {r["column"]: r for r in sketched.collect()}
-    known = [c for c in columns if c in sketch]
-    most = int(max([sketch[c]["d"] for c in known], default=0) * MARGIN)
-
-    def run(names: Sequence[str], fenced: bool) -> DataFrame:
-        cells = []
-        for c in names:
-            value = F.col(c)
-            if fenced:
-                low, high = sketch[c]["q"]
-                value = (
-                    F.when(value < F.lit(low), F.lit(float("-inf")))
-                    .when(value > F.lit(high), F.lit(float("inf")))
-                    .otherwise(value)
-                )
-            cells.append(value.alias(c))
-        long = flagged.select(*masks, *cells).unpivot(list(masks), list(names), "column", "value")
+
+    def run(rows: DataFrame) -> list[tuple]:
         weights = {n: F.col(n) for n in masks}
-        cum = cumulative(
-            long, "value", weights, ["column"], window_rows=window_rows, distinct=most
-        )
-        return cum.groupBy("column").agg(
+        cum = cumulative(rows, "value", weights, ["_j"], window_rows=window_rows, distinct=most)
+        found = cum.groupBy("_j").agg(
             *[quantile_of("value", n, 0.5).cast("double").alias(n) for n in masks]
         )
+        return [tuple(r) for r in found.collect()]
 
-    if not known:
-        return small_table(
-            df.sparkSession, [], "column string, " + ", ".join(f"{n} double" for n in masks)
-        )
-    rows = [tuple(r) for r in run(known, True).collect()]
+    fenced = (
+        F.when(F.col("value") < F.col("_low"), F.lit(float("-inf")))
+        .when(F.col("value") > F.col("_high"), F.lit(float("inf")))
+        .otherwise(F.col("value"))
+    )
+    rows = run(long.join(F.broadcast(table), "_j").withColumn("value", fenced))
     # An infinite end of the band also turns an interpolated median into NaN.
     missed = [r[0] for r in rows if any(v is not None and not np.isfinite(v) for v in r[1:])]
-    rows = [r for r in rows if r[0] not in missed]
     if missed:
-        rows += [tuple(r) for r in run(missed, False).collect()]
-    schema = "column string, " + ", ".join(f"{n} double" for n in masks)
-    return small_table(df.sparkSession, rows, schema)
+        rows = [r for r in rows if r[0] not in missed] + run(long.where(F.col("_j").isin(*missed)))
+    return small_table(df.sparkSession, [(columns[r[0]], *r[1:]) for r in rows], schema)
+
+
+def _long_numbers(
+    df: DataFrame, columns: Sequence[str], keep: Mapping[str, Column]
+) -> DataFrame:
+    """``(keep..., _j, value)``: one row per cell, the column by its position.
+
+    An array and posexplode instead of unpivot: for tens of columns unpivot
+    compiles into a method too large for the JVM to optimise.
+    """
+    cells = F.array(*[F.col(c).cast("double") for c in columns])
+    kept = [m.alias(n) for n, m in keep.items()]
+    return df.select(*kept, F.posexplode(cells).alias("_j", "value"))
 
 
 def level_counts(
@@ -135,19 +138,17 @@ def imputed_moments(
     """
     names = list(masks)
     bits = [F.when(m, F.lit(1 << i)).otherwise(F.lit(0)) for i, m in enumerate(_flags(masks))]
-    flagged = df.select(
-        sum(bits[1:], bits[0]).cast("bigint").alias("_set"),
-        *[F.col(c).cast("double").alias(c) for c in columns],
-    )
+    columns = list(columns)
     cells = (
-        flagged.unpivot(["_set"], list(columns), "column", "value")
-        .groupBy("column", "_set")
+        _long_numbers(df, columns, {"_set": sum(bits[1:], bits[0]).cast("bigint")})
+        .groupBy("_j", "_set")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count("value").alias("k"),
             F.coalesce(F.avg("value"), F.lit(0.0)).alias("mu"),
             F.coalesce(F.var_pop("value"), F.lit(0.0)).alias("v"),
         )
+        .withColumn("column", F.get(F.array(*[F.lit(c) for c in columns]), F.col("_j")))
     )
     # Means are taken around the column's own centre, so squares do not cancel.
     column = Window.partitionBy("column")  # a row per combination of masks

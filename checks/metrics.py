@@ -157,7 +157,7 @@ def e20(spark, sf_dir):
 
 
 @query(
-    "e20b_confusion_triage",
+    "e20b_confusion_boundary",
     with_scored(
         "SELECT g.progressed, COUNT(s.k) FILTER (WHERE s.pred < 4) AS pred_not_progressed,"
         " COUNT(s.k) FILTER (WHERE s.pred >= 4) AS pred_progressed"
@@ -166,7 +166,7 @@ def e20(spark, sf_dir):
     ),
 )
 def e20b(spark, sf_dir):
-    return M.triage_confusion(scored(spark, sf_dir))
+    return M.boundary_confusion(scored(spark, sf_dir))
 
 
 _BUCKETS = {
