@@ -45,8 +45,10 @@ from casewright.llm.common import (
 )
 from casewright.session import staged
 
-# Documents in a block of a key that many unlinked documents share.
-BLOCK = 64
+# Up to FEW documents a key, pairs across components are joined as rows; beyond,
+# blocks of about BLOCK documents are compared inside a task.
+FEW = 64
+BLOCK = 512
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -160,14 +162,16 @@ def _block_pairs(num: int, den: int):
         bits = [np.frombuffer(x, np.uint64) for x in group["bits"].to_pylist()]
         c1, c2 = group["c1"][0].as_py(), group["c2"][0].as_py()
         left, right = np.flatnonzero(block == c1), np.flatnonzero(block == c2)
+        shortest = min(map(len, bits))
+        folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest)) for x in bits])
         out_a, out_b = [], []
         for i in left:
             js = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) | (c1 != c2))]
             js = js[(size[js] * den >= size[i] * num) & (size[i] * den >= size[js] * num)]
-            for j in js:
-                if _close(sketch_distance(bits[i], bits[j]), size[i], size[j], num, den):
-                    out_a.append(min(ids[i], ids[j]))
-                    out_b.append(max(ids[i], ids[j]))
+            apart = np.bitwise_count(folded[js] ^ folded[i]).sum(axis=1, dtype=np.int64)
+            js = js[_close(apart, size[js], size[i], num, den)]
+            out_a.extend(np.minimum(ids[js], ids[i]).tolist())
+            out_b.extend(np.maximum(ids[js], ids[i]).tolist())
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
@@ -205,7 +209,6 @@ def jaccard_components(
     vertex. Other columns are not read.
     """
     num, den = threshold
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
     sketched = staged(
         map_batches(rows, _sketches(shingle, num, den), "id bigint, n bigint, finger bigint, bits binary, keys binary")
@@ -260,7 +263,7 @@ def jaccard_components(
         placed.where("size > 2").groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
     )
     rest = staged(placed.join(several.select("key"), "key", "left_semi"))
-    few = rest.where(F.col("size") <= BLOCK)
+    few = rest.where(F.col("size") <= FEW)
     pairs = (
         few.alias("x")
         .join(few.alias("y"), "key")
@@ -269,7 +272,7 @@ def jaccard_components(
         .distinct()
     )
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    many = rest.where(F.col("size") > BLOCK).withColumn("blocks", blocks)
+    many = rest.where(F.col("size") > FEW).withColumn("blocks", blocks)
     many = many.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     units = many.join(sketch.withColumnRenamed("id", "rep"), "rep").withColumn("other", other)
@@ -289,7 +292,6 @@ def jaccard_components(
     label = vertex.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "finger", "n", F.coalesce("component", "rep").alias("component_id")
     )
-    del spark
     return (
         sketched.join(label, ["finger", "n"], "left")
         .select(
