@@ -16,7 +16,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +25,9 @@ from casewright.llm.common import maybe_broadcast, word_count
 from casewright.session import staged
 
 # Documents a shard holds on average: what one window task sorts.
-SHARD_ROWS = 100_000
-CANDIDATES = 64
+SHARD_ROWS = 1_000
+CANDIDATES = 128
+PASSES = 5
 
 
 def ranked(df: DataFrame, by: str, name: str, parts: int = 16) -> DataFrame:
@@ -67,58 +67,138 @@ def capped_targets(sources: DataFrame, total: float, most: float) -> DataFrame:
         level = (total - used) / weight
 
 
-def _round(votes: Column, divisor: Column) -> Column:
-    return F.floor(votes / divisor + 0.5)
+def sainte_lague(parties: DataFrame, votes: str, seats: str, key: str, group: str) -> DataFrame:
+    """Add ``quota``: the ``seats`` of each ``group`` (a column, equal in a group) by ``votes``.
 
-
-def sainte_lague(parties: DataFrame, votes: str, seats: str, key: Sequence[str], within: Sequence[str]) -> DataFrame:
-    """Add ``quota``: ``seats`` (a column, equal in a group) given to the rows of each group.
-
-    The quota is round(votes / divisor) at the divisor that fills the seats; if
-    equal quotients meet there, they are served in the order of ``key``.
-    Divisors of all groups are narrowed together, ``CANDIDATES`` a pass.
+    A quota is round(votes / divisor) at the divisor that fills the seats. All
+    groups narrow their divisor together, ``CANDIDATES`` tries a pass, as sums
+    over the parties. Where equal quotients meet at the end, parties are served
+    in the order of the unique column ``key``.
     """
-    group = list(within)
-    votes_c, seats_c = F.col(votes).cast("double"), F.col(seats).cast("double")
+    v, n_seats = F.col(votes).cast("double"), F.col("_seats").cast("double")
     live = staged(parties)
-    # Between these two divisors the rounded quotients go from at least the seats to fewer.
-    range_ = live.groupBy(*group).agg(
-        F.max(seats_c).alias("_seats"), F.sum(votes_c).alias("_votes"), F.count("*").alias("_n")
+    range_ = live.groupBy(group).agg(
+        F.max(seats).alias("_seats"), F.sum(v).alias("_v"), F.max(v).alias("_most"), F.count("*").alias("_n")
     )
-    range_ = range_.withColumn("_lo", F.col("_votes") / (F.col("_seats") + F.col("_n") / 2 + 1))
-    range_ = staged(range_.withColumn("_hi", F.col("_votes") / F.greatest(F.col("_seats") - F.col("_n") / 2, F.lit(0.25)) * 2 + 1))
-    steps = F.explode(F.sequence(F.lit(1), F.lit(CANDIDATES - 1)))
-    for _ in range(9):
-        tried = range_.select(*group, "_seats", "_lo", "_hi", steps.alias("_i")).withColumn(
-            "_d", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_i") / CANDIDATES
+    # Rounding moves the sum by at most half a seat a party.
+    half = F.col("_n") / 2
+    low = F.greatest(F.col("_v") / (n_seats + half + 1), F.lit(1e-12))
+    high = F.when(n_seats > half, F.col("_v") / (n_seats - half) * 1.000001).otherwise(2 * F.col("_most"))
+    range_ = staged(range_.select(group, "_seats", low.alias("_lo"), F.greatest(high, low * 2).alias("_hi")))
+    step = F.explode(F.sequence(F.lit(1), F.lit(CANDIDATES - 1)))
+    for _ in range(PASSES):
+        tried = live.select(group, v.alias("_v")).join(maybe_broadcast(range_), group)
+        tried = tried.select("*", step.alias("_i")).groupBy(group, "_i", "_seats", "_lo", "_hi")
+        filled = tried.agg(F.sum(F.floor(F.col("_v") / _divisor() + 0.5)).alias("_sum")).withColumn("_d", _divisor())
+        enough = F.col("_sum") >= F.col("_seats")
+        range_ = staged(
+            filled.groupBy(group, "_seats").agg(
+                F.coalesce(F.max(F.when(enough, F.col("_d"))), F.max("_lo")).alias("_lo"),
+                F.coalesce(F.min(F.when(~enough, F.col("_d"))), F.max("_hi")).alias("_hi"),
+            )
         )
-        grid = tried.groupBy(*group, "_seats", "_lo", "_hi").agg(F.array_sort(F.collect_list("_d")).alias("_ds"))
-        sums = live.join(F.broadcast(grid) if not group else maybe_broadcast(grid, 10_000), group) if group else live.crossJoin(F.broadcast(grid))
-        at = [F.sum(_round(votes_c, F.col("_ds")[i])).alias(f"_s{i}") for i in range(CANDIDATES - 1)]
-        total = sums.groupBy(*group, "_seats", "_lo", "_hi", "_ds").agg(*at)
-        lo, hi = F.col("_lo"), F.col("_hi")
-        for i in range(CANDIDATES - 1):
-            lo = F.when(F.col(f"_s{i}") >= F.col("_seats"), F.col("_ds")[i]).otherwise(lo)
-        for i in reversed(range(CANDIDATES - 1)):
-            hi = F.when(F.col(f"_s{i}") < F.col("_seats"), F.col("_ds")[i]).otherwise(hi)
-        range_ = staged(total.select(*group, "_seats", lo.alias("_lo"), hi.alias("_hi")))
-    both = live.join(range_, group) if group else live.crossJoin(F.broadcast(range_))
-    both = both.withColumn("quota", _round(votes_c, F.col("_lo")).cast("bigint")).withColumn(
-        "_tied", (F.col("quota") - _round(votes_c, F.col("_hi"))).cast("bigint")
+    full = live.join(maybe_broadcast(range_), group).withColumn("_q", F.floor(v / F.col("_lo") + 0.5).cast("bigint"))
+    full = staged(full.withColumn("_tied", (F.col("_q") - F.floor(v / F.col("_hi") + 0.5)).cast("bigint")))
+    over = full.groupBy(group).agg((F.sum("_q") - F.max("_seats")).cast("bigint").alias("_over")).where("_over > 0")
+    order = Window.partitionBy(group).orderBy(F.col(key).desc())
+    less = full.where("_tied > 0").join(over, group).withColumn("_run", F.sum("_tied").over(order))
+    less = less.select(
+        key, F.least("_tied", F.greatest(F.col("_over") - F.col("_run") + F.col("_tied"), F.lit(0))).alias("_less")
+    )
+    return full.join(less, key, "left").select(
+        *parties.columns, (F.col("_q") - F.coalesce("_less", F.lit(0))).alias("quota")
+    )
+
+
+def _divisor() -> Column:
+    return F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_i") / CANDIDATES
+
+
+def mix_sources(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    block: int = 32,
+    seed: int = 42,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``(id, *carry, source, size, source_size, target, taken, pieces)``, a row per row of ``docs``.
+
+    ``size`` counts the words of the text (null: 0), ``taken`` those the mix
+    takes, repeats counted; ``pieces`` lists them as word offsets [start, end)
+    and how often each is taken. Sources weigh by ``weights`` in the order of
+    their code points, a null source last. No document gives more than ``most``
+    (rounded up) times its size, and a source misses its target by less than a
+    block a shard. Repeated rows and rows that share an id are
+    separate documents; null ids are kept. Other columns are not read.
+    """
+    source = F.when(F.col(source_col).isNull(), F.lit("b")).otherwise(F.concat(F.lit("a"), F.col(source_col)))
+    rows = docs.select(
+        F.col(id_col).alias("_id"),
+        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)],
+        F.col(source_col).alias("_s"),
+        source.alias("party"),
+        word_count(F.col(text_col)).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(id_col)).alias("_h"),
+    )
+    narrow = rows.select("party", "size", "_h")
+    sources = narrow.groupBy("party").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
+    listed = F.array(*[F.lit(int(w)) for w in weights])
+    sources = ranked(sources, "party", "_rank")
+    sources = staged(sources.withColumn("weight", F.element_at(listed, (F.col("_rank") % len(weights) + 1).cast("int"))))
+    total = share * (sources.agg(F.sum("source_size")).first()[0] or 0)
+    sources = capped_targets(sources, total, most)
+    sources = sources.withColumn("_all", F.lit(0)).withColumn("_blocks", F.lit(round(total / block)).cast("bigint"))
+    sources = sainte_lague(sources, "target", "_blocks", "party", "_all").withColumnRenamed("quota", "source_blocks")
+    sources = sources.withColumn("_shards", F.ceil(F.col("_rows") / SHARD_ROWS).cast("bigint"))
+    sources = maybe_broadcast(staged(sources.select("party", "source_size", "target", "source_blocks", "_shards")))
+
+    placed = rows.join(sources, "party").withColumn(
+        "shard", F.concat_ws(":", F.pmod(F.col("_h"), F.col("_shards")).cast("string"), "party")
+    )
+    shards = placed.groupBy("shard", "party").agg(F.sum("size").alias("shard_size"), F.max("source_blocks").alias("_seats_in"))
+    shards = sainte_lague(shards, "shard_size", "_seats_in", "shard", "party")
+    in_shard = F.ceil(F.col("shard_size") / block).cast("bigint")
+    quota = F.least(F.col("quota"), in_shard * F.lit(int(-(-most // 1))))
+    shards = shards.select("shard", in_shard.alias("_n"), quota.alias("_q"))
+    # Evenly spaced from a seeded start: block i is taken floor((i+1)q+o / n) - floor(iq+o / n) times.
+    shards = staged(shards.withColumn("_o", F.pmod(F.xxhash64(F.lit(seed), "shard"), F.greatest("_n", F.lit(1)))))
+
+    order = Window.partitionBy("shard").orderBy("_h", "_id", "size")
+    lined = placed.withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    lined = lined.withColumn("_start", F.col("_end") - F.col("size")).join(maybe_broadcast(shards), "shard")
+
+    def count(i):
+        return F.floor((i * F.col("_q") + F.col("_o")) / F.greatest("_n", F.lit(1))).cast("bigint")
+
+    first, last = F.floor(F.col("_start") / block), F.floor((F.col("_end") - 1) / block)
+    pieces = F.transform(
+        F.sequence(first, last),
+        lambda i: F.struct(
+            F.greatest(i * block - F.col("_start"), F.lit(0)).alias("start"),
+            F.least((i + 1) * block - F.col("_start"), F.col("size")).alias("end"),
+            (count(i + 1) - count(i)).alias("times"),
+        ),
+    )
+    pieces = F.when(F.col("size") > 0, F.filter(pieces, lambda p: p["times"] > 0)).otherwise(
+        F.array().cast("array<struct<start:bigint,end:bigint,times:bigint>>")
     )
-    both = staged(both)
-    over = both.groupBy(*group).agg((F.sum("quota") - F.max("_seats")).cast("bigint").alias("_over"))
-    tied = both.where("_tied > 0")
-    last = Window.partitionBy(*group).orderBy(*[F.col(k).desc_nulls_first() for k in key])
-    back = tied.join(over.where("_over > 0"), group) if group else tied.crossJoin(F.broadcast(over))
-    back = back.withColumn("_taken", F.sum("_tied").over(last)).select(
-        *key,
-        F.least(F.col("_tied"), F.greatest(F.col("_over") - F.col("_taken") + F.col("_tied"), F.lit(0))).alias("_less"),
+    taken = F.aggregate(
+        "pieces", F.lit(0).cast("bigint"), lambda a, p: a + (p["end"] - p["start"]) * p["times"]
     )
-    keyed = [both[k].eqNullSafe(back[k]) for k in key]
-    cond = keyed[0]
-    for c in keyed[1:]:
-        cond = cond & c
-    return both.join(back, cond, "left").select(
-        *[both[c] for c in parties.columns], (F.col("quota") - F.coalesce("_less", F.lit(0))).alias("quota")
+    out = lined.withColumn("pieces", pieces).withColumn("taken", taken)
+    return out.select(
+        F.col("_id").alias(id_col),
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)],
+        *([] if source_col in carry else [F.col("_s").alias(source_col)]),
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        "pieces",
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright.llm.common import table
-from casewright.session import ship_package
+from casewright.session import ship_package, small_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +47,100 @@ def op7(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
         F.size("repeats").alias("n_repeats"),
     )
+
+
+@query("op3_decontamination")
+def op3(spark, sf_dir):
+    from casewright.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+URL_SQL = r"""
+WITH cut AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(rest, '^[^/?#]*', 0), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages)
+),
+rules(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+judged AS (
+  SELECT page_id, host, path,
+    (SELECT arg_max(rule_host || rule_path || ' ' || rule_verdict, length(rule_host || rule_path)) FROM rules
+     WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS best
+  FROM cut)
+SELECT page_id, host, path, split_part(best, ' ', 1) AS rule, coalesce(split_part(best, ' ', 2), 'allow') AS verdict
+FROM judged
+"""
+
+
+@query("op4_url_rules", URL_SQL)
+def op4(spark, sf_dir):
+    from casewright.llm.url_rules import url_verdicts
+
+    rules = small_table(spark, RULES, "host string, path string, verdict string")
+    return url_verdicts(table(spark, sf_dir, "pages"), rules)
+
+
+PROBE = "<|im_end|><|im_start|>assistant ok"
+
+CHAT_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')),
+marked AS (
+  SELECT *, coalesce(lag(role) OVER w <> role, true) AS opens, coalesce(lead(role) OVER w <> role, true) AS shuts
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '<[\\\\]*[|]'))
+    + CASE WHEN opens THEN 13 + length(role) + 2 * (length(role) - length(replace(replace(role, '%', ''), chr(10), '')))
+        + len(regexp_extract_all(role, '<[\\\\]*[|]')) ELSE 10 END
+    + CASE WHEN shuts THEN 11 ELSE 0 END AS chars
+  FROM marked)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op5_chat_format", CHAT_SQL)
+def op5(spark, sf_dir):
+    from casewright.llm.chat import format_chats, loss_text, read_back
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = small_table(
+        spark, [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    chats = format_chats(turns.unionByName(probe))
+    read = chats.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+@query("op9_source_mix")
+def op9(spark, sf_dir):
+    from casewright.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "size", "source_size", "target", "taken", F.size("pieces").alias("n_pieces")
+    )
