@@ -144,3 +144,18 @@ def op9(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "size", "source_size", "target", "taken", F.size("pieces").alias("n_pieces")
     )
+
+
+@query("op6_hidden_markov_lm")
+def op6(spark, sf_dir):
+    from casewright.llm.hmm import hmm_scores
+
+    docs = table(spark, sf_dir, "documents")
+    return hmm_scores(docs, held_out=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+
+
+@query("op8_embedding_dedup")
+def op8(spark, sf_dir):
+    from casewright.llm.hnsw import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -139,7 +139,9 @@ def cut_repeats(
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"), finger.alias("finger"))
     rows = rows.where("id is not null and text is not null")
     first = rows.select("finger", "id").groupBy("finger").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    copies = rows.select("finger", "id").join(first, "finger").where("id > lo").select("id", "finger").distinct()
+    copies = rows.select("finger", "id").join(maybe_broadcast(staged(first)), "finger").where("id > lo")
+    # Dealt by id before the distinct, so a hot group of copies can be split in the join.
+    copies = copies.select("id", "finger").repartition("id").distinct()
     copies = staged(copies.withColumn("copy", F.lit(True)))
     own = rows.join(maybe_broadcast(copies.select("id", "finger")), ["id", "finger"], "left_anti").select("id", "text")
 
