@@ -159,3 +159,27 @@ def op8(spark, sf_dir):
     from casewright.llm.hnsw import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_quality_grade")
+def op2(spark, sf_dir):
+    """Grades rated from the labels: 0 poor, 1 good but toxic, 2 good."""
+    from casewright.llm.ordinal_quality import grade_documents
+
+    rated = table(spark, sf_dir, "labels").select(
+        "doc_id", (F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))).alias("grade")
+    )
+    graded = grade_documents(table(spark, sf_dir, "documents"), rated)
+    return graded.select("doc_id", "expected_grade", "tail_probability", "kept")
+
+
+def test_fold():
+    """Rows of the toxicity model's held-out fifth."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    from casewright.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=test_fold())

@@ -3,11 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from casewright.llm.common import table
+from casewright.llm.decontaminate import without_contaminated
+from casewright.llm.mixing import mix_sources
+from casewright.llm.parity_join import first_of_each_group
+from casewright.llm.queries import test_fold
+from casewright.llm.repeats import cut_repeats
+from casewright.llm.toxicity import without_toxic
 from casewright.session import ship_package, staged
 
-STAGES: list = []
-# No stage but the first three could be said in SQL, and the fits not at all.
+
+
+def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject."""
+    ship_package(spark)
+    return without_toxic(docs, table(spark, sf_dir, "labels"), held_out=test_fold())
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each group with a five-word Jaccard of 0.8 or more."""
+    ship_package(spark)
+    return first_of_each_group(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more stay in the document with the smallest id only."""
+    ship_package(spark)
+    others = [c for c in docs.columns if c != "doc_id"]
+    cut = cut_repeats(docs, carry=others)
+    changed = F.col("n_removed") > 0
+    cut = cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
+    if "n_chars" in others:
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that copy no benchmark item."""
+    ship_package(spark)
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes words of, with how many and which."""
+    ship_package(spark)
+    return mix_sources(docs, carry=[c for c in docs.columns if c != "doc_id"]).where("taken > 0")
+
+
+STAGES = [
+    ("toxicity", clean_of_toxicity),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("substring_dedup", without_repeats),
+    ("benchmark_decontamination", without_benchmark),
+    ("source_mix", mixed),
+]
+# A fitted classifier decides the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
