@@ -68,9 +68,9 @@ def grade_documents(
     reach: int = 1,
     least: float = 0.5,
     sample: int = 20_000,
-    passes: int = 60,
+    passes: int = 50,
     rate: float = 0.5,
-    penalty: float = 5e-4,
+    penalty: float = 1e-3,
 ) -> DataFrame:
     """``(id, expected_grade, tail_probability, tails, kept)``, one row per row of ``docs``.
 

@@ -108,9 +108,9 @@ def toxicity_scores(
     terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
     sample: int = 20_000,
     tie: float = 1.0,
-    passes: int = 60,
+    passes: int = 50,
     rate: float = 0.5,
-    penalty: float = 5e-4,
+    penalty: float = 1e-3,
 ) -> DataFrame:
     """``(id, held_out, score, predicted)``, one row per row of ``docs``.
 
@@ -141,9 +141,9 @@ def without_toxic(
     terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
     sample: int = 20_000,
     tie: float = 1.0,
-    passes: int = 60,
+    passes: int = 50,
     rate: float = 0.5,
-    penalty: float = 5e-4,
+    penalty: float = 1e-3,
 ) -> DataFrame:
     """Rows of ``docs``, all their columns, with a score below 0.5; all without labels.
 
