@@ -37,7 +37,8 @@ STATES = 8
 RUN = 128
 SLICES = 8
 PRIOR = 20.0  # pseudo-counts of a state, spread like the classes overall
-TOKENS = 1 << 19  # per array of the recursions
+TOKENS = 1 << 18  # per array of the recursions
+ROWS = 500  # texts that are lists of words at a time
 PART = 2_048  # classes a row of partial counts holds
 
 
@@ -51,17 +52,27 @@ def _texts(column) -> list[list[bytes]]:
     return [(x or b"").lower().split() for x in column.to_pylist()]
 
 
+def _slices(batch):
+    """A batch in parts, so that few words are Python objects at a time."""
+    for at in range(0, batch.num_rows, ROWS):
+        yield batch.slice(at, ROWS)
+
+
 def _count(batch):
     """Word, class of its ending and occurrences, added up over the batch."""
-    texts = _texts(batch.column(0))
-    hashes = [word_hashes(x) for x in texts]
-    flat = np.concatenate(hashes)
-    word, first, times = np.unique(flat, return_index=True, return_counts=True)
-    start = np.cumsum([0] + [len(x) for x in texts])
-    doc = np.searchsorted(start, first, side="right") - 1
-    ends = _ending_class([texts[d][i - start[d]] for d, i in zip(doc.tolist(), first.tolist())])
+    parts = []
+    for part in _slices(batch):
+        texts = _texts(part.column(0))
+        start = np.cumsum([0] + [len(x) for x in texts])
+        word, first, times = np.unique(np.concatenate([word_hashes(x) for x in texts]), return_index=True, return_counts=True)
+        doc = np.searchsorted(start, first, side="right") - 1
+        ends = _ending_class([texts[d][i - start[d]] for d, i in zip(doc.tolist(), first.tolist())])
+        parts.append((word, ends, times))
+    word, ends, times = (np.concatenate(x) for x in zip(*parts))
+    word, first, place = np.unique(word, return_index=True, return_inverse=True)
+    total = np.bincount(place, times, minlength=len(word)).astype(np.int64)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(signed(word)), pa.array(ends), pa.array(times.astype(np.int64))], ["word", "ending", "c"]
+        [pa.array(signed(word)), pa.array(ends[first]), pa.array(total)], ["word", "ending", "c"]
     )
 
 
@@ -94,6 +105,10 @@ class Vocabulary:
 
 def _encode(value):
     def run(batch):
+        for part in _slices(batch):
+            yield from encode(part)
+
+    def encode(batch):
         voc: Vocabulary = value.value
         floor = math.log10(voc.n + voc.v + 1)
         cols = {k: [] for k in ("classes", "tail", "n_known", "base", "inner", "n_tokens")}
