@@ -83,7 +83,7 @@ def sainte_lague(parties: DataFrame, votes: str, seats: str, key: str, group: st
     # Rounding moves the sum by at most half a seat a party.
     half = F.col("_n") / 2
     low = F.greatest(F.col("_v") / (n_seats + half + 1), F.lit(1e-12))
-    high = F.when(n_seats > half, F.col("_v") / (n_seats - half) * 1.000001).otherwise(2 * F.col("_most"))
+    high = F.when(n_seats > half, F.col("_v") / (n_seats - half) * 1.000001).otherwise(2.000002 * F.col("_most"))
     range_ = staged(range_.select(group, "_seats", low.alias("_lo"), F.greatest(high, low * 2).alias("_hi")))
     step = F.explode(F.sequence(F.lit(1), F.lit(CANDIDATES - 1)))
     for _ in range(PASSES):
