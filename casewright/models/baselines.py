@@ -42,16 +42,22 @@ def fit_majority(df: DataFrame, label: str) -> Majority:
 
 @dataclass(frozen=True)
 class OneFeatureRule:
-    """Class by cut-points midway between consecutive class medians of one column."""
+    """Class by cut-points midway between consecutive class medians of one column.
+
+    A class without any value of the column has no median and is not predicted.
+    """
 
     feature: str
     classes: tuple[int, ...]
     cuts: tuple[float, ...]
     fallback: int
+    predicted: tuple[int, ...]
 
     def predict(self):
         value = number(F.col(self.feature))
-        labels = F.array(*[F.lit(c) for c in self.classes])
+        if not self.predicted:
+            return F.lit(self.fallback)
+        labels = F.array(*[F.lit(c) for c in self.predicted])
         return F.when(value.isNull(), F.lit(self.fallback)).otherwise(
             F.get(labels, count_below(value, self.cuts))
         )
@@ -75,7 +81,9 @@ def fit_one_feature_rule(df: DataFrame, feature: str, label: str) -> OneFeatureR
         for r in exact_quantiles(narrow, "value", {"m": 0.5}, [label]).collect()
     }
     counts = class_counts(df, label)
-    medians = [middle[c] for c in counts]
+    seen = [c for c in counts if middle.get(c) is not None]
+    medians = [middle[c] for c in seen]
     cuts = tuple((a + b) / 2 for a, b in zip(medians, medians[1:]))
-    return OneFeatureRule(feature, tuple(counts), cuts, max(counts, key=lambda c: (counts[c], -c)))
+    most = max(counts, key=lambda c: (counts[c], -c))
+    return OneFeatureRule(feature, tuple(counts), cuts, most, tuple(seen))
 

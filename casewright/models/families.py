@@ -108,7 +108,7 @@ class Multinomial:
         )
 
 
-def fit_logistic(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
+def fit_logistic(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
     """Multinomial logistic, ridge of strength 1/C on the total loss, balanced weights."""
     options = {"C": 0.5, "maxIter": 5000, "tol": 1e-5, "balanced": True, **(params or {})}
     table, prep = training_table(
@@ -127,7 +127,7 @@ def fit_logistic(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> M
     return Multinomial(prep, model)
 
 
-def fit_random_forest(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
+def fit_random_forest(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
     options = {"numTrees": 500, "maxDepth": 12, **(params or {})}
     table, prep = training_table(df, spec, label, classes, scaled=False)
     model = RandomForestClassifier(
@@ -189,7 +189,7 @@ SMALL_GB = dict(maxIter=150, stepSize=0.08, maxDepth=4, minInstancesPerNode=15)
 
 
 def _ovr(preset: dict[str, Any]):
-    def fit(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> OneVersusRest:
+    def fit(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> OneVersusRest:
         return fit_one_versus_rest(
             df, spec, label, preset, classes=classes, seed=seed, params=params
         )
@@ -229,7 +229,7 @@ class FrankHall:
         return wide.withColumn(out, recombine(exceed)).drop("_features", *made)
 
 
-def fit_frank_hall(df, spec, label, *, classes=CLASSES, seed=42, params=None) -> FrankHall:
+def fit_frank_hall(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> FrankHall:
     table, prep = training_table(df, spec, label, classes, scaled=False, balanced=False)
     options = {**SMALL_GB, **(params or {})}
     counts = {r[0]: r[1] for r in table.groupBy("severity").count().collect()}
@@ -341,7 +341,7 @@ class RegressionCuts:
 
 
 def fit_regression_cuts(
-    df, spec, label, *, classes=CLASSES, seed=42, params=None, key: str = "k"
+    df, spec, label, key, *, classes=CLASSES, seed=42, params=None
 ) -> RegressionCuts:
     """Regress the class, learn cuts on out-of-fold scores, keep their residual spread."""
     options = {**SMALL_GB, "inner_folds": 3, **(params or {})}
@@ -374,7 +374,7 @@ def fit_regression_cuts(
 # --- Ordered logit and stacking ---------------------------------------------------------------
 
 
-def fit_ordered(df, spec, label, *, classes=CLASSES, seed=42, params=None):
+def fit_ordered(df, spec, label, key, *, classes=CLASSES, seed=42, params=None):
     return ordered_logit.fit_ordered_logit(
         df, spec, label, classes=tuple(classes), **{"alpha": 1.0, **(params or {})}
     )
@@ -402,7 +402,7 @@ STACK_BASES = ("xgboost", "lightgbm", "logistic", "ordered_logit")
 
 
 def fit_stacked(
-    df, spec, label, *, classes=CLASSES, seed=42, params=None, key: str = "k"
+    df, spec, label, key, *, classes=CLASSES, seed=42, params=None
 ) -> Stacked:
     """Out-of-fold probabilities of the bases feed a multinomial logistic; bases refit on all.
 
@@ -415,7 +415,7 @@ def fit_stacked(
 
     def fit(name: str, rows: DataFrame) -> Scorer:
         return FAMILIES[name].fit(
-            rows, spec, label, classes=classes, seed=seed, params=per_base[name]
+            rows, spec, label, key, classes=classes, seed=seed, params=per_base[name]
         )
 
     names = [f"_base{i}" for i in range(len(options["bases"]))]
@@ -479,7 +479,7 @@ FAMILIES: dict[str, Family] = {
         ),
         Family(
             "frank_hall",
-            "Frank and Hall ordinal decomposition (HistGB base)",
+            "Frank and Hall ordinal decomposition (boosted base)",
             fit_frank_hall,
             False,
             True,

@@ -59,7 +59,7 @@ def out_of_fold(
         return cross_fit(folded, spec, label, key, fold_columns, k, classes=classes, **options)[0]
     fit = scorer or (
         lambda rows, s: FAMILIES[family].fit(
-            rows, spec, label, classes=classes, seed=s, params=params
+            rows, spec, label, key, classes=classes, seed=s, params=params
         )
     )
 
@@ -314,7 +314,7 @@ def ablation(
     seed: int = 42,
     **options,
 ) -> DataFrame:
-    """Metrics without each feature block, and their change; one repeat is enough."""
+    """Metrics without each feature block, and their change, on the folds of a single repeat."""
     folded, columns = with_folds(df, key, label, k=k, repeats=1, seed=seed)
     variants = [("(none)", spec)]
     variants += [(g, spec.without_groups(g)) for g in groups if spec.in_group(g)]

@@ -173,7 +173,7 @@ def mean_absolute(
 def latent_contributions(
     df: DataFrame, key: str, inputs: Mapping[str, Column], beta: Mapping[str, float]
 ) -> DataFrame:
-    """``(key, values)``: exact ``beta_j * (x_j - mean_j)`` per feature, in latent units."""
+    """``(key, values)``: what each feature adds to a row's latent score against the mean row."""
     names = list(inputs)
     rows = df.select(key, *[inputs[n].alias(f"_x{i}") for i, n in enumerate(names)])
     means = rows.agg(*[F.avg(f"_x{i}") for i in range(len(names))]).first()
@@ -237,13 +237,22 @@ def surrogate_rules(
         maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed
     ).fit(rows)
     agreement = tree.transform(rows).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")))
-    # The first line names the run's model object; the rules follow it.
-    text = tree.toDebugString.split("\n", 1)[1]
-    for j in reversed(range(len(names))):
-        text = text.replace(f"feature {j} ", f"{names[j]} ")
-    text = text.replace("Predict: 0.0", "-> CLOSE (not progressed)")
-    text = text.replace("Predict: 1.0", "-> INVESTIGATE (progressed)")
-    return text, float(agreement.first()[0])
+    return "\n".join(_rules(tree._call_java("rootNode"), names)), float(agreement.first()[0])
+
+
+# What a leaf of the surrogate tree decides.
+OUTCOMES = {0: "-> CLOSE (not progressed)", 1: "-> INVESTIGATE (progressed)"}
+
+
+def _rules(node, names: Sequence[str], depth: int = 0) -> list[str]:
+    """One line a branch, read off the fitted tree's nodes, left branch first."""
+    indent = "  " * depth
+    if node.subtreeDepth() == 0:
+        return [indent + OUTCOMES[int(node.prediction())]]
+    split = node.split()
+    name, bound = names[split.featureIndex()], split.threshold()
+    left, right = _rules(node.leftChild(), names, depth + 1), _rules(node.rightChild(), names, depth + 1)
+    return [f"{indent}If {name} <= {bound}", *left, f"{indent}Else", *right]
 
 
 # --- Monotonicity audit ------------------------------------------------------------------------------

@@ -185,13 +185,12 @@ def row_shares(counts: DataFrame, classes: Sequence[int]) -> DataFrame:
 
 
 def leak_check(
-    df: DataFrame, columns: Sequence[str], target: str, cut: int = CUT, *, max_levels: int = 50
+    df: DataFrame, columns: Sequence[str], target: str, cut: int = CUT
 ) -> DataFrame:
     """Per column: cells off the best one-to-one match with ``target >= cut``.
 
     A column that restates the outcome has every level on one side of the cut
-    and so zero mismatches.  Columns with more levels than ``max_levels`` are
-    reported with a null, not dropped.
+    and so zero mismatches, however many levels it has.
     """
     long = long_levels(df.withColumn("_up", F.col(target) >= cut), columns, ["_up"])
     sides = (
@@ -202,9 +201,7 @@ def leak_check(
     return sides.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_levels"),
         F.sum(F.col("up") + F.col("down")).alias("n"),
-        F.when(
-            F.count(F.lit(1)) <= max_levels, F.sum(F.least("up", "down"))
-        ).alias("off_diagonal"),
+        F.sum(F.least("up", "down")).alias("off_diagonal"),
     )
 
 

@@ -271,8 +271,9 @@ def clean(
 
     def cleaned(name: str) -> Column:
         contract = catalog[name]
-        if contract.kind == C.DATE and types[name] != "timestamp":
-            return cells.serial_to_timestamp(F.col(name))
+        if contract.kind == C.DATE:
+            dated = types[name] in ("timestamp", "timestamp_ntz", "date")
+            return F.col(name).cast("timestamp") if dated else cells.serial_to_timestamp(F.col(name))
         if name in numbers:
             value = quarantined_number(contract, strategy)
             return value.try_cast("int") if contract.role == C.TARGET and is_training else value

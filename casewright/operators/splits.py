@@ -71,11 +71,15 @@ def hash_rank(
 def stratified_holdout(
     df: DataFrame, key: str, label: str, *, share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Add ``is_test``: the rounded share of every class, chosen by seeded hash order."""
-    ranked = hash_rank(df, key, seed, [label])
-    return ranked.withColumn(
+    """Add ``is_test``: the rounded share of every class, chosen by seeded hash order.
+
+    Rows without a class stay, with a null ``is_test``.
+    """
+    ranked = hash_rank(df.where(F.col(label).isNotNull()), key, seed, [label])
+    dealt = ranked.withColumn(
         "is_test", F.col("_rank") < F.bround(F.col("_size") * F.lit(float(share)))
     ).drop("_rank", "_size")
+    return _with_unlabelled(dealt, df, label)
 
 
 def stratified_folds(
@@ -84,26 +88,37 @@ def stratified_folds(
     """Add a fold number 0..k-1 with near-equal class counts in every fold.
 
     Classes start dealing at shifted folds, so leftovers do not pile up in fold 0.
+    Rows without a class stay, with a null fold.
     """
-    ranked = hash_rank(df, key, seed, [label])
-    return ranked.withColumn(
+    ranked = hash_rank(df.where(F.col(label).isNotNull()), key, seed, [label])
+    dealt = ranked.withColumn(
         name, F.pmod(F.col("_rank") + F.col(label).cast("bigint"), F.lit(k)).cast("int")
     ).drop("_rank", "_size")
+    return _with_unlabelled(dealt, df, label)
+
+
+def _with_unlabelled(dealt: DataFrame, df: DataFrame, label: str) -> DataFrame:
+    """``dealt`` and the rows of ``df`` without a class, the added column null for them."""
+    return dealt.unionByName(df.where(F.col(label).isNull()), allowMissingColumns=True)
 
 
 def repeated_stratified_folds(
     df: DataFrame, key: str, label: str, *, k: int = 5, repeats: int = 3, seed: int = 42
 ) -> DataFrame:
-    """Add ``fold_0 .. fold_{repeats-1}``, one independent assignment per repeat."""
+    """Add ``fold_0 .. fold_{repeats-1}``, one independent assignment per repeat.
+
+    Rows without a class stay, with null folds.
+    """
     names = [f"fold_{r}" for r in range(repeats)]
     # Only key and class are ranked; all repeats share one shuffle.
-    long = df.select(key, label, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r"))
+    labelled = df.where(F.col(label).isNotNull())
+    long = labelled.select(key, label, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r"))
     ranked = hash_rank(long, key, F.lit(int(seed)) + F.col("_r"), [label, "_r"])
     fold = F.pmod(F.col("_rank") + F.col(label).cast("bigint"), F.lit(k)).cast("int")
     wide = ranked.groupBy(key).agg(
         *[F.max(F.when(F.col("_r") == r, fold)).alias(n) for r, n in enumerate(names)]
     )
-    return df.join(wide, key)
+    return df.join(wide, key, "left")
 
 
 def plain_folds(

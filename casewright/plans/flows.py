@@ -101,7 +101,7 @@ def predict(
         bundle.features, family, bundle.spec, label, key,
         ratio=ratio, k=k, repeats=repeats, seed=seed, **options,
     )
-    model = FAMILIES[family].fit(bundle.features, bundle.spec, label, seed=seed, params=params)
+    model = FAMILIES[family].fit(bundle.features, bundle.spec, label, key, seed=seed, params=params)
     scored = model.score(bundle.holdback_features)
     return Prediction(model, point, folds, D.prediction_table(scored, key, "proba", point.threshold))
 

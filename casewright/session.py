@@ -70,17 +70,22 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its machine.
+    A local session without that setting (tests, notebooks) stages in a
+    temporary folder of its own, once per application; on a cluster, where such
+    a folder would be lost with its machine, the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="casewright-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="casewright-")
+    return _LOCAL_ROOTS[app]
+
+
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def staged(df: DataFrame) -> DataFrame:

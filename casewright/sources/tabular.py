@@ -48,8 +48,13 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
 def read_or_compute(
     spark: SparkSession, path: str, compute: Callable[[], DataFrame], **options
 ) -> DataFrame:
-    """The stage output when it exists, else run the stage and write it."""
+    """The stage output when it exists, else run the stage and write it.
+
+    Only a missing path is computed; other faults (schema, access) are raised.
+    """
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return write_stage(compute(), path, **options)

@@ -128,7 +128,7 @@ def m2(spark, sf_dir):
 def _family(name: str):
     def run(spark, sf_dir):
         frame, spec = frame_for_fit(spark, sf_dir)
-        model = families.FAMILIES[name].fit(frame, spec, "severity", params=ROUNDS.get(name))
+        model = families.FAMILIES[name].fit(frame, spec, "severity", "k", params=ROUNDS.get(name))
         return rounded(quality(model.score(frame)))
 
     return run
@@ -149,7 +149,7 @@ def m3b(spark, sf_dir):
     )
     spec = ft.FeatureSpec(tuple(names), (), dict.fromkeys(names, "component"))
     classes = list(range(10))
-    model = families.fit_logistic(wide, spec, "label", classes=classes)
+    model = families.fit_logistic(wide, spec, "label", "k", classes=classes)
     out = model.score(wide).withColumn("pred", argmax_class(F.col("proba"), classes))
     return rounded(
         out.agg(
@@ -296,7 +296,7 @@ query("m12_lightgbm_preset")(_family("lightgbm"))
 @query("m13_stacked_ensemble")
 def m13(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
-    model = families.fit_stacked(frame, spec, "severity", params={**STACK, "folds": 2})
+    model = families.fit_stacked(frame, spec, "severity", "k", params={**STACK, "folds": 2})
     return rounded(quality(model.score(frame)))
 
 

@@ -132,7 +132,7 @@ def test_running_minimum_and_normalisation(spark):
 
 def test_one_sided_binary_problem(toy):
     one_class = toy.where("y <= 2")
-    model = families.fit_frank_hall(one_class, SPEC.only(["x0", "x1"]), "y", classes=(1, 2, 3), params={"maxIter": 2})
+    model = families.fit_frank_hall(one_class, SPEC.only(["x0", "x1"]), "y", "k", classes=(1, 2, 3), params={"maxIter": 2})
     assert model.models[1] == 0.0
     assert model.score(one_class).agg(F.max(F.get("proba", F.lit(2)))).first()[0] < 1e-6
 
