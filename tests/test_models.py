@@ -71,6 +71,20 @@ def test_shared_fold_fits_equal_separate_fits(toy):
     assert gap < 1e-6
 
 
+def test_feature_empty_in_one_training_fold(toy):
+    """The fold that only holds a column's values leaves it out of its own model."""
+    rows = toy.withColumn("f", F.pmod("k", F.lit(4))).withColumn("x4", F.when(F.col("f") == 0, F.col("x4")))
+    out, models = O.cross_fit(rows, SPEC, "y", "k", ["f"], 4, classes=CLASSES)
+    assert out.count() == 400
+    assert ["x4" in m.names for m in models] == [False, True, True, True]
+
+
+def test_code_books_are_bounded(toy):
+    assert O.code_books(toy, ["c"]) == [["a", "b", "rare"]]
+    with pytest.raises(ValueError, match="levels"):
+        O.code_books(toy, ["c"], most=2)
+
+
 def test_preprocessor_matches_numpy(toy):
     prep = P.fit_preprocessor(toy, SPEC)
     assert prep.rare["c"] == ("rare",) and prep.names[-1] == "c_infrequent"
