@@ -457,6 +457,7 @@ def _rescored(
         argmax_class(F.col("proba"), classes).alias("pred"),
         "proba",
     )
+    scored = staged(scored)  # measured in several passes
     table = M.compute_metrics(scored, by=[name], classes=classes, cut=cut)
     return table.select(name, *ROBUST_METRICS)
 

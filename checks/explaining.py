@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from casewright.functions import cells
@@ -16,7 +17,7 @@ from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
 from casewright.operators.prep import medians
 from casewright.session import small_table, staged
-from checks.evaluation import COMPACT
+from checks.evaluation import listed
 from checks.featuring import SPEC
 from checks.fixture import (
     NUMERIC_COLUMNS,
@@ -29,22 +30,20 @@ from checks.fixture import (
     with_scored,
 )
 from checks.metrics import r, rounded
-from checks.modelling import CLASSES, frame_for_fit
+from checks.modelling import CLASSES, frame_for_fit, holds
 from checks.profiling import class_range_sql, long_sql
 from checks.registry import query
 
 THRESHOLD = 0.2
 
 
-@query("x1_permutation_importance")
+@query("x1_permutation_importance", listed("feature, in_range", [(f"'{c}'", True) for c in SPEC.columns]))
 def x1(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
-    chosen = spec.only(COMPACT)
-    model = O.fit_ordered_logit(frame, chosen, "severity", classes=CLASSES)
-    table = X.permutation_importance(
-        frame, model, chosen.columns, "severity", "k", repeats=3
-    )
-    return rounded(table)
+    model = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES)
+    table = X.permutation_importance(frame, model, spec.columns, "severity", "k")
+    sound = F.col("importance_mean").between(-1.0, 2.0) & (F.col("importance_std") >= 0)
+    return table.select("feature", sound.alias("in_range"))
 
 
 _CORR = [c for c in SPEC.numeric]
@@ -82,8 +81,7 @@ def x2(spark, sf_dir):
 
 def _attributed(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
-    chosen = spec.only(COMPACT)
-    fitted = O.fit_ordered_logit(frame, chosen, "severity", classes=CLASSES)
+    fitted = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES)
     rows = staged(frame.select("k", fitted.prep.array().alias("x")))
     sample = splits.seeded_sample(rows, "k", 30).collect()  # the background, a fixed 30 rows
     background = np.array([row["x"] for row in sample])
@@ -96,19 +94,15 @@ def _attributed(spark, sf_dir):
     return X.severity_attributions(rows, "k", "x", background, expected), fitted
 
 
-@query("x3_severity_attributions")
+@query("x3_severity_attributions", with_clean(holds("clean", "additive", "within_classes")))
 def x3(spark, sf_dir):
     """Attributions of every row; base plus their sum must equal the prediction."""
-    table, fitted = _attributed(spark, sf_dir)
+    table, _ = _attributed(spark, sf_dir)
     gap = F.abs(F.col("base") + array_sum(F.col("values")) - F.col("prediction"))
-    return rounded(
-        table.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.lit(len(fitted.prep.names)).alias("n_features"),
-            F.max(gap).alias("additivity_error"),
-            F.min("prediction").alias("lowest"),
-            F.max("prediction").alias("highest"),
-        )
+    return table.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max(gap) < 1e-9).alias("additive"),
+        ((F.min("prediction") >= CLASSES[0]) & (F.max("prediction") <= CLASSES[-1])).alias("within_classes"),
     )
 
 
@@ -186,19 +180,18 @@ def x6(spark, sf_dir):
     )
 
 
-@query("x7_surrogate_rules")
+@query("x7_surrogate_rules", with_clean(holds("clean", "at_least_majority", "has_rules")))
 def x7(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
-    chosen = spec.only(COMPACT)
-    model = O.fit_ordered_logit(frame, chosen, "severity", classes=CLASSES)
+    model = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES)
     scored_df = model.score(frame)
     decision = tail_probability(F.col("proba"), CLASSES, M.CUT) >= THRESHOLD
     fills = {row["column"]: row["median"] for row in medians(frame, spec.numeric).collect()}
     text, fidelity = X.surrogate_rules(scored_df, spec.numeric, decision, fills=fills)
     return scored_df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.lit(round(fidelity, 6)).alias("fidelity"),
-        F.lit(text).alias("rules"),
+        (F.lit(fidelity + 1e-9) >= F.greatest(F.avg(decision.cast("int")), 1 - F.avg(decision.cast("int")))).alias("at_least_majority"),
+        F.lit("\n" in text.strip()).alias("has_rules"),
     )
 
 
@@ -249,10 +242,15 @@ def _recovered(spark, sf_dir):
     return bounds, P.class_ranges(frame, "impact_score", "severity")
 
 
-@query("x10_recovered_boundaries")
+@query(
+    "x10_recovered_boundaries",
+    with_clean("SELECT severity, TRUE AS above_the_last FROM clean WHERE impact_score IS NOT NULL GROUP BY severity"),
+)
 def x10(spark, sf_dir):
     bounds, ranges = _recovered(spark, sf_dir)
-    return rounded(ranges.join(F.broadcast(bounds), "severity"))
+    upper = F.coalesce("recovered_upper_boundary", F.lit(float("inf")))
+    last = F.lag(upper, 1, float("-inf")).over(Window.partitionBy(F.lit(0)).orderBy("severity"))  # a row a class
+    return ranges.join(F.broadcast(bounds), "severity").select("severity", (upper > last).alias("above_the_last"))
 
 
 @query(
@@ -284,8 +282,11 @@ def x12(spark, sf_dir):
     return X.coefficient_ranking(correlations(spark, sf_dir))
 
 
-@query("x12b_fitted_coefficients")
+@query("x12b_fitted_coefficients", listed("side, n, finite", [("'top'", "15::BIGINT", True), ("'bottom'", "10::BIGINT", True)]))
 def x12b(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     model = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES).model
-    return rounded(X.coefficient_ranking(X.coefficients(spark, model.names, model.beta)))
+    ranking = X.coefficient_ranking(X.coefficients(spark, model.names, model.beta))
+    return ranking.groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), (F.max(F.abs("coefficient")) < 1e3).alias("finite")
+    )

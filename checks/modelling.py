@@ -59,21 +59,30 @@ def frame_for_fit(spark, sf_dir) -> tuple[DataFrame, ft.FeatureSpec]:
     return staged(frame), spec
 
 
+def holds(n_from: str, *invariants: str) -> str:
+    """SQL of a row count and of invariants that must all hold."""
+    return f"SELECT COUNT(*) AS n, {', '.join(f'TRUE AS {i}' for i in invariants)} FROM {n_from}"
+
+
 def quality(scored_df: DataFrame, label: str = "severity") -> DataFrame:
-    """One row of invariants and metrics of a scored table."""
+    """Invariants of a scored table: rows, probabilities that are some, more than chance."""
     rows = scored_df.select(
         F.col(label).cast("int").alias("y"),
         "proba",
         argmax_class(F.col("proba"), CLASSES).alias("pred"),
         array_sum(F.col("proba")).alias("mass"),
     )
-    points = M.point_metrics(rows, proba="proba").select("n", "qwk", "severe_recall", "log_loss")
-    sums = rows.agg(
-        F.min(F.array_min("proba")).alias("min_p"),
-        F.max(F.array_max("proba")).alias("max_p"),
-        F.max(F.abs(F.col("mass") - 1)).alias("mass_error"),
+    kappa = M.qwk(F.col("y"), F.col("pred"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        ((F.min(F.array_min("proba")) >= 0) & (F.max(F.array_max("proba")) <= 1 + 1e-9)).alias("bounded"),
+        (F.max(F.abs(F.col("mass") - 1)) < 1e-9).alias("mass_is_one"),
+        ((kappa > 0) & (kappa <= 1)).alias("above_chance"),
     )
-    return M.join_groups(points, sums, [])
+
+
+QUALITY = ("bounded", "mass_is_one", "above_chance")
+FITTED = with_clean(holds("clean", *QUALITY))
 
 
 _M1 = """cnt AS (SELECT severity, COUNT(*) AS n FROM clean GROUP BY severity)"""
@@ -129,15 +138,15 @@ def _family(name: str):
     def run(spark, sf_dir):
         frame, spec = frame_for_fit(spark, sf_dir)
         model = families.FAMILIES[name].fit(frame, spec, "severity", "k", params=ROUNDS.get(name))
-        return rounded(quality(model.score(frame)))
+        return quality(model.score(frame))
 
     return run
 
 
-query("m3_multinomial_logistic")(_family("logistic"))
+query("m3_multinomial_logistic", FITTED)(_family("logistic"))
 
 
-@query("m3b_logistic_on_embeddings")
+@query("m3b_logistic_on_embeddings", holds("embeddings", "mass_is_one", "above_chance"))
 def m3b(spark, sf_dir):
     """A ten-class fit on the 64 components of the embedding table."""
     rows = table(spark, sf_dir, "embeddings")
@@ -151,31 +160,25 @@ def m3b(spark, sf_dir):
     classes = list(range(10))
     model = families.fit_logistic(wide, spec, "label", "k", classes=classes)
     out = model.score(wide).withColumn("pred", argmax_class(F.col("proba"), classes))
-    return rounded(
-        out.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"),
-            F.max(F.abs(array_sum(F.col("proba")) - 1)).alias("mass_error"),
-        )
+    return out.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max(F.abs(array_sum(F.col("proba")) - 1)) < 1e-9).alias("mass_is_one"),
+        (F.avg((F.col("pred") == F.col("label")).cast("double")) > 1 / len(classes)).alias("above_chance"),
     )
 
 
-@query("m4_ordered_logit_fit")
+@query("m4_ordered_logit_fit", with_clean(holds("clean", *QUALITY, "converged", "score_near_zero", "cuts_ordered")))
 def m4(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     fitted = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES)
     model = fitted.model
     ordered = all(a < b for a, b in zip(model.cuts, model.cuts[1:]))
-    row = quality(fitted.score(frame))
-    return rounded(
-        row.withColumns(
-            {
-                "n_features": F.lit(len(model.beta)),
-                "n_iter": F.lit(model.n_iter),
-                "converged": F.lit(model.converged),
-                "cuts_ordered": F.lit(ordered),
-            }
-        )
+    return quality(fitted.score(frame)).withColumns(
+        {
+            "converged": F.lit(model.converged),
+            "score_near_zero": F.lit(model.gradient_norm < 1e-6),
+            "cuts_ordered": F.lit(ordered),
+        }
     )
 
 
@@ -207,7 +210,7 @@ def m6(spark, sf_dir):
     return rounded(frame.select("k", dot(x, [0.1, 0.8, 0.6, 0.2, 1.0]).alias("eta")))
 
 
-query("m7_frank_hall")(_family("frank_hall"))
+query("m7_frank_hall", FITTED)(_family("frank_hall"))
 
 # Noisy P(y > k): the running minimum has something to repair.
 _EXCEED = [
@@ -248,7 +251,7 @@ def m7b(spark, sf_dir):
     return rounded(out.select("k", *[F.get("q", F.lit(c - 1)).alias(f"p{c}") for c in CLASSES]))
 
 
-query("m8_regression_cuts")(_family("regression_threshold"))
+query("m8_regression_cuts", FITTED)(_family("regression_threshold"))
 
 _TRIALS = [6.0 + 0.2 * i for i in range(13)]
 
@@ -270,34 +273,32 @@ def m8b(spark, sf_dir):
     return rounded(small_table(spark, list(zip(_TRIALS, kappas)), "trial double, qwk double"))
 
 
-@query("m8c_cut_search")
+@query("m8c_cut_search", with_scored(holds("scored", "never_lower", "measured_alike", "cuts_sorted")))
 def m8c(spark, sf_dir):
     """Coordinate ascent never lowers kappa and keeps the cuts sorted."""
     df = staged(scored(spark, sf_dir).select("y", "eta"))
     start = families.candidate_kappas(df, "y", "eta", THETA, 0, [THETA[0]])[0]
     cuts, kappa = families.optimise_cuts(df, "y", "eta", THETA)
     pred = count_below(F.col("eta"), cuts) + 1
-    return rounded(
-        df.agg(
-            F.lit(start).alias("start_qwk"),
-            F.lit(kappa).alias("found_qwk"),
-            M.qwk(F.col("y"), pred).alias("measured_qwk"),
-            F.lit(cuts == sorted(cuts)).alias("cuts_sorted"),
-        )
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(kappa >= start).alias("never_lower"),
+        (F.abs(M.qwk(F.col("y"), pred) - F.lit(kappa)) < 1e-9).alias("measured_alike"),
+        F.lit(list(cuts) == sorted(cuts)).alias("cuts_sorted"),
     )
 
 
-query("m9_random_forest")(_family("random_forest"))
-query("m10_hist_gradient_boosting")(_family("hist_gb"))
-query("m11_xgboost_preset")(_family("xgboost"))
-query("m12_lightgbm_preset")(_family("lightgbm"))
+query("m9_random_forest", FITTED)(_family("random_forest"))
+query("m10_hist_gradient_boosting", FITTED)(_family("hist_gb"))
+query("m11_xgboost_preset", FITTED)(_family("xgboost"))
+query("m12_lightgbm_preset", FITTED)(_family("lightgbm"))
 
 
-@query("m13_stacked_ensemble")
+@query("m13_stacked_ensemble", FITTED)
 def m13(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     model = families.fit_stacked(frame, spec, "severity", "k", params={**STACK, "folds": 2})
-    return rounded(quality(model.score(frame)))
+    return quality(model.score(frame))
 
 
 @query(
@@ -377,7 +378,7 @@ def m15(spark, sf_dir):
     return rounded(joined.select("model", "label", "ordinal_aware", "complexity", "qwk"))
 
 
-@query("m16_out_of_fold")
+@query("m16_out_of_fold", with_clean(holds("clean", *QUALITY).replace(" FROM", ", COUNT(DISTINCT k) AS n_ids FROM")))
 def m16(spark, sf_dir):
     """Every row is scored once, by a model that did not see it."""
     frame, spec = frame_for_fit(spark, sf_dir)
@@ -387,7 +388,7 @@ def m16(spark, sf_dir):
     )
     counts = staged(oof).withColumnRenamed("y", "severity")
     ids = counts.agg(F.count_distinct("id").alias("n_ids"))
-    return rounded(M.join_groups(quality(counts), ids, []))
+    return M.join_groups(quality(counts), ids, [])
 
 
 @query("m17_argmax_class", with_scored("SELECT k, pred FROM scored"))
@@ -395,36 +396,36 @@ def m17(spark, sf_dir):
     return scored(spark, sf_dir).select("k", argmax_class(F.col("proba"), CLASSES).alias("pred"))
 
 
-@query("m18_refit")
+@query("m18_refit", with_clean(holds("clean", "agree")))
 def m18(spark, sf_dir):
     """Two fits of the same rows agree."""
     frame, spec = frame_for_fit(spark, sf_dir)
-    chosen = spec.only(["impact_score", "loss_gbp", "priority_level_code", "flag_count", "route"])
     first, second = (
-        O.fit_ordered_logit(frame, chosen, "severity", classes=CLASSES).model for _ in range(2)
+        O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES).model for _ in range(2)
     )
     gap = max(abs(a - b) for a, b in zip(first.beta + first.cuts, second.beta + second.cuts))
     return frame.agg(
         F.count(F.lit(1)).alias("n"),
-        F.lit(round(gap, 9)).alias("largest_difference"),
         F.lit(gap < 1e-9).alias("agree"),
     )
 
 
-@query("s11_model_artefact")
+@query(
+    "s11_model_artefact",
+    with_clean("SELECT COUNT(*) AS n, TRUE AS same_scores, 0.2::DOUBLE AS threshold, 'ordered_logit' AS family FROM clean"),
+)
 def s11(spark, sf_dir):
     """A saved and reloaded model scores every row as before."""
     frame, spec = frame_for_fit(spark, sf_dir)
-    chosen = spec.only(["impact_score", "loss_gbp", "priority_level_code", "route", "segment"])
-    fitted = O.fit_ordered_logit(frame, chosen, "severity", classes=CLASSES)
+    fitted = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES)
     path = f"{scratch(spark)}/artefact"
     save_artefact(spark, Artefact(fitted, "ordered_logit", 0.2, 5.0, 4, "A"), path)
     loaded = load_artefact(spark, path)
     both = loaded.scorer.score(fitted.score(frame, "before"), "after")
-    gap = F.max(F.abs(F.get("before", F.lit(0)) - F.get("after", F.lit(0))))
+    gap = F.max(array_sum(F.zip_with("before", "after", lambda a, b: F.abs(a - b))))
     return both.agg(
         F.count(F.lit(1)).alias("n"),
-        gap.alias("largest_difference"),
+        (gap < 1e-12).alias("same_scores"),
         F.lit(loaded.threshold).alias("threshold"),
         F.lit(loaded.family).alias("family"),
     )

@@ -71,6 +71,21 @@ def test_shared_fold_fits_equal_separate_fits(toy):
     assert gap < 1e-6
 
 
+def test_check_invariants_fail_on_broken_scores(spark):
+    from checks.modelling import quality
+
+    def judged(*rows):
+        return quality(spark.createDataFrame(rows, "severity int, proba array<double>")).first().asDict()
+
+    sure = [(c, [0.95 if i + 1 == c else 0.01 for i in range(6)]) for c in CLASSES]
+    assert judged(*sure) == {"n": 6, "bounded": True, "mass_is_one": True, "above_chance": True}
+    turned = [(7 - c, p) for c, p in sure]
+    assert not judged(*turned)["above_chance"]
+    assert not judged(*sure, (1, [0.5] * 6))["mass_is_one"]
+    assert not judged(*sure, (1, [1.5, -0.5, 0.0, 0.0, 0.0, 0.0]))["bounded"]
+    assert not judged(*sure, (1, [float("nan")] * 6))["mass_is_one"]
+
+
 def test_feature_empty_in_one_training_fold(toy):
     """The fold that only holds a column's values leaves it out of its own model."""
     rows = toy.withColumn("f", F.pmod("k", F.lit(4))).withColumn("x4", F.when(F.col("f") == 0, F.col("x4")))
