@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from casewright.functions.probability import argmax_class, tail_probability
 from casewright.operators.metrics import CLASSES, CUT
-from casewright.operators.ranking import WINDOW_ROWS, cumulative, value_at_rank
+from casewright.operators.ranking import WINDOW_ROWS, cumulative
 from casewright.session import small_table, staged
 
 # Sweep grid, cost ratios, capacity shares, decision texts.
@@ -151,8 +150,8 @@ def capacity_analysis(
     """What is caught when only the top share of cases, by score, can be progressed.
 
     The boundary case is found on running totals per distinct score.  Cases tied
-    with it (there may be very many) are admitted in key order: the key at the
-    cutting rank among the tied rows is looked up the same distributed way.
+    with it (there may be very many) are admitted in key order, by running totals
+    over the keys of the tied rows, for all fractions in one job.
     """
     spark = df.sparkSession
     # Three narrow columns, written once because two or three passes follow.
@@ -185,20 +184,18 @@ def capacity_analysis(
     if p is None:
         p = rows.agg(F.count_if("_pos")).first()[0]
 
-    def tied_positives(edge) -> DataFrame:
-        """Positives among the first ``take`` of the tied cases, by key."""
-        tied = rows.where(F.col("_score") == F.lit(edge["_score"]))
-        if edge["n"] <= window_rows:
-            taken = tied.orderBy("_key").limit(edge["take"])
-        else:
-            last = value_at_rank(tied, "_key", edge["take"] - 1, window_rows=window_rows)
-            taken = tied.where(F.col("_key") <= F.lit(last.first()["_key"]))
-        return taken.agg(F.lit(edge["f"]).alias("f"), F.count_if("_pos").alias("caught"))
-
     split = [e for e in edges.values() if 0 < e["pos"] and e["take"] < e["n"]]
     inside = {}
     if split:
-        inside = dict(reduce(DataFrame.union, [tied_positives(e) for e in split]).collect())
+        ends = small_table(
+            spark, [(e["f"], e["_score"], e["take"]) for e in split], "f double, _score double, take bigint"
+        )
+        tied = rows.withColumn("_score", F.col("_score").cast("double")).join(F.broadcast(ends), "_score")
+        run = cumulative(
+            tied, "_key", weights, ["f", "take"], window_rows=window_rows, distinct=max(e["n"] for e in split)
+        )
+        caught = run.groupBy("f").agg(F.sum(F.when(F.col("n_before") < F.col("take"), F.col("pos")).otherwise(0)))
+        inside = dict(caught.collect())
     out = []
     for f in map(float, fractions):
         edge = edges.get(f)

@@ -4,11 +4,11 @@ An un-partitioned window moves every row to one task.  Here rows are first
 summed per distinct value, so equal values (however many) become one row, and
 sorted runs are cut into buckets:
 
-1. one narrow pass estimates the number of distinct values per group;
-2. where that stays under a checked bound, one window per group is enough;
-3. beyond it, bucket edges come from approximate quantiles.  The edges only
-   balance the work; results are exact for any edges;
-4. bucket totals (at most ``MAX_BUCKETS`` per group) give each bucket its
+1. one narrow pass estimates the number of distinct values per group, which
+   sets the number of buckets (a power of ``FANOUT``, from 1 up);
+2. bucket edges come from approximate quantiles.  The edges only balance the
+   work; results are exact for any edges, and for any number of them;
+3. bucket totals (at most ``MAX_BUCKETS`` per group) give each bucket its
    starting offset, and a window inside each bucket does the rest.
 
 ``by`` columns must have few combinations (columns, classes, folds).
@@ -103,25 +103,14 @@ def cumulative(
     names = list(weights)
     counts = rows.groupBy(*by, value).agg(*[F.sum(n).alias(n) for n in names])
     bound = distinct if distinct is not None else distinct_bound(rows, by, value)
-
-    if bound <= window_rows:
-        ordered = Window.partitionBy(*by).orderBy(value)
-        before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*by)
-        return counts.select(
-            *by,
-            value,
-            *names,
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names],
-            *[F.sum(n).over(whole).alias(f"{n}_total") for n in names],
-        )
-
-    levels = 1
+    levels = 0
     while FANOUT**levels < min(MAX_BUCKETS, math.ceil(bound / window_rows)):
         levels += 1
-    edges = _edges(rows, by, value, levels)
     layers = [f"_e{level}" for level in range(levels)]
-    if by:
+    edges = _edges(rows, by, value, levels) if levels else None
+    if not levels:
+        keyed = counts
+    elif by:
         # One row per group, each with a bounded number of edges.
         keyed = counts.join(F.broadcast(edges), on=by)
     else:
@@ -179,35 +168,16 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group, one output row per group.
 
-    The built-in ``percentile`` keeps a map of all distinct values of a group in
-    one task.  It is used where their number is checked to be small; otherwise
-    the quantiles are read off the bucketed running totals.
+    Read off the running totals: the built-in ``percentile`` would gather all
+    distinct values of a group in one task.
     """
     by = list(by)
-    present = df.where(F.col(value).isNotNull()).select(*by, value)
-    bound = distinct_bound(present, by, value)
-    if bound <= window_rows:
-        return present.groupBy(*by).agg(
-            *[F.percentile(value, float(q)).cast("double").alias(n) for n, q in probs.items()]
-        )
-    cum = cumulative(
-        present, value, {"n": F.lit(1)}, by, window_rows=window_rows, distinct=bound
-    )
+    cum = cumulative(df, value, {"n": F.lit(1)}, by, window_rows=window_rows)
     return cum.groupBy(*by).agg(
         *[quantile_of(value, "n", q).cast("double").alias(n) for n, q in probs.items()]
     )
 
 
-def value_at_rank(
-    df: DataFrame, value: str, rank: int, *, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """The row of the cumulative table that holds the ``rank``-th smallest (from 0)."""
-    cum = cumulative(df, value, {"n": F.lit(1)}, window_rows=window_rows)
-    return cum.where(
-        (F.col("n_before") <= F.lit(rank)) & (F.lit(rank) < F.col("n_before") + F.col("n"))
-    )
-
-
 def quantile_bins(
     df: DataFrame,
     columns: Sequence[str],
