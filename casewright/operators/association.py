@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,25 +150,40 @@ def spearman(
 def variance_inflation(df: DataFrame, fills: dict[str, float]) -> DataFrame:
     """VIF of median-filled columns, without an intercept: ``G_ii * inverse(G)_ii``.
 
-    One pass sums the cross-products of all pairs; only the d x d matrix reaches
-    the driver.  Columns are scaled by their root mean square first, which
-    leaves the result unchanged and the matrix well conditioned.
+    One pass returns the matrix of cross-products per block of rows, which Spark
+    sums; only the d x d matrix reaches the driver.  Constant columns are left
+    out.  Columns are scaled by their root mean square first, which leaves the
+    result unchanged and the matrix well conditioned.
     """
     columns = list(fills)
     filled = df.select(
         *[F.coalesce(F.col(c).cast("double"), F.lit(float(fills[c]))).alias(c) for c in columns]
     )
-    sums = filled.agg(
-        *[F.stddev_samp(c).alias(f"s_{c}") for c in columns],
-        *[
-            F.sum(F.col(a) * F.col(b)).alias(f"g_{i}_{j}")
-            for i, a in enumerate(columns)
-            for j, b in enumerate(columns)
-            if i <= j
-        ],
-    ).first()
-    kept = [i for i, c in enumerate(columns) if sums[f"s_{c}"]]
-    gram = np.array([[sums[f"g_{min(i, j)}_{max(i, j)}"] for j in kept] for i in kept])
+    d = len(columns)
+
+    def products(batches):
+        total, low, high = np.zeros((d, d)), np.full(d, np.inf), np.full(d, -np.inf)
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if len(x):
+                total += x.T @ x
+                low, high = np.minimum(low, x.min(0)), np.maximum(high, x.max(0))
+        at = np.arange(d)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (np.repeat(at, d), np.tile(at, d), total.ravel(), np.repeat(low, d), np.repeat(high, d))],
+            ["i", "j", "g", "low", "high"],
+        )
+
+    parts = filled.mapInArrow(products, "i bigint, j bigint, g double, low double, high double")
+    sums = parts.groupBy("i", "j").agg(
+        F.sum("g").alias("g"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    gram, varies = np.zeros((d, d)), np.zeros(d, bool)
+    for row in sums.collect():  # d x d rows
+        gram[row["i"], row["j"]] = row["g"]
+        varies[row["i"]] = row["high"] > row["low"]
+    kept = np.flatnonzero(varies)
+    gram = gram[np.ix_(kept, kept)]
     size = np.sqrt(np.diag(gram))
     vif = np.diag(np.linalg.pinv(gram / np.outer(size, size)))
     rows = [(columns[i], float(v)) for i, v in zip(kept, vif)]

@@ -125,6 +125,18 @@ def test_spearman_and_ks_by_brute_force(spark, frame):
     assert ks["statistic"] == pytest.approx(np.abs(curves[0] - curves[1]).max())
 
 
+def test_variance_inflation_by_brute_force(spark, frame):
+    pdf = frame.assign(z=frame.v.fillna(2.0) + frame.y, one=1.0)
+    got = A.variance_inflation(to_spark(spark, pdf).repartition(5), {"v": 2.0, "w": 0.0, "y": 0.0, "z": 0.0, "one": 0.0})
+    got = {r["column"]: r["vif"] for r in got.collect()}
+    x = pdf[["v", "w", "y"]].fillna(2.0).to_numpy(float)
+    w = x[:, 1]
+    rest = pdf[["v", "y"]].fillna(2.0).to_numpy(float)
+    left = w - rest @ np.linalg.lstsq(rest, w, rcond=None)[0]
+    assert set(got) == {"v", "w", "y", "z"}  # z is v + y: the pseudo-inverse stays finite
+    assert got["w"] == pytest.approx((w @ w) / (left @ left))
+
+
 @pytest.mark.parametrize("window_rows", [SMALL, ranking.WINDOW_ROWS])
 def test_capacity_with_a_hot_score(spark, frame, window_rows):
     kept = frame.dropna(subset=["v"])
