@@ -152,7 +152,8 @@ def cut_repeats(
     around = own.join(of_doc, "id").select("id", "text", "anchors")
     runs = staged(map_batches(around, _runs(length, seed), "run bigint, id bigint"))
     starts = runs.groupBy("run").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    cut = runs.join(starts.select("run", "lo"), "run").where("id > lo").groupBy("id").agg(F.collect_set("run").alias("runs"))
+    starts = staged(starts.select("run", "lo"))  # a table of its own, so that a hot run's rows are split in the join
+    cut = runs.join(maybe_broadcast(starts), "run").where("id > lo").groupBy("id").agg(F.collect_set("run").alias("runs"))
 
     base = docs.select(
         F.col(id_col).alias("_id"),
