@@ -344,7 +344,7 @@ def near_vectors(
     distinct = staged(distinct.withColumn("dim", F.size("vec")))
     out = rows.select("id", "vec")
     names = []
-    for (dim,) in distinct.select("dim").distinct().limit(1_000).collect():
+    for (dim,) in distinct.select("dim").distinct().collect():
         names.append(_one_size(spark, distinct.where(F.col("dim") == dim), least, shards, shard_rows, block_rows, beam, audit, recall, seed))
     if not names:
         return out.select(F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
