@@ -314,7 +314,8 @@ def interval_probabilities(score: Column, cuts: Sequence[float], sigma: float) -
     @F.pandas_udf("array<double>")
     def run(values: pd.Series) -> pd.Series:
         z = (np.array(edges)[None, :] - values.to_numpy()[:, None]) / sigma
-        below = 0.5 * np.vectorize(math.erfc)(-z / math.sqrt(2.0)) if len(z) else z
+        flat = (-z / math.sqrt(2.0)).ravel()
+        below = 0.5 * np.fromiter(map(math.erfc, flat.tolist()), float, z.size).reshape(z.shape)
         padded = np.hstack([np.zeros((len(z), 1)), below, np.ones((len(z), 1))])
         parts = np.maximum(np.diff(padded, axis=1), FLOOR)
         return pd.Series(list(parts / parts.sum(axis=1, keepdims=True)))
@@ -496,14 +497,14 @@ FAMILIES: dict[str, Family] = {
         Family("random_forest", "Random forest", fit_random_forest, False, False, 3),
         Family(
             "hist_gb",
-            "Histogram gradient boosting (scikit-learn)",
+            "Boosted trees, one against the rest, all rows and columns",
             _ovr(HIST_GB),
             False,
             False,
             4,
         ),
-        Family("xgboost", "XGBoost", _ovr(XGBOOST), False, False, 4, XGBOOST_SPACE),
-        Family("lightgbm", "LightGBM", _ovr(LIGHTGBM), False, False, 4, LIGHTGBM_SPACE),
+        Family("xgboost", "Boosted trees, one against the rest, sampled, small leaves", _ovr(XGBOOST), False, False, 4, XGBOOST_SPACE),
+        Family("lightgbm", "Boosted trees, one against the rest, sampled, large leaves", _ovr(LIGHTGBM), False, False, 4, LIGHTGBM_SPACE),
         Family("stacked", "Stacked ensemble", fit_stacked, True, False, 7),
     )
 }

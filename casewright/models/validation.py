@@ -111,6 +111,33 @@ def cross_validate(
     return fold_metrics(oof).withColumn("model", F.lit(family)), oof
 
 
+def run_families(
+    df: DataFrame,
+    names: Sequence[str],
+    spec: FeatureSpec,
+    label: str,
+    key: str,
+    *,
+    k: int = 5,
+    repeats: int = 3,
+    seed: int = 42,
+    params: Mapping[str, Mapping[str, Any]] | None = None,
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Fold metrics of several families on the same folds, and each one's out-of-fold rows.
+
+    The table is staged once with its folds; all families read from it.
+    """
+    folded, columns = with_folds(df, key, label, k=k, repeats=repeats, seed=seed)
+    oof, folds = {}, []
+    for name in names:
+        options = (params or {}).get(name)
+        oof[name] = staged(
+            out_of_fold(folded, name, spec, label, key, columns, k, seed=seed, params=options)
+        )
+        folds.append(fold_metrics(oof[name]).withColumn("model", F.lit(name)))
+    return staged(reduce(DataFrame.unionByName, folds)), oof
+
+
 def compare_families(
     folds: Sequence[DataFrame], metric: str = "qwk"
 ) -> DataFrame:
@@ -243,6 +270,12 @@ def tune_family(
     return trial_log(reduce(DataFrame.unionByName, parts))
 
 
+def best_params(log: DataFrame, trials: Sequence[Mapping[str, Any]]) -> dict[str, Any]:
+    """The drawn parameters of the trial with the highest kappa, the first of equals."""
+    best = log.orderBy(F.desc("cv_qwk"), "trial").select("trial").first()
+    return dict(trials[best["trial"]])
+
+
 def top_trials(trials: DataFrame, n: int = 5) -> DataFrame:
     """Best ``n`` trials per model (a report top-n), and which one is the best."""
     order = Window.partitionBy("model").orderBy(F.desc("cv_qwk"), "trial")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.functions.probability import argmax_class, tail_probability
-from casewright.operators.metrics import CLASSES, CUT
+from casewright.operators.metrics import CLASSES, CUT, point_metrics
 from casewright.operators.ranking import WINDOW_ROWS, cumulative
 from casewright.session import small_table, staged
 
@@ -244,6 +244,22 @@ def cost_aware_columns(
     return {"argmax": top, "adjusted": adjusted, "progress": progress}
 
 
+def compare_rules(
+    df: DataFrame,
+    y: str,
+    proba: str,
+    threshold: float,
+    *,
+    classes: Sequence[int] = CLASSES,
+    cut: int = CUT,
+) -> DataFrame:
+    """Point metrics of the likeliest class and of the cost-aware class, a row per ``rule``."""
+    made = cost_aware_columns(F.col(proba), threshold, classes=classes, cut=cut)
+    rules = df.select(F.col(y).alias("y"), made["argmax"].alias("argmax"), made["adjusted"].alias("cost_aware"))
+    long = rules.unpivot(["y"], ["argmax", "cost_aware"], "rule", "pred")
+    return point_metrics(long, by=["rule"], classes=classes, cut=cut)
+
+
 def prediction_table(
     df: DataFrame,
     key: str,

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.functions.probability import argmax_class
+from casewright.models.ordered_logit import fit_ordered_logit
 from casewright.operators import splits
-from casewright.operators.metrics import CLASSES, qwk
+from casewright.operators.features import FeatureSpec
+from casewright.operators.metrics import CLASSES, join_groups, qwk
+from casewright.operators.profile import class_ranges
 from casewright.operators.ranking import exact_quantiles, quantile_bins
 from casewright.session import small_table, staged
 
@@ -157,6 +160,61 @@ def severity_attributions(
     )
 
 
+def model_attributions(
+    df: DataFrame,
+    key: str,
+    model: Any,
+    features: Sequence[str],
+    background: DataFrame,
+    *,
+    seed: int = 42,
+    classes: Sequence[int] = CLASSES,
+) -> DataFrame:
+    """Permutation attributions for a model of any family: ``(key, base, prediction, values)``.
+
+    As ``severity_attributions``, with the model's own ``score`` on copies of the
+    rows: 2 (features + 1) x background rows a row, so ``df`` is a sample of cases
+    and ``background`` a few dozen rows. Steps are averaged before they are put
+    side by side, so one case is a few hundred rows in a task.
+    """
+    d = len(features)
+    draws = [F.struct(F.xxhash64(F.lit(seed), F.col(key), F.lit(j)).alias("h"), F.lit(j).alias("j")) for j in range(d)]
+    order = F.transform(F.array_sort(F.array(*draws)), lambda s: s["j"])
+    rows = df.select(key, F.struct(*features).alias("_own"), order.alias("_order"))
+    bag = background.agg(F.collect_list(F.struct(*features)).alias("_bag"))
+    walked = (
+        join_groups(rows, bag, [])
+        .withColumn("_other", F.explode("_bag"))
+        .withColumn("_back", F.explode(F.array(F.lit(False), F.lit(True))))
+        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(d))))
+    )
+
+    def cell(j: int, name: str) -> Column:
+        place = F.array_position("_order", F.lit(j))  # from 1
+        taken = F.when(F.col("_back"), place > d - F.col("_step")).otherwise(place <= F.col("_step"))
+        return F.when(taken, F.col("_own")[name]).otherwise(F.col("_other")[name]).alias(name)
+
+    copies = walked.select(key, "_order", "_back", "_step", *[cell(j, c) for j, c in enumerate(features)])
+    expected = sum((F.lit(float(c)) * F.get("proba", F.lit(i)) for i, c in enumerate(classes)), F.lit(0.0))
+    scored = model.score(copies).select(key, "_order", "_back", "_step", expected.alias("_v"))
+    means = scored.groupBy(key, "_back", "_step").agg(F.avg("_v").alias("_v"), F.first("_order").alias("_order"))
+    steps = Window.partitionBy(key, "_back").orderBy("_step")  # features + 1 rows
+    at = F.when(F.col("_back"), d - F.col("_step")).otherwise(F.col("_step") - 1)
+    gains = means.withColumn("_gain", F.col("_v") - F.lag("_v").over(steps))
+    gains = gains.withColumn("_j", F.when(F.col("_step") > 0, F.get("_order", at)))
+    per_feature = gains.groupBy(key, "_j").agg(
+        F.avg("_gain").alias("_gain"),
+        F.avg(F.when(F.col("_step") == 0, F.col("_v"))).alias("_base"),
+        F.avg(F.when(F.col("_step") == d, F.col("_v"))).alias("_end"),
+    )
+    listed = F.array_sort(F.collect_list(F.when(F.col("_j").isNotNull(), F.struct("_j", "_gain"))))
+    return per_feature.groupBy(key).agg(
+        F.max("_base").alias("base"),
+        F.max("_end").alias("prediction"),
+        F.transform(listed, lambda s: s["_gain"]).alias("values"),
+    )
+
+
 def mean_absolute(
     df: DataFrame, values: str, names: Sequence[str], top: int | None = 30
 ) -> DataFrame:
@@ -303,6 +361,25 @@ def latent_per_class(df: DataFrame, eta: str, label: str) -> DataFrame:
     return base.join(F.broadcast(ends), "severity", "left")  # a row per class
 
 
+def recovered_boundaries(
+    df: DataFrame, feature: str, label: str, classes: Sequence[int] = CLASSES
+) -> DataFrame:
+    """Ranges of ``feature`` per class beside the boundaries a one-variable ordered logit finds.
+
+    ``recovered_upper_boundary`` is the feature's value at which the next class
+    becomes as likely as not; null for the last class.
+    """
+    rows = staged(df.where(F.col(feature).isNotNull()).select(label, feature))
+    spec = FeatureSpec((feature,), (), {feature: "raw_numeric"})
+    fitted = fit_ordered_logit(
+        rows, spec, label, classes=tuple(classes), alpha=1e-6, class_weight=None, scaled=False
+    )
+    slope = fitted.model.beta[0]
+    ends = [(int(c), cut / slope) for c, cut in zip(classes, fitted.model.cuts)] + [(int(classes[-1]), None)]
+    bounds = small_table(df.sparkSession, ends, f"{label} int, recovered_upper_boundary double")
+    return class_ranges(rows, feature, label).join(F.broadcast(bounds), label)  # a row per class
+
+
 def boundary_spacing(table: DataFrame, order: str, boundary: str) -> DataFrame:
     """Distance of each boundary to the one before."""
     steps = Window.partitionBy(F.lit(0)).orderBy(order)  # a row per boundary

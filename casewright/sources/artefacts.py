@@ -1,26 +1,58 @@
-"""Persist and load a fitted ordered logit with its preprocessor and decision rule, as tables."""
+"""Persist and load a fitted model of any family with its decision rule."""
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass, fields
+from typing import Any
 
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    LogisticRegressionModel,
+    RandomForestClassificationModel,
+)
+from pyspark.ml.regression import GBTRegressionModel, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import __version__
-from casewright.models.ordered_logit import OrderedLogit, Scorer
+from casewright.models import baselines, families, ordered_logit
+from casewright.models.validation import CalibratedModel
 from casewright.operators.prep import Preprocessor
 from casewright.session import small_table
 
 KIND = "casewright.artefact"
 
+# Records are kept field by field; models that Spark fitted have a folder each.
+_RECORDS = {
+    "OrderedScorer": ordered_logit.Scorer,
+    "OrderedLogit": ordered_logit.OrderedLogit,
+    "Preprocessor": Preprocessor,
+    "Multinomial": families.Multinomial,
+    "OneVersusRest": families.OneVersusRest,
+    "FrankHall": families.FrankHall,
+    "RegressionCuts": families.RegressionCuts,
+    "Stacked": families.Stacked,
+    "Majority": baselines.Majority,
+    "OneFeatureRule": baselines.OneFeatureRule,
+}
+_FITTED = {
+    c.__name__: c
+    for c in (
+        LogisticRegressionModel,
+        RandomForestClassificationModel,
+        GBTClassificationModel,
+        GBTRegressionModel,
+        IsotonicRegressionModel,
+    )
+}
+
 
 @dataclass(frozen=True)
 class Artefact:
     """What scoring needs: the fitted model, its threshold and the rule behind it."""
 
-    scorer: Scorer
+    scorer: families.Scorer
     family: str
     threshold: float
     cost_ratio: float
@@ -29,23 +61,53 @@ class Artefact:
     version: str = __version__
 
 
+def _pack(value: Any, fitted: list[Any]) -> Any:
+    """``value`` as JSON content; models that Spark fitted are put in ``fitted``."""
+    if type(value).__name__ in _FITTED:
+        fitted.append(value)
+        return {"fitted": type(value).__name__, "folder": len(fitted) - 1}
+    if isinstance(value, CalibratedModel):
+        return {"calibrated": _pack([value.members, value.classes], fitted)}
+    for name, kind in _RECORDS.items():
+        if type(value) is kind:
+            return {"record": name, "fields": {f.name: _pack(getattr(value, f.name), fitted) for f in fields(value)}}
+    if isinstance(value, dict):
+        return {"map": [[k, _pack(v, fitted)] for k, v in value.items()]}
+    if isinstance(value, (list, tuple)):
+        return [_pack(v, fitted) for v in value]
+    if value is None or isinstance(value, (str, bool, int, float)):
+        return value
+    raise TypeError(f"a model with a {type(value).__name__} cannot be saved")
+
+
+def _unpack(content: Any, folder: str) -> Any:
+    if isinstance(content, list):
+        return tuple(_unpack(v, folder) for v in content)
+    if not isinstance(content, dict):
+        return content
+    if "fitted" in content:
+        return _FITTED[content["fitted"]].load(f"{folder}/{content['folder']}")
+    if "calibrated" in content:
+        return CalibratedModel(*_unpack(content["calibrated"], folder))
+    if "map" in content:
+        return {k: _unpack(v, folder) for k, v in content["map"]}
+    values = {k: _unpack(v, folder) for k, v in content["fields"].items()}
+    return _RECORDS[content["record"]](**values)
+
+
 def save_artefact(spark: SparkSession, artefact: Artefact, path: str) -> None:
-    """One Parquet row; nested records as JSON text, numbers at full precision."""
-    parts = {
-        "prep": asdict(artefact.scorer.prep),
-        "model": asdict(artefact.scorer.model),
-        "rule": {
-            "family": artefact.family,
-            "threshold": artefact.threshold,
-            "cost_ratio": artefact.cost_ratio,
-            "severe_from": artefact.severe_from,
-            "regime": artefact.regime,
-            "version": artefact.version,
-        },
-    }
+    """A Parquet row for model and rule, numbers at full precision; Spark's models beside it.
+
+    Models lie in ``_fitted`` below the path, a name that table readers skip.
+    """
+    fitted: list[Any] = []
+    rule = {f.name: getattr(artefact, f.name) for f in fields(artefact) if f.name != "scorer"}
+    parts = {"scorer": _pack(artefact.scorer, fitted), "rule": rule}
     rows = [(KIND, name, json.dumps(value)) for name, value in parts.items()]
     table = small_table(spark, rows, "kind string, part string, content string")
     table.coalesce(1).write.mode("overwrite").parquet(path)
+    for i, model in enumerate(fitted):
+        model.write().overwrite().save(f"{path}/_fitted/{i}")
 
 
 def load_artefact(spark: SparkSession, path: str) -> Artefact:
@@ -54,13 +116,7 @@ def load_artefact(spark: SparkSession, path: str) -> Artefact:
     if "kind" not in table.columns or table.where(F.col("kind") != KIND).limit(1).count():
         raise TypeError(f"{path} does not hold a model artefact")
     parts = {r["part"]: json.loads(r["content"]) for r in table.collect()}
-    prep = parts["prep"]
-    for name in ("numeric", "nominal"):
-        prep[name] = tuple(prep[name])
-    for name in ("levels", "rare"):
-        prep[name] = {c: tuple(v) for c, v in prep[name].items()}
-    model = {k: tuple(v) if isinstance(v, list) else v for k, v in parts["model"].items()}
-    return Artefact(Scorer(Preprocessor(**prep), OrderedLogit(**model)), **parts["rule"])
+    return Artefact(_unpack(parts["scorer"], f"{path}/_fitted"), **parts["rule"])
 
 
 def table_digest(df: DataFrame) -> DataFrame:

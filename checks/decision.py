@@ -145,11 +145,7 @@ COMPARED = ("qwk", "macro_f1", "severe_recall", "severe_precision", "severe_miss
     + " FROM both_rules GROUP BY rule",
 )
 def c7(spark, sf_dir):
-    df = scored(spark, sf_dir)
-    made = D.cost_aware_columns(F.col("proba"), THRESHOLD)
-    rules = df.select("y", made["argmax"].alias("argmax"), made["adjusted"].alias("cost_aware"))
-    long = rules.unpivot(["y"], ["argmax", "cost_aware"], "rule", "pred")
-    return rounded(M.point_metrics(long, by=["rule"]).select("rule", *COMPARED))
+    return rounded(D.compare_rules(scored(spark, sf_dir), "y", "proba", THRESHOLD).select("rule", *COMPARED))
 
 
 _PRED_SQL = (

@@ -12,9 +12,7 @@ from casewright.models import ordered_logit as O
 from casewright.models.baselines import fit_one_feature_rule
 from casewright.operators import explain as X
 from casewright.operators import metrics as M
-from casewright.operators import profile as P
 from casewright.operators import splits
-from casewright.operators.features import FeatureSpec
 from casewright.operators.prep import medians
 from casewright.session import small_table, staged
 from checks.evaluation import listed
@@ -229,28 +227,15 @@ def x9(spark, sf_dir):
     return rounded(X.latent_per_class(scored(spark, sf_dir), "eta", "y"))
 
 
-def _recovered(spark, sf_dir):
-    """(boundary per class from a one-variable fit, class ranges)."""
-    frame = staged(cleaned(spark, sf_dir).where(F.col("impact_score").isNotNull()).select("severity", "impact_score"))
-    spec = FeatureSpec(("impact_score",), (), {"impact_score": "raw_numeric"})
-    fitted = O.fit_ordered_logit(
-        frame, spec, "severity", classes=CLASSES, alpha=1e-6, class_weight=None, scaled=False
-    )
-    slope = fitted.model.beta[0]
-    rows = [(c, cut / slope) for c, cut in zip(CLASSES, fitted.model.cuts)] + [(CLASSES[-1], None)]
-    bounds = small_table(frame.sparkSession, rows, "severity int, recovered_upper_boundary double")
-    return bounds, P.class_ranges(frame, "impact_score", "severity")
-
-
 @query(
     "x10_recovered_boundaries",
     with_clean("SELECT severity, TRUE AS above_the_last FROM clean WHERE impact_score IS NOT NULL GROUP BY severity"),
 )
 def x10(spark, sf_dir):
-    bounds, ranges = _recovered(spark, sf_dir)
+    table = X.recovered_boundaries(cleaned(spark, sf_dir), "impact_score", "severity")
     upper = F.coalesce("recovered_upper_boundary", F.lit(float("inf")))
     last = F.lag(upper, 1, float("-inf")).over(Window.partitionBy(F.lit(0)).orderBy("severity"))  # a row a class
-    return ranges.join(F.broadcast(bounds), "severity").select("severity", (upper > last).alias("above_the_last"))
+    return table.select("severity", (upper > last).alias("above_the_last"))
 
 
 @query(
