@@ -4,12 +4,14 @@
    with equal words are one item until the end.
 2. Documents are scanned once; n-grams whose slot is set in a bitmap of fixed
    size (the items' grams) go on to an exact equi-join with the items' grams.
-3. Seeds are an item's rare grams: met at most ``common`` times as often as its
-   middle one. (Rarity is relative to the item: a passage copied a million
-   times makes all its own grams frequent alike, and stays.)
-4. Seeds of one document and item that lie near one diagonal make a window;
-   Smith-Waterman over words scores it: match 2, mismatch and gap -1. The score
-   is divided by that of an exact copy.
+3. Seeds of one document and item that lie near one diagonal make a window. All
+   grams of an item are seeds; those met more than ``common`` times as often as
+   its middle one are frequent.
+4. Smith-Waterman over words scores a window: match 2, mismatch and gap -1. The
+   score is divided by that of an exact copy. A window that rests on frequent
+   seeds is first written in the item's own words, all others alike and cut off
+   at the ends, which changes no score: one with too few of the item's words for
+   the least score is left, and equal ones are aligned once in a task.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from casewright.llm.common import gram_hashes, map_batches, maybe_broadcast, sig
 from casewright.session import staged
 
 SLOTS = 1 << 24  # bits of the scan's filter: 2 MB, whatever the benchmark's size
+KNOWN = 100_000  # aligned windows a task keeps at hand
+TOGETHER = 256  # about as many windows of a document are scored in one row
 _BLANK = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -124,21 +128,44 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     return out
 
 
+def align_coded(item: np.ndarray, window: np.ndarray, least: float, key: int, known: dict) -> tuple[int, int, int]:
+    """``align``, or zeros where ``least`` is out of reach; ``known`` holds windows aligned before.
+
+    Words that the item lacks only ever mismatch, so they are one code; at the
+    ends no best alignment covers them.
+    """
+    own, coded, n_own = np.unique(item, return_inverse=True, return_counts=True)
+    code = np.minimum(np.searchsorted(own, window), len(own) - 1)
+    code = np.where(own[code] == window, code, -1)
+    at = np.flatnonzero(code >= 0)
+    # A score is at most twice the words in common.
+    both = int(np.minimum(np.bincount(code[at], minlength=len(own)), n_own).sum())
+    if not both or both / len(item) < least:
+        return 0, 0, 0
+    code = code[at[0] : at[-1] + 1]
+    seen = key, len(code), xxhash.xxh3_128_digest(code.tobytes())
+    if seen not in known:
+        if len(known) >= KNOWN:
+            known.clear()
+        known[seen] = align(coded, code)
+    score, start, end = known[seen]
+    return score, start + int(at[0]), end + int(at[0])
+
+
 def _score(step: int, least: float):
+    known: dict[tuple, tuple] = {}
+
     def run(batch):
         out = []
-        items, words = batch.column(2), batch.column(3)
-        for doc, text, its, words, spots in zip(
-            batch.column(0).to_pylist(), batch.column(1).to_pylist(), items.to_pylist(), words.to_pylist(), batch.column(4).to_pylist()
-        ):
+        for doc, text, its, words, spots, rares in zip(*(batch.column(i).to_pylist() for i in range(6))):
             h = word_hashes(plain_words(text))
             best: dict[int, tuple] = {}
-            for item, raw, spot in sorted(zip(its, words, spots), key=lambda x: (x[0], x[2])):
+            for item, raw, spot, rare in sorted(zip(its, words, spots, rares), key=lambda x: (x[0], x[2])):
                 w = np.frombuffer(raw, np.uint64)
                 slack = len(w) // 2 + 4
                 a = max(0, spot * step - slack)
                 b = min(len(h), (spot + 2) * step + len(w) + slack)
-                score, s, e = align(w, h[a:b])
+                score, s, e = align(w, h[a:b]) if rare else align_coded(w, h[a:b], least, item, known)
                 found = (score / (2 * len(w)), -(a + s), a + e)
                 if found[0] >= least and found > best.get(item, (0.0, 0, 0)):
                     best[item] = found
@@ -171,7 +198,8 @@ def contaminated(
     One row for each document and item with a score of at least ``least`` (1: an
     exact copy); [start, end) are the passage's words, punctuation dropped, of
     the best alignment (the first, if several are equal). A window needs
-    ``seeds`` different seeds, or one if the item has fewer grams. Null and
+    ``seeds`` different seeds, or one if the item has fewer grams; ``common`` says
+    which seeds count as frequent, and no result depends on it. Null and
     empty texts and rows with a null id match nothing, nor do items of fewer than
     ``n`` words. Repeated documents give one row; items with equal words each
     give theirs. Rows that share an id are judged together, as one id.
@@ -189,19 +217,27 @@ def contaminated(
     middle = counted.groupBy("item").agg(
         F.percentile_approx("times", 0.5, 1000).alias("middle"), F.count_distinct("gram").alias("own")
     )
-    rare = counted.join(middle, "item").where(F.col("times") <= F.col("middle") * common)
-    rare = staged(rare.select("gram", "item", "place", F.least(F.lit(seeds), F.col("own")).alias("need")))
+    all_seeds = counted.join(middle, "item").select(
+        "gram", "item", "place", F.least(F.lit(seeds), F.col("own")).alias("need"), (F.col("times") <= F.col("middle") * common).alias("rare")
+    )
+    all_seeds = staged(all_seeds)
     # A window spans two steps of diagonals, so that seeds at a border meet in one.
     spot = F.floor((F.col("at") - F.col("place")) / step)
     spots = F.explode(F.array(spot, spot - 1))
-    windows = hits.join(maybe_broadcast(rare), "gram").select("doc", "item", "place", "need", spots.alias("spot"))
+    windows = hits.join(maybe_broadcast(all_seeds), "gram").select("doc", "item", "place", "need", "rare", spots.alias("spot"))
     windows = windows.groupBy("doc", "item", "spot").agg(
-        F.collect_set("place").alias("places"), F.max("need").alias("need")
+        F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("rare"), F.col("place"))).alias("few"), F.max("need").alias("need")
     ).where("size(places) >= need")
-    windows = windows.select("doc", "item", "spot").join(maybe_broadcast(items.select("item", "words")), "item")
-    listed = windows.groupBy("doc").agg(F.collect_list(F.struct("item", "words", "spot")).alias("w"))
-    listed = staged(listed.select("doc", "w.item", "w.words", "w.spot"))
-    to_align = rows.join(maybe_broadcast(listed, 20_000), "doc").select("doc", "text", "item", "words", "spot")
+    windows = staged(windows.select("doc", "item", "spot", (F.size("few") >= F.col("need")).alias("rare")))
+    # The windows of one document and item stay in one row.
+    parts = windows.groupBy("doc").agg(F.ceil(F.count("*") / TOGETHER).alias("parts")).where("parts > 1")
+    windows = windows.join(maybe_broadcast(staged(parts)), "doc", "left").withColumn(
+        "part", F.pmod(F.xxhash64("item"), F.coalesce("parts", F.lit(1)))
+    )
+    windows = windows.join(maybe_broadcast(items.select("item", "words")), "item")
+    listed = windows.groupBy("doc", "part").agg(F.collect_list(F.struct("item", "words", "spot", "rare")).alias("w"))
+    listed = staged(listed.select("doc", "w.item", "w.words", "w.spot", "w.rare"))
+    to_align = rows.join(maybe_broadcast(listed, 20_000), "doc").select("doc", "text", "item", "words", "spot", "rare")
     scored = map_batches(
         to_align, _score(step, least), "doc bigint, item bigint, score double, start bigint, end bigint"
     )

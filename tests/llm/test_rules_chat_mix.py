@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casewright.llm import queries
 from casewright.llm.chat import format_chats, loss_text, read_back
-from casewright.llm.decontaminate import align, contaminated, without_contaminated
+from casewright.llm.decontaminate import align, align_coded, contaminated, without_contaminated
 from casewright.llm.hnsw import Graph, near_vectors, unit
 from casewright.llm.mixing import mix_sources, ranked, sainte_lague
 from casewright.llm.url_rules import url_verdicts
@@ -197,6 +197,32 @@ def test_edited_passages_are_found(spark):
     assert contaminated(d.limit(0), b).count() == 0 and contaminated(d, b.limit(0)).count() == 0
 
 
+def test_coded_alignment_equals_the_plain_one():
+    draw, known = np.random.default_rng(6), {}
+    for k in range(200):
+        a, b = (draw.integers(0, 9, draw.integers(1, 20)).astype(np.uint64) for _ in range(2))
+        b[draw.random(len(b)) < 0.5] += np.uint64(100)
+        for _ in range(2):  # the second from those known
+            got = align_coded(a, b, 0.4, k, known)
+            assert got == align(a, b) or (got[0] == 0 and align(a, b)[0] < 0.4 * 2 * len(a))
+
+
+def test_popular_edited_passages_are_found(spark):
+    """Thirty documents with one edited copy of an item, and one with the item itself."""
+    item = [f"k{i}" for i in range(30)]
+    edited = [f"e{i}" if i % 4 == 3 else w for i, w in enumerate(item)]
+    bodies = [[f"u{i}x{j}" for j in range(40)] for i in range(40)]
+    texts = [x[: i % 7 + 3] + (edited if i < 30 else item if i == 30 else []) + x[i % 7 + 3 :] for i, x in enumerate(bodies)]
+    d = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id bigint, text string")
+    b = spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")
+    got = {r.doc_id: (r.item_id, r.score, r.start, r.end) for r in contaminated(d, b).collect()}
+    want = {}
+    for i, x in enumerate(texts[:31]):
+        score, start, end = align(np.array(item), np.array(x))
+        want[i] = (7, score / 60, start, end)
+    assert want[0][1] == 0.65 and want[30][1] == 1 and got == want
+
+
 def vectors(spark):
     draw = np.random.default_rng(3)
     base = draw.normal(size=(40, 16))
