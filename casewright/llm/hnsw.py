@@ -5,16 +5,19 @@ hash; each shard builds a hierarchical navigable small-world graph in its own
 task. Every vector then queries every shard: greedy descent through the upper
 layers, a beam on the lowest, and from the links found a flood along the graph
 to all others at or above the threshold. Cosines are verified in double
-precision.
+precision, a bounded slice of pairs at a time.
 
 Recall is audited before the full run: a bounded sample is compared with all
 vectors by brute force, and the beam doubles until the index finds the wanted
-share of the links (a beam as wide as a shard is a full scan).
-
-A shard first queries itself and unites its own links, so that a vector's
-links in a shard are passed on as a count and the distinct roots they lie in:
-a group of n near copies costs rows in proportion to n. The components are then
-those of vectors and roots.
+share of a vector's links, on average over all vectors with links and over those
+with about as many (a beam as wide as a shard is a full scan).
+
+A shard first queries itself and unites its own links. Two shards then query
+each other in one task; their links are a bit for each two vectors (312 MB for
+two full shards), so that a link found from either end counts for both. Counts
+and the distinct pairs of roots are passed on: a group of n near copies costs
+rows in proportion to n, and memory does not depend on its size. The components
+are then those of vectors and roots.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from casewright.session import staged
 
 M, M0, BUILD_BEAM = 16, 32, 48
 BATCH, STEP = 256, 4
+SLICE = 1 << 16  # pairs whose vectors are gathered at a time
 GRAPH = "shard int, ids binary, weight binary, vec binary, dim int, nodes array<binary>, links array<binary>"
 
 
@@ -171,31 +175,43 @@ class Graph:
 
     def near(self, q: np.ndarray, ef: int, least: float):
         """``(query, node)`` pairs whose similarity is about ``least`` or more."""
+        out = [np.argwhere(hit) + [lo, 0] for lo, hit in self.hits(q, ef, least)]
+        return np.concatenate(out) if out else np.empty((0, 2), int)
+
+    def hits(self, q: np.ndarray, ef: int, least: float, step: int = BATCH):
+        """``(first query, hits)`` for each ``step`` queries: a row of flags per query, set
+        for the nodes whose similarity is about ``least`` or more."""
         vec, links = self.vec, self.layers[0][1]
-        n, out = len(vec), []
-        for lo in range(0, len(q), BATCH):
-            part = q[lo : lo + BATCH]
+        n = len(vec)
+        for lo in range(0, len(q), step):
+            part = q[lo : lo + step]
             if ef >= n:
-                out.append(np.argwhere(part @ vec.T >= least) + [lo, 0])
+                yield lo, part @ vec.T >= least
                 continue
             ids, sims = beam_search(vec, links, part, self._entry(part, self.layers[0][0][0]), ef)
             hit = np.zeros((len(part), n), bool)
             r, c = np.nonzero(sims >= least)
             hit[r, ids[r, c]] = True
             tried = hit.copy()
-            front = np.argwhere(hit)
-            while len(front):  # from links to their neighbours
-                to = links[front[:, 1]]
-                pair = np.unique(np.repeat(front[:, 0], to.shape[1]) * n + np.where(to >= 0, to, front[:, 1:]).ravel())
+            fronts = [np.flatnonzero(hit)]
+            while fronts:  # from links to their neighbours, a slice at a time
+                front = fronts.pop()
+                if len(front) > SLICE:
+                    fronts.append(front[SLICE:])
+                    front = front[:SLICE]
+                to = links[front % n]
+                pair = np.unique(((front // n * n)[:, None] + to)[to >= 0])
+                pair = pair[~tried.ravel()[pair]]
                 r, c = pair // n, pair % n
-                new = ~tried[r, c]
-                r, c = r[new], c[new]
                 tried[r, c] = True
-                good = np.einsum("kd,kd->k", part[r], vec[c]) >= least
-                front = np.stack([r[good], c[good]], 1)
-                hit[front[:, 0], front[:, 1]] = True
-            out.append(np.argwhere(hit) + [lo, 0])
-        return np.concatenate(out) if out else np.empty((0, 2), int)
+                good = np.empty(len(pair), bool)
+                for at in range(0, len(pair), SLICE):
+                    few = slice(at, at + SLICE)
+                    good[few] = np.einsum("kd,kd->k", part[r[few]], vec[c[few]]) >= least
+                hit[r[good], c[good]] = True
+                if good.any():
+                    fronts.append(pair[good])
+            yield lo, hit
 
 
 def _rows(table: pa.Table, column: str) -> np.ndarray:
@@ -232,84 +248,151 @@ def _load(row: dict):
     return ids, weight, raw, Graph(unit(raw), layers)
 
 
-def _links(q, raw, graph, ef, least):
-    """Verified links of queries ``q`` in a shard, as (query, node) pairs."""
-    found = graph.near(unit(q), ef, least - 1e-4)
-    a, b = q[found[:, 0]], raw[found[:, 1]]
-    cos = np.einsum("kd,kd->k", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
-    return found[cos >= least]
+def _links(q, raw, graph, ef, least, step=BATCH):
+    """Verified links of queries ``q`` in a shard, as ``Graph.hits`` gives them."""
+    long_q, long_raw = np.linalg.norm(q, axis=1), np.linalg.norm(raw, axis=1)
+    for lo, hit in graph.hits(unit(q), ef, least - 1e-4, step):
+        flags, pair = hit.ravel(), np.flatnonzero(hit)
+        for at in range(0, len(pair), SLICE):
+            few = pair[at : at + SLICE]
+            a, b = few // len(raw) + lo, few % len(raw)
+            cos = np.einsum("kd,kd->k", q[a], raw[b]) / (long_q[a] * long_raw[b])
+            flags[few[cos < least]] = False
+        yield lo, hit
+
+
+def _both_ways(a, b, graph_a, graph_b, ef, least, step):
+    """Links of ``a`` with ``b`` found from either end: a row of bits for each of ``a``."""
+    bits = np.zeros((len(a), -(-len(b) // 8)), np.uint8)
+    for lo, hit in _links(a, b, graph_b, ef, least, step):
+        bits[lo : lo + len(hit)] |= np.packbits(hit, axis=1)
+    for lo, hit in _links(b, a, graph_a, ef, least, step):
+        part = np.packbits(hit.T, axis=1)
+        bits[:, lo // 8 : lo // 8 + part.shape[1]] |= part
+    return bits
 
 
-def _own(ef: int, least: float):
+def _unpacked(bits, n, step):
+    for lo in range(0, len(bits), step):
+        yield lo, np.unpackbits(bits[lo : lo + step], axis=1, count=n).astype(bool)
+
+
+def _unite(root, a, b):
+    """Unite the classes of ``a`` and ``b``, pair by pair; each place's root is its class's smallest."""
+    a, b = root[a], root[b]
+    while (apart := a != b).any():
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while ((up := root[root]) != root).any():
+            root[:] = up
+        a, b = root[a], root[b]
+
+
+def _own(ef: int, least: float, step: int = BATCH):
     """A shard's links among its own vectors: a count and a root for each."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, weight, raw, graph = _load(table.to_pylist()[0])
-        found = _links(raw, raw, graph, ef, least)
-        found = found[found[:, 0] != found[:, 1]]
-        # Links found from either end count once for both.
-        pair = np.unique(np.concatenate([found, found[:, ::-1]]), axis=0).astype(np.int64)
-        n_links = np.bincount(pair[:, 0], weight[pair[:, 1]], minlength=len(ids)).astype(np.int64) if len(pair) else np.zeros(len(ids), np.int64)
-        root = np.arange(len(ids))
-        while len(pair):  # ids are sorted, so the smallest place is the smallest id
-            low = root.copy()
-            np.minimum.at(low, pair[:, 0], root[pair[:, 1]])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
-        shard = pa.array(np.full(len(ids), table["shard"][0].as_py(), np.int32))
+        n, root = len(ids), np.arange(len(ids))
+        n_links = np.zeros(n, np.int64)
+        # ids are sorted, so the smallest place is the smallest id
+        for lo, hit in _unpacked(_both_ways(raw, raw, graph, graph, ef, least, step), n, step):
+            hit[np.arange(len(hit)), lo + np.arange(len(hit))] = False
+            pair = np.flatnonzero(hit)
+            for at in range(0, len(pair), SLICE):
+                a, b = pair[at : at + SLICE] // n + lo, pair[at : at + SLICE] % n
+                np.add.at(n_links, a, weight[b])
+                _unite(root, a, b)
+        shard = pa.array(np.full(n, table["shard"][0].as_py(), np.int32))
         return pa.table({"shard": shard, "id": ids, "n_links": n_links, "root": ids[root]})
 
     return run
 
 
-def _cross(ef: int, least: float):
-    """Links of a block of other shards' vectors: a count and the distinct roots for each."""
-
-    def run(graphs: pa.Table, queries: pa.Table) -> pa.Table:
-        if not (graphs.num_rows and queries.num_rows):
-            return pa.table({"id": pa.array([], pa.int64()), "n_links": pa.array([], pa.int64()), "roots": pa.array([], pa.list_(pa.int64()))})
-        row = graphs.to_pylist()[0]
-        _, weight, raw, graph = _load(row)
-        root = np.frombuffer(row["root"], np.int64) if row.get("root") else None
-        ids = queries["id"].to_numpy()
-        found = _links(_rows(queries, "vec"), raw, graph, ef, least)
-        n_links = np.bincount(found[:, 0], weight[found[:, 1]], minlength=len(ids)).astype(np.int64)
-        roots = [[] for _ in ids]
-        if root is not None and len(found):
-            for i, r in np.unique(np.stack([found[:, 0], root[found[:, 1]]], 1), axis=0).tolist():
-                roots[i].append(r)
-        some = n_links > 0
+def _cross(ef: int, least: float, step: int = BATCH):
+    """Links between two shards, counted for both ends, and the roots they unite.
+
+    Rows hold either an id and its count or two roots.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        both = table.to_pylist()
+        out_id, out_n = np.empty(0, np.int64), np.empty(0, np.int64)
+        ties = np.empty((0, 2), np.int64)  # pairs of roots
+        if len(both) == 2:
+            (ids, weight, raw, graph), (ids2, weight2, raw2, graph2) = map(_load, both)
+            root, root2 = (np.frombuffer(x["root"], np.int64) for x in both)
+            # ids are sorted; a pair of roots is kept as one number made of their places
+            root, root2 = np.searchsorted(ids, root), np.searchsorted(ids2, root2)
+            tied = np.empty(0, np.int64)
+            n_links, n_links2 = np.zeros(len(ids), np.int64), np.zeros(len(ids2), np.int64)
+            for lo, hit in _unpacked(_both_ways(raw, raw2, graph, graph2, ef, least, step), len(ids2), step):
+                pair = np.flatnonzero(hit)
+                for at in range(0, len(pair), SLICE):
+                    a, b = pair[at : at + SLICE] // len(ids2) + lo, pair[at : at + SLICE] % len(ids2)
+                    np.add.at(n_links, a, weight2[b])
+                    np.add.at(n_links2, b, weight[a])
+                    tied = np.union1d(tied, np.unique(root[a] * len(ids2) + root2[b]))
+            ties = np.stack([ids[tied // len(ids2)], ids2[tied % len(ids2)]], 1)
+            out_id, out_n = np.concatenate([ids, ids2]), np.concatenate([n_links, n_links2])
+            out_id, out_n = out_id[out_n > 0], out_n[out_n > 0]
+        none = [None]
         return pa.table(
             {
-                "id": ids[some],
-                "n_links": n_links[some],
-                "roots": pa.array([r for r, s in zip(roots, some) if s], pa.list_(pa.int64())),
+                "id": pa.array([*out_id.tolist(), *none * len(ties)], pa.int64()),
+                "n_links": pa.array([*out_n.tolist(), *none * len(ties)], pa.int64()),
+                "a": pa.array([*none * len(out_id), *ties[:, 0].tolist()], pa.int64()),
+                "b": pa.array([*none * len(out_id), *ties[:, 1].tolist()], pa.int64()),
             }
         )
 
     return run
 
 
+def _found(sample, ef: int, least: float, step: int = BATCH):
+    """How many linked vertices of a shard each sampled vector finds."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asked, vec = sample.value
+        ids, _, raw, graph = _load(table.to_pylist()[0])
+        counts = np.zeros(len(asked), np.int64)
+        for lo, hit in _links(vec, raw, graph, ef, least, step):
+            counts[lo : lo + len(hit)] = (hit & (asked[lo : lo + len(hit), None] != ids[None])).sum(1)
+        return pa.table({"id": asked, "n": counts})
+
+    return run
+
+
 def _truth(sample, least: float):
-    """Links of the sampled vectors among all, by brute force in blocks."""
+    """Linked vertices of the sampled vectors among all, by brute force in blocks."""
 
     def run(batches):
         ids, vec = sample.value
         counts = np.zeros(len(ids), np.int64)
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            raw, own, weight = _rows(table, "vec"), table["id"].to_numpy(), table["weight"].to_numpy()
+            raw, own = _rows(table, "vec"), table["id"].to_numpy()
             if raw.shape[1] != vec.shape[1] or not len(raw):
                 continue
-            cos = (vec @ raw.T) / np.outer(np.linalg.norm(vec, axis=1), np.linalg.norm(raw, axis=1))
-            counts += ((cos >= least) & (ids[:, None] != own[None])) @ weight
-        yield pa.RecordBatch.from_arrays([pa.array([int(counts.sum())])], ["n"])
+            for lo in range(0, len(raw), BATCH):
+                part = raw[lo : lo + BATCH]
+                cos = (vec @ part.T) / np.outer(np.linalg.norm(vec, axis=1), np.linalg.norm(part, axis=1))
+                counts += ((cos >= least) & (ids[:, None] != own[None, lo : lo + BATCH])).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts)], ["id", "n"])
 
     return run
 
 
+def least_share(found: np.ndarray, truth: np.ndarray) -> float:
+    """Share of its links that a vector finds, on average over the vectors with links:
+    the least of all, of those with one, with two or three, with four to seven links, and so on."""
+    some = truth > 0
+    if not some.any():
+        return 1.0
+    share, group = found[some] / truth[some], np.frexp(truth[some].astype(float))[1]
+    return min(share.mean(), *(share[group == g].mean() for g in np.unique(group)))
+
+
 def near_vectors(
     vectors: DataFrame,
     *,
@@ -328,7 +411,8 @@ def near_vectors(
 
     ``n_links`` counts the other rows found with a cosine of at least ``least``,
     ``component_id`` is the smallest id reachable by links, ``kept`` marks it.
-    ``audit`` bounds the sample behind the beam's width. Vectors that are null,
+    ``audit`` bounds the sample behind the beam's width, ``block_rows`` the
+    vectors that query together (256 at most). Vectors that are null,
     empty, zero, or hold a null or non-finite component link with nothing, as do
     vectors of different lengths with each other. Repeated rows are copies that
     link; a row with a null id links with nothing and has a null component.
@@ -367,37 +451,38 @@ def _one_size(spark, distinct, least, shards, shard_rows, block_rows, beam, audi
     """Links and edges among the vertices of one vector length."""
     total = distinct.count()
     n = max(min(shards, total), -(-total // shard_rows))
-    blocks = max(1, -(-total // block_rows))
+    step = max(8, min(BATCH, block_rows) // 8 * 8)  # whole bytes of flags
     points = distinct.select("id", "weight", "vec", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)).cast("int").alias("shard"))
-    points = staged(points.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(blocks)).cast("int")))
+    points = staged(points)
     graphs = staged(points.groupBy("shard").applyInArrow(_build, GRAPH))
 
-    def ask(index, queries, blocks, width, own=True):
-        at = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        asked = queries.withColumnRenamed("shard", "home").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        asked = asked if own else asked.where("shard <> home")
-        both = at.groupBy("shard", "block").cogroup(asked.select("shard", "block", "id", "vec").groupBy("shard", "block"))
-        return both.applyInArrow(_cross(width, least), "id bigint, n_links bigint, roots array<bigint>")
-
-    sample = points.orderBy(F.xxhash64(F.lit(seed + 2), "id"), "id").limit(audit).withColumn("block", F.lit(0))
-    sample = staged(sample)
-    held = sample.select("id", "vec", "weight").toArrow()  # at most ``audit`` rows
+    sample = points.orderBy(F.xxhash64(F.lit(seed + 2), "id"), "id").limit(audit)
+    held = sample.select("id", "vec").toArrow()  # at most ``audit`` rows
     value = spark.sparkContext.broadcast((held["id"].to_numpy(), _rows(held, "vec")))
-    truth = points.select("id", "weight", "vec").mapInArrow(_truth(value, least), "n bigint").agg(F.sum("n")).first()[0] or 0
-    own_weight = int(held["weight"].to_numpy().sum())
-    while truth and beam < total:
-        found = (ask(graphs, sample, 1, beam).agg(F.sum("n_links")).first()[0] or 0) - own_weight
-        if found >= recall * truth:
+
+    def per_vector(counts):
+        by_id = dict(counts.groupBy("id").agg(F.sum("n")).collect())  # a row per sampled vector
+        return np.array([by_id.get(i, 0) for i in held["id"].to_pylist()])
+
+    truth = per_vector(points.select("id", "vec").mapInArrow(_truth(value, least), "id bigint, n bigint"))
+    while truth.any() and beam < total:
+        found = per_vector(graphs.groupBy("shard").applyInArrow(_found(value, beam, least, step), "id bigint, n bigint"))
+        if least_share(found, truth) >= recall:
             break
         beam *= 2
-    inner = staged(graphs.groupBy("shard").applyInArrow(_own(beam, least), "shard int, id bigint, n_links bigint, root bigint"))
+    inner = staged(graphs.groupBy("shard").applyInArrow(_own(beam, least, step), "shard int, id bigint, n_links bigint, root bigint"))
     roots = inner.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("id", "root"))).alias("r"))
     packed = graphs.join(roots, "shard").withColumn("roots_in", F.col("r.root")).drop("r")
     packed = staged(packed.mapInArrow(_pack, GRAPH + ", root binary"))
-    outer = staged(ask(packed, points.select("shard", "block", "id", "vec"), blocks, beam, own=False))
-    links = inner.select("id", "n_links").unionAll(outer.select("id", "n_links")).groupBy("id").agg(F.sum("n_links").alias("n_links"))
+    # Each two shards meet in one task, so that links found from either end are united.
+    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    met = packed.withColumn("other", other).where("shard <> other")
+    met = met.withColumn("s1", F.least("shard", "other")).withColumn("s2", F.greatest("shard", "other")).drop("other")
+    outer = staged(met.groupBy("s1", "s2").applyInArrow(lambda t: _cross(beam, least, step)(t.drop_columns(["s1", "s2"])), "id bigint, n_links bigint, a bigint, b bigint"))
+    links = inner.select("id", "n_links").unionAll(outer.where("id is not null").select("id", "n_links"))
+    links = links.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     edges = inner.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-    edges = edges.unionAll(outer.select(F.col("id").alias("a"), F.explode("roots").alias("b")))
+    edges = edges.unionAll(outer.where("a is not null").select("a", "b"))
     return links, edges
 
 

@@ -262,6 +262,31 @@ def test_graph_finds_links_among_many():
     assert len(found) >= 0.98 * (x @ x.T >= 0.9).sum()
 
 
+def pairs_and_a_hot_group(hot, pairs, seed):
+    """Near copies of one vector, then pairs of near copies (2i, 2i + 1 from ``hot``)."""
+    draw = np.random.default_rng(seed)
+    one = draw.normal(size=64) + draw.normal(size=(hot, 64)) * 0.02
+    two = np.repeat(draw.normal(size=(pairs, 64)), 2, axis=0) + draw.normal(size=(2 * pairs, 64)) * 0.02
+    return [(i, [float(v) for v in x]) for i, x in enumerate(np.concatenate([one, two]))]
+
+
+def test_audit_heeds_small_groups_beside_a_hot_one(spark):
+    """Links of the hot group alone are more than 99 % of all."""
+    df = spark.createDataFrame(pairs_and_a_hot_group(500, 2000, 11), "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_vectors(df, shards=1, beam=1, audit=1000).collect()}
+    assert np.mean([got[i] for i in range(500, 4500)]) >= 0.98
+    assert np.mean([got[i] for i in range(500)]) >= 0.98 * 499
+
+
+def test_cross_shard_links_count_for_both_ends(spark):
+    """A narrow beam misses links from one end; found from the other they count for both."""
+    df = spark.createDataFrame(pairs_and_a_hot_group(0, 2000, 12), "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(df, shards=3, beam=1, recall=0.0).collect()}
+    links = [(got[i][0], got[i + 1][0]) for i in range(0, 4000, 2)]
+    assert all(a == b for a, b in links) and sum(a for a, _ in links) > 1900
+    assert all(got[i + 1][1] == (i if a else i + 1) for i, (a, _) in zip(range(0, 4000, 2), links))
+
+
 def test_pipeline_applies_its_stages(spark):
     import corpus_pipeline
 
