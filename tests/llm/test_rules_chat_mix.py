@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.llm import queries
+from casewright.llm import hnsw, queries
 from casewright.llm.chat import format_chats, loss_text, read_back
 from casewright.llm.decontaminate import align, align_coded, contaminated, without_contaminated
 from casewright.llm.hnsw import Graph, near_vectors, unit
@@ -287,6 +289,20 @@ def test_cross_shard_links_count_for_both_ends(spark):
     assert all(got[i + 1][1] == (i if a else i + 1) for i, (a, _) in zip(range(0, 4000, 2), links))
 
 
+def test_memory_of_a_hot_shard_is_bounded():
+    """1,500 near copies of 64 numbers: 1 KB for each of their pairs would be 2.3 GB."""
+    draw = np.random.default_rng(13)
+    raw = draw.normal(size=64) + draw.normal(size=(1500, 64)) * 0.02
+    cells = {"shard": pa.array([0] * 1500, pa.int32()), "id": np.arange(1500), "weight": np.full(1500, 2), "vec": pa.array(raw.tolist())}
+    graph = hnsw._build(pa.table(cells))
+    tracemalloc.start()
+    out = hnsw._own(32, 0.9)(graph)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out["n_links"].to_pylist() == [2998] * 1500 and set(out["root"].to_pylist()) == {0}
+    assert peak < 500e6
+
+
 def test_pipeline_applies_its_stages(spark):
     import corpus_pipeline
 
