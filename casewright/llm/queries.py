@@ -183,3 +183,93 @@ def op10(spark, sf_dir):
     from casewright.llm.toxicity import toxicity_scores
 
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=test_fold())
+
+
+@query("op11_piece_ids")
+def op11(spark, sf_dir):
+    import public_tokenizers
+
+    from casewright.llm.pieces import piece_ids
+
+    coded = piece_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
+MIDDLE_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+cut AS (
+  SELECT *, len(units) AS n,
+    ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, form,
+    array_to_string(units[1:least(a, b)], '') AS prefix,
+    array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+    array_to_string(units[greatest(a, b) + 1:], '') AS suffix
+  FROM cut)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op12_fill_in_middle", MIDDLE_SQL)
+def op12(spark, sf_dir):
+    from casewright.llm.middle import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+SEARCH_SQL = r"""
+WITH words AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+tfs AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM tfs GROUP BY row),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tfs, whole GROUP BY term),
+scored AS (
+  SELECT item_id, row, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (row), whole
+  GROUP BY item_id, row, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op13_lexical_search", SEARCH_SQL)
+def op13(spark, sf_dir):
+    from casewright.llm.lexical import ranked_documents
+
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
