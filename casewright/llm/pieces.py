@@ -7,17 +7,20 @@ pieces of their UTF-8 bytes, or to the unknown piece. Decoding reads pieces and
 runs of byte pieces back and drops the blank that normalisation put in front.
 
 A merge never crosses two characters that no piece holds side by side, so a
-text is cut before blanks and around characters that occur in no longer piece,
-and each cut has an agenda of its own; the cuts met before are remembered, up to
-``CUTS`` of them a worker. Where some piece holds a blank inside, the whole text
+text is cut before blanks and between classes of characters that pieces never
+mix (scripts, punctuation), and each cut has an agenda of its own; the cuts met before are remembered, the
+last ``CUTS`` to twice ``CUTS`` of them a worker. Where some piece holds a blank inside, the whole text
 is one cut.
 
 Results: a null text encodes as an empty one, an empty text to no ids and an
 empty decoded text. Null or repeated ids, repeated rows and further columns
 change nothing: every row in gives one row out, in ``id`` and the new columns
 only. A text of any length is encoded whole; a batch is worked off in slices of
-about ``chars`` characters, so memory follows the longest text. ``agrees`` states
-whether the library, given the same text, returns the same ids and text.
+about ``chars`` characters, so memory follows the longest text.
+
+The library checks the batch: the cuts that a worker meets in it for the first
+time (or again, once forgotten) are encoded by the library too, and all decoded
+texts are read by the library as well. A difference fails the job.
 """
 
 from __future__ import annotations
@@ -25,16 +28,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 BLANK = "▁"
-CUTS = 400_000
+# A character no vocabulary of this kind merges; refused at loading where one does.
+ALONE = "\n"
+CUTS = 250_000
 LONG_CUT = 64
+# Up to so many characters the agenda is a plain list, beyond it a heap.
+SHORT = 40
 SLICE = 2_000_000
 # A model file is sent to every task; larger ones are refused.
 MODEL_BYTES = 32 << 20
@@ -61,31 +69,42 @@ class Pieces:
         self.id_of = {p: i for i, p in enumerate(self.piece) if i not in special and i not in self.byte_of}
         if any(self.library.is_unused(i) for i in ids):
             raise ValueError("vocabularies with unused pieces are not supported")
-        self._pairs()
+        long = [p for p in self.id_of if len(p) > 1]
+        if any(ALONE in p for p in long):
+            raise ValueError("vocabularies whose pieces hold line ends are not supported")
+        scores = sorted({self.library.get_score(self.id_of[p]) for p in long}, reverse=True)
+        place = {score: k for k, score in enumerate(scores)}
+        self.rank = {p: place[self.library.get_score(self.id_of[p])] for p in long}
+        self.cuts = self._cut_pattern(long)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+        self.fresh: list[tuple[str, tuple[int, ...]]] = []
 
-    def _pairs(self) -> None:
-        """Which two symbols merge, at which rank; symbols without a piece get numbers below zero."""
-        scores = sorted({self.library.get_score(i) for i in self.id_of.values()}, reverse=True)
-        rank = {s: k for k, s in enumerate(scores)}
-        self.symbol = {p: i for p, i in self.id_of.items()}
-        long = [p for p in self.id_of if len(p) > 1]
-        for c in {c for p in long for c in p}:
-            self.symbol.setdefault(c, -2 - len(self.symbol))
-        self.text_of = {i: p for p, i in self.symbol.items()}
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
-        for p in long:
-            to = (rank[self.library.get_score(self.id_of[p])], self.id_of[p])
-            for k in range(1, len(p)):
-                left, right = self.symbol.get(p[:k]), self.symbol.get(p[k:])
-                if left is not None and right is not None:
-                    self.merge[left, right] = to
-        inside = "".join(re.escape(c) for c in sorted({c for p in long for c in p} - {BLANK}))
+    @staticmethod
+    def _cut_pattern(long: list[str]) -> re.Pattern:
+        """Stretches of a text that no merge leaves: blanks, then characters of one class.
+
+        Characters are of one class where pieces hold them side by side, directly or in a chain.
+        """
         if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in long):
-            self.cuts = re.compile(".+", re.DOTALL)
-        else:
-            word = f"{BLANK}*[{inside}]+|" if inside else ""
-            self.cuts = re.compile(f"{word}{BLANK}+|[^{inside}{BLANK}]")
+            return re.compile(".+", re.DOTALL)
+        kin: dict[str, str] = {}
+
+        def first(c: str) -> str:
+            while kin.setdefault(c, c) != c:
+                c = kin[c]
+            return c
+
+        for p in long:
+            own = p.lstrip(BLANK)
+            for c, d in zip(own, own[1:] or own):
+                kin[max(first(c), first(d))] = min(first(c), first(d))
+        classes: dict[str, str] = {}
+        for c in sorted(kin):
+            classes[first(c)] = classes.get(first(c), "") + re.escape(c)
+        runs = "|".join(f"[{c}]+" for c in sorted(classes.values(), key=len, reverse=True))
+        word = f"{BLANK}*(?:{runs})|" if runs else ""
+        return re.compile(f"{word}{BLANK}+|[^{''.join(classes.values())}{BLANK}]")
 
     def _alone(self, c: str) -> tuple[int, ...]:
         """Ids of a symbol that ends as a single character."""
@@ -97,55 +116,91 @@ class Pieces:
 
     def _encode_cut(self, cut: str) -> tuple[int, ...]:
         """Merge the symbols of one cut, best pair of the agenda first."""
-        n, symbol, merge = len(cut), self.symbol, self.merge
-        if n == 1:
-            return self._alone(cut)
-        at = [symbol.get(c, -1) for c in cut]
+        parts = self._merged_short(cut) if len(cut) <= SHORT else self._merged_long(cut)
+        try:
+            return tuple([self.id_of[p] for p in parts])
+        except KeyError:
+            return tuple(i for p in parts for i in ((self.id_of[p],) if len(p) > 1 else self._alone(p)))
+
+    def _merged_short(self, cut: str) -> list[str]:
+        """The agenda is the list of the neighbours' ranks: the least, leftmost first, is next."""
+        rank, none = self.rank.get, len(self.rank)
+        parts = list(cut)
+        agenda = [rank(a + b, none) for a, b in zip(cut, cut[1:])]
+        while agenda and (best := min(agenda)) < none:
+            i = agenda.index(best)
+            parts[i] = both = parts[i] + parts.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = rank(parts[i - 1] + both, none)
+            if i < len(agenda):
+                agenda[i] = rank(both + parts[i + 1], none)
+        return parts
+
+    def _merged_long(self, cut: str) -> list[str]:
+        """The agenda is a heap of rank and place; entries whose parts have grown since are passed over."""
+        rank, n = self.rank.get, len(cut)
+        parts: list[str | None] = list(cut)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [to[0] * n + i for i in range(n - 1) if (to := merge.get((at[i], at[i + 1])))]
+        agenda = [to * n + i for i in range(n - 1) if (to := rank(cut[i : i + 2])) is not None]
         heapify(agenda)
-        gone = [False] * n
         while agenda:
-            rank, i = divmod(heappop(agenda), n)
+            best, i = divmod(heappop(agenda), n)
             j = after[i]
-            if gone[i] or j >= n:
-                continue
-            to = merge.get((at[i], at[j]))
-            if to is None or to[0] != rank:  # one of the two has grown since
+            if parts[i] is None or j >= n or rank(parts[i] + parts[j]) != best:
                 continue
-            at[i], gone[j] = to[1], True
+            parts[i], parts[j] = both, _ = parts[i] + parts[j], None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if to := merge.get((at[i], at[k])):
-                    heappush(agenda, to[0] * n + i)
+                if (to := rank(both + parts[k])) is not None:
+                    heappush(agenda, to * n + i)
             h = before[i]
-            if h >= 0 and (to := merge.get((at[h], at[i]))):
-                heappush(agenda, to[0] * n + h)
-        out: list[int] = []
-        for i in range(n):
-            if not gone[i]:
-                if at[i] >= 0:
-                    out.append(at[i])
-                else:
-                    out.extend(self._alone(cut[i]))
-        return tuple(out)
+            if h >= 0 and (to := rank(parts[h] + both)) is not None:
+                heappush(agenda, to * n + h)
+        return [p for p in parts if p is not None]
+
+    def _remember(self, cut: str) -> tuple[int, ...]:
+        ids = self.old.get(cut)
+        if ids is None:
+            ids = self._encode_cut(cut)
+            self.fresh.append((cut, ids))
+        if len(cut) <= LONG_CUT:
+            if len(self.known) >= CUTS:
+                self.known, self.old = {}, self.known
+            self.known[cut] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
-        known, out = self.known, []
-        for cut in self.cuts.findall(self.library.normalize(text)):
-            ids = known.get(cut)
-            if ids is None:
-                ids = self._encode_cut(cut)
-                if len(cut) <= LONG_CUT:
-                    if len(known) >= CUTS:
-                        known.clear()
-                    known[cut] = ids
-            out.extend(ids)
-        if self.unknown in out and len(self.id_of_byte) < 256:  # neighbours without a piece are one
+        cuts = self.cuts.findall(self.library.normalize(text))
+        coded = list(map(self.known.get, cuts))
+        if None in coded:
+            coded = [ids or self.known.get(cut) or self._remember(cut) for ids, cut in zip(coded, cuts)]
+        out = list(chain.from_iterable(coded))
+        if len(self.id_of_byte) < 256 and self.unknown in out:  # neighbours without a piece are one
             out = [x for x, last in zip(out, [-1, *out]) if x != self.unknown or last != self.unknown]
         return out
 
+    def check(self, texts: list[str], ids: list[list[int]], decoded: list[str]) -> None:
+        """Hold what the last batch gave against the library.
+
+        A cut is shown to the library behind a character that merges with nothing.
+        Without byte pieces that character would join unknown neighbours, and the
+        texts themselves are encoded again.
+        """
+        if len(self.id_of_byte) == 256:
+            base = self.library.encode(ALONE)
+            theirs = self.library.encode([ALONE + cut for cut, _ in self.fresh], num_threads=1)
+            bad = [cut for (cut, own), x in zip(self.fresh, theirs) if x != [*base, *own]]
+        else:
+            bad = [t for t, own, x in zip(texts, ids, self.library.encode(texts, num_threads=1)) if x != own]
+        self.fresh = []
+        if bad:
+            raise ValueError(f"ids differ from the library's for {bad[0][:80]!r}")
+        for own, read in zip(decoded, self.library.decode(ids, num_threads=1)):
+            if own != read:
+                raise ValueError(f"decoded text differs from the library's for {own[:80]!r}")
+
     def decode(self, ids: list[int]) -> str:
         """Text of ``ids``; a byte that is part of no character reads as U+FFFD."""
         joined = b"".join([self.raw[i] for i in ids])
@@ -213,7 +268,7 @@ def _slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
 def piece_ids(
     docs: DataFrame, model_path: str, text: str = "text", id: str = "doc_id", check: bool = True, chars: int = SLICE
 ) -> DataFrame:
-    """``id``, ``ids`` (array), ``decoded`` and, with ``check``, ``agrees`` of every row."""
+    """``id``, ``ids`` (array) and ``decoded`` of every row, held against the library with ``check``."""
     with open(model_path, "rb") as file:
         model = file.read(MODEL_BYTES + 1)
     if len(model) > MODEL_BYTES:
@@ -227,23 +282,20 @@ def piece_ids(
             StructField("ids", ArrayType(IntegerType(), False), False),
             StructField("decoded", StringType(), False),
         ]
-        + [StructField("agrees", BooleanType(), False)] * check
     )
 
     def run(batches):
         vocabulary = loaded(shipped.value)
-        library = vocabulary.library
         for batch in batches:
             for start, end in _slices(batch.column(1).to_pylist(), chars):
                 texts = batch.column(1).slice(start, end - start).to_pylist()
                 ids = [vocabulary.encode(t) for t in texts]
                 decoded = [vocabulary.decode(x) for x in ids]
+                if check:
+                    vocabulary.check(texts, ids, decoded)
+                vocabulary.fresh.clear()
                 own = batch.column(0).slice(start, end - start)
                 out = [own, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                if check:
-                    theirs = library.encode(texts, num_threads=1)
-                    read = library.decode(theirs, num_threads=1)
-                    out.append(pa.array([a == b and c == d for a, b, c, d in zip(ids, theirs, decoded, read)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(out, schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -197,7 +197,6 @@ def op11(spark, sf_dir):
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        "agrees",
     )
 
 

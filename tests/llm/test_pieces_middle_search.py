@@ -53,8 +53,8 @@ def test_cuts_remembered_or_not_give_the_same(vocabulary, monkeypatch):
     text = noise(random.Random(3), 5000)
     want = vocabulary.encode(text)
     monkeypatch.setattr("casewright.llm.pieces.CUTS", 3)
-    vocabulary.known.clear()
-    assert vocabulary.encode(text) == want and len(vocabulary.known) <= 3
+    vocabulary.known, vocabulary.old = {}, {}
+    assert vocabulary.encode(text) == want and len(vocabulary.known) + len(vocabulary.old) <= 6
 
 
 def test_agenda_takes_the_best_pair_first(vocabulary):
@@ -73,19 +73,34 @@ def test_agenda_takes_the_best_pair_first(vocabulary):
                 break
             i = min(pairs)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        assert [vocabulary.piece[i] for i in vocabulary._encode_cut(cut)] == parts
+        assert vocabulary._merged_short(cut) == vocabulary._merged_long(cut) == parts
+
+
+def test_check_finds_differences(vocabulary):
+    own = Pieces(vocabulary.library.serialized_model_proto())
+    texts = [*ODD, noise(random.Random(9), 3000)]
+    ids = [own.encode(t) for t in texts]
+    decoded = [own.decode(x) for x in ids]
+    assert own.fresh
+    own.check(texts, ids, decoded)
+    with pytest.raises(ValueError, match="decoded"):
+        own.check(texts, ids, [*decoded[:-1], "?"])
+    del own.rank["▁the"]
+    own.known, own.old = {}, {}
+    own.encode("then the")
+    with pytest.raises(ValueError, match="ids"):
+        own.check([], [], [])
 
 
 def test_piece_table(spark, vocabulary):
     texts = [*ODD, None, ODD[3]]
     rows = [(i if i != 4 else None, t, i, "x") for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, ids int, agrees string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, ids int, decoded string")
     got = piece_ids(docs, MODEL, chars=500)
-    assert got.columns == ["doc_id", "ids", "decoded", "agrees"]
-    want = sorted((-1 if i is None else i, vocabulary.library.encode(t or ""), t or "") for i, t, *_ in rows)
-    seen = got.collect()
-    assert all(r.agrees for r in seen)
-    assert sorted((-1 if r.doc_id is None else r.doc_id, r.ids) for r in seen) == [w[:2] for w in want]
+    assert got.columns == ["doc_id", "ids", "decoded"]
+    lib, plain = vocabulary.library, lambda i: -1 if i is None else i
+    want = sorted((plain(i), lib.encode(t or ""), lib.decode(lib.encode(t or ""))) for i, t, *_ in rows)
+    assert sorted((plain(r.doc_id), r.ids, r.decoded) for r in got.collect()) == want
     assert piece_ids(docs.limit(0), MODEL, check=False).count() == 0
 
 
@@ -95,7 +110,7 @@ def test_piece_query_equals_the_library(spark, vocabulary):
     want = set()
     for d in docs:
         ids = vocabulary.library.encode(d.text or "")
-        want.add((d.doc_id, len(ids), digest(",".join(map(str, ids))), digest(vocabulary.library.decode(ids)), True))
+        want.add((d.doc_id, len(ids), digest(",".join(map(str, ids))), digest(vocabulary.library.decode(ids))))
     got = queries.QUERIES["op11_piece_ids"](spark, "/root/testdata/sf0.001").collect()
     assert {tuple(r) for r in got} == want and len(got) == len(docs)
 
