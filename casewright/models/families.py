@@ -1,8 +1,9 @@
-"""Candidate model families on Spark ML, each fitted on a feature frame and scored as columns.
+"""Candidate model families, each fitted on a feature frame and scored as columns.
 
 Every family returns an object with ``score(df, out)`` that adds an array of
 class probabilities, so cross-validation, calibration and explanation treat all
 of them alike.  Imputation, encoding and scaling are fitted inside ``fit``.
+Families with a ``cross`` fit all folds and repeats in shared passes.
 """
 
 from __future__ import annotations
@@ -10,23 +11,27 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright.functions.probability import FLOOR, count_below, share_of_total
 from casewright.models import ordered_logit
+from casewright.models.boosting import (
+    Boosted,
+    Options,
+    Problem,
+    fit_boosted,
+    open_series,
+    score_held_out,
+)
 from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
 from casewright.operators.metrics import CLASSES
@@ -140,61 +145,58 @@ def fit_random_forest(df, spec, label, key, *, classes=CLASSES, seed=42, params=
     return Multinomial(prep, model)
 
 
-# --- Boosted families: Spark's boosted trees are binary -------------------------------------
-
-
-@dataclass(frozen=True)
-class OneVersusRest:
-    """One boosted binary model per class; their probabilities are normalised."""
-
-    prep: Preprocessor
-    models: tuple[Any, ...]
-
-    def score(self, df: DataFrame, out: str = "proba") -> DataFrame:
-        wide = _vectors(df, self.prep)
-        parts = []
-        for i, model in enumerate(self.models):
-            wide = _scored(model, wide, f"_p{i}")
-            parts.append(F.greatest(F.get(vector_to_array(f"_p{i}"), F.lit(1)), F.lit(FLOOR)))
-        total = sum(parts[1:], parts[0])
-        wide = wide.withColumn(out, F.array(*[p / total for p in parts]))
-        return wide.drop("_features", *[f"_p{i}" for i in range(len(self.models))])
-
+# --- Boosted families ---------------------------------------------------------------------------
 
-def _boosted(table: DataFrame, target: Column, seed: int, options: Mapping[str, Any]):
-    rows = table.withColumn("label", target.cast("double"))
-    return GBTClassifier(weightCol="weight", seed=seed, **options).fit(rows)
+# The presets. A round is a pass a level over the data, so they take larger steps and fewer
+# rounds than is usual on one machine, stop when held-out loss stops falling, and best-first
+# trees are at most six splits deep.
+HIST_GB = Options(leaves=15, depth=6, min_rows=15)
+XGBOOST = Options(leaves=None, depth=4, min_rows=1, min_weight=3.0, row_share=0.8, column_share=0.8)
+LIGHTGBM = Options(leaves=15, depth=6, min_rows=15, row_share=0.8, column_share=0.8)
+SMALL_GB = Options(rounds=50, leaves=15, depth=6, min_rows=15)
 
 
-def fit_one_versus_rest(df, spec, label, preset, *, classes, seed, params) -> OneVersusRest:
-    table, prep = training_table(df, spec, label, classes, scaled=False)
-    options = {**preset, **(params or {})}
-    models = in_parallel(
-        [lambda c=c: _boosted(table, F.col("severity") == c, seed, options) for c in classes]
-    )
-    return OneVersusRest(prep, tuple(models))
+def softmax_problem(classes: Sequence[int]) -> Problem:
+    return Problem("softmax", tuple(float(i) for i in range(len(classes))))
 
 
-# Presets of the boosted families (rounds, step, size of a tree, sampling).
-HIST_GB = dict(maxIter=400, stepSize=0.05, maxDepth=4, minInstancesPerNode=15)
-XGBOOST = dict(
-    maxIter=500, stepSize=0.05, maxDepth=4, minInstancesPerNode=3,
-    subsamplingRate=0.8, featureSubsetStrategy="0.8",
-)
-LIGHTGBM = dict(
-    maxIter=500, stepSize=0.05, maxDepth=4, minInstancesPerNode=15,
-    subsamplingRate=0.8, featureSubsetStrategy="0.8",
-)
-SMALL_GB = dict(maxIter=150, stepSize=0.08, maxDepth=4, minInstancesPerNode=15)
+@dataclass(frozen=True)
+class BoostedFamily:
+    """Multiclass boosted trees; ``params`` replace fields of the preset."""
+
+    preset: Options
+
+    def trials(
+        self, df, spec, label, key, folds, k, trials: Sequence[Mapping[str, Any]], *, classes=CLASSES, seed=42
+    ) -> tuple[Any, list[list[int]], list[tuple[int, int]]]:
+        """A series of every trial on every fold, not yet grown; places ``[fold][trial]`` and the folds."""
+        masks = fold_masks(folds, k)
+        options = [replace(self.preset, **t) for t in trials]
+        series, places, _ = open_series(
+            df, spec, label, key, [softmax_problem(classes)] * len(options), options,
+            classes=classes, masks=masks, folds=folds, seed=seed,
+        )
+        return series, places, masks
+
+    def fit(self, df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> Boosted:
+        options = replace(self.preset, **(params or {}))
+        models, _ = fit_boosted(
+            df, spec, label, key, [softmax_problem(classes)], [options], classes=classes, seed=seed
+        )
+        return models[0][0]
 
+    def cross(self, df, spec, label, key, folds, k, *, classes=CLASSES, seed=42, params=None) -> DataFrame:
+        options = replace(self.preset, **(params or {}))
+        masks = fold_masks(folds, k)
+        models, table = fit_boosted(
+            df, spec, label, key, [softmax_problem(classes)], [options],
+            classes=classes, masks=masks, folds=folds, seed=seed,
+        )
+        return score_held_out(table, models, masks, classes).withColumnRenamed("outputs", "proba")
 
-def _ovr(preset: dict[str, Any]):
-    def fit(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> OneVersusRest:
-        return fit_one_versus_rest(
-            df, spec, label, preset, classes=classes, seed=seed, params=params
-        )
 
-    return fit
+def fold_masks(folds: Sequence[str], k: int) -> list[tuple[int, int]]:
+    return [(r, f) for r in range(len(folds)) for f in range(k)]
 
 
 # --- Frank and Hall -----------------------------------------------------------------------
@@ -209,42 +211,47 @@ def recombine(exceed: Sequence[Column]) -> Column:
     return share_of_total(F.array(*[F.greatest(p, F.lit(FLOOR)) for p in parts]))
 
 
+def exceedance_problems(classes: Sequence[int]) -> list[Problem]:
+    """One binary problem for each class but the last: more severe than it."""
+    known = sorted(classes)
+    return [Problem("logistic", tuple(float(c > cut) for c in known)) for cut in known[:-1]]
+
+
 @dataclass(frozen=True)
 class FrankHall:
     """K-1 binary models of "more severe than k"; a constant stands in for a one-sided fold."""
 
-    prep: Preprocessor
     models: tuple[Any, ...]
 
     def score(self, df: DataFrame, out: str = "proba") -> DataFrame:
-        wide = _vectors(df, self.prep)
-        exceed, made = [], []
+        wide, exceed, made = df, [], []
         for i, model in enumerate(self.models):
             if isinstance(model, float):
                 exceed.append(F.lit(model))
                 continue
-            wide = _scored(model, wide, f"_p{i}")
             made.append(f"_p{i}")
-            exceed.append(F.get(vector_to_array(f"_p{i}"), F.lit(1)))
-        return wide.withColumn(out, recombine(exceed)).drop("_features", *made)
+            wide = model.score(wide, made[-1])
+            exceed.append(F.get(made[-1], F.lit(0)))
+        return wide.withColumn(out, recombine(exceed)).drop(*made)
 
 
 def fit_frank_hall(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> FrankHall:
-    table, prep = training_table(df, spec, label, classes, scaled=False, balanced=False)
-    options = {**SMALL_GB, **(params or {})}
-    counts = {r[0]: r[1] for r in table.groupBy("severity").count().collect()}
-    total = sum(counts.values())
-
-    def binary(cut: int):
-        over = sum(n for c, n in counts.items() if c > cut)
-        if over in (0, total):
-            return 1.0 if over else 0.0
-        up, down = total / (2.0 * over), total / (2.0 * (total - over))
-        rows = table.withColumn("weight", F.when(F.col("severity") > cut, up).otherwise(down))
-        return _boosted(rows, F.col("severity") > cut, seed, options)
-
-    models = in_parallel([lambda c=c: binary(c) for c in classes[:-1]])
-    return FrankHall(prep, tuple(models))
+    """All binary models are grown in one series of passes."""
+    problems = exceedance_problems(classes)
+    options = [replace(SMALL_GB, **(params or {}))] * len(problems)
+    models, _ = fit_boosted(df, spec, label, key, problems, options, classes=classes, seed=seed)
+    return FrankHall(tuple(models[0]))
+
+
+def cross_frank_hall(df, spec, label, key, folds, k, *, classes=CLASSES, seed=42, params=None) -> DataFrame:
+    problems, masks = exceedance_problems(classes), fold_masks(folds, k)
+    options = [replace(SMALL_GB, **(params or {}))] * len(problems)
+    models, table = fit_boosted(
+        df, spec, label, key, problems, options, classes=classes, masks=masks, folds=folds, seed=seed
+    )
+    scored = score_held_out(table, models, masks, classes)
+    proba = recombine([F.get("outputs", F.lit(i)) for i in range(len(problems))])
+    return scored.withColumn("proba", proba).drop("outputs")
 
 
 # --- Regression with learned cut-points -----------------------------------------------------
@@ -307,6 +314,23 @@ def optimise_cuts(
     return best, best_kappa
 
 
+def _erfc_curve() -> np.polynomial.Chebyshev:
+    """Smooth part of erfc: log(erfc(x) / t) + x * x over t = 2 / (2 + x), fitted to the exact function."""
+    exact = np.vectorize(lambda t: math.log(math.erfc(2 / t - 2) / t) + (2 / t - 2) ** 2)
+    return np.polynomial.Chebyshev.interpolate(exact, 40, domain=[2 / 27, 1])
+
+
+_ERFC = _erfc_curve()
+
+
+def erfc(x: np.ndarray) -> np.ndarray:
+    """Complementary error function of an array, to about twelve digits; 0 beyond 25."""
+    size = np.abs(x)
+    t = 2 / (2 + np.minimum(size, 25.0))
+    upper = np.where(size > 25.0, 0.0, t * np.exp(_ERFC(t) - np.minimum(size, 25.0) ** 2))
+    return np.where(x < 0, 2 - upper, upper)
+
+
 def interval_probabilities(score: Column, cuts: Sequence[float], sigma: float) -> Column:
     """Normal mass of the residual between the cuts, floored and normalised."""
     edges = [float(c) for c in cuts]
@@ -314,8 +338,7 @@ def interval_probabilities(score: Column, cuts: Sequence[float], sigma: float) -
     @F.pandas_udf("array<double>")
     def run(values: pd.Series) -> pd.Series:
         z = (np.array(edges)[None, :] - values.to_numpy()[:, None]) / sigma
-        flat = (-z / math.sqrt(2.0)).ravel()
-        below = 0.5 * np.fromiter(map(math.erfc, flat.tolist()), float, z.size).reshape(z.shape)
+        below = 0.5 * erfc(-z / math.sqrt(2.0))
         padded = np.hstack([np.zeros((len(z), 1)), below, np.ones((len(z), 1))])
         parts = np.maximum(np.diff(padded, axis=1), FLOOR)
         return pd.Series(list(parts / parts.sum(axis=1, keepdims=True)))
@@ -325,17 +348,16 @@ def interval_probabilities(score: Column, cuts: Sequence[float], sigma: float) -
 
 @dataclass(frozen=True)
 class RegressionCuts:
-    prep: Preprocessor
     model: Any
     cuts: tuple[float, ...]
     sigma: float
     kappa: float = 0.0
 
     def score(self, df: DataFrame, out: str = "proba") -> DataFrame:
-        scored = _scored(self.model, _vectors(df, self.prep), "_score")
+        scored = self.model.score(df, "_score").withColumn("_score", F.get("_score", F.lit(0)))
         return scored.withColumn(
             out, interval_probabilities(F.col("_score"), self.cuts, self.sigma)
-        ).drop("_score", "_features")
+        ).drop("_score")
 
     def predict(self, score: Column, classes: Sequence[int] = CLASSES) -> Column:
         return F.get(F.array(*[F.lit(c) for c in classes]), count_below(score, self.cuts))
@@ -344,32 +366,25 @@ class RegressionCuts:
 def fit_regression_cuts(
     df, spec, label, key, *, classes=CLASSES, seed=42, params=None
 ) -> RegressionCuts:
-    """Regress the class, learn cuts on out-of-fold scores, keep their residual spread."""
-    options = {**SMALL_GB, "inner_folds": 3, **(params or {})}
-    inner = options.pop("inner_folds")
-    table, prep = training_table(df, spec, label, classes, scaled=False, keep=[key])
-    folded = staged(splits.plain_folds(table, key, k=inner, seed=seed))
-
-    def regressor(rows: DataFrame):
-        target = rows.withColumn("label", F.col("severity").cast("double"))
-        return GBTRegressor(weightCol="weight", seed=seed, **options).fit(target)
-
-    def out_of_fold(f: int) -> DataFrame:
-        model = regressor(folded.where(F.col("fold") != f))
-        part = folded.where(F.col("fold") == f)
-        return model.transform(part).select("severity", F.col("prediction").alias("score"))
+    """Regress the class, learn cuts on out-of-fold scores, keep their residual spread.
 
-    parts = in_parallel(
-        [lambda f=f: out_of_fold(f) for f in range(inner)] + [lambda: regressor(table)]
-    )
-    oof = parts[0]
-    for part in parts[1:-1]:
-        oof = oof.unionByName(part)
-    oof = staged(oof)
-    middle = [(a + b) / 2 for a, b in zip(classes, classes[1:])]
+    The models of the inner folds and the one of all rows are grown together.
+    """
+    options = {"inner_folds": 3, **(params or {})}
+    inner = options.pop("inner_folds")
+    folded = splits.plain_folds(ensure_staged(df), key, k=inner, seed=seed, name="_inner")
+    masks = [(0, f) for f in range(inner)]
+    known = sorted(int(c) for c in classes)
+    models, table = fit_boosted(
+        staged(folded), spec, label, key, [Problem("squared", tuple(float(c) for c in known))],
+        [replace(SMALL_GB, **options)], classes=classes, masks=[*masks, None], folds=["_inner"], seed=seed,
+    )
+    held = score_held_out(table, models[:-1], masks, classes)
+    oof = staged(held.select(F.col("y").alias("severity"), F.get("outputs", F.lit(0)).alias("score")))
+    middle = [(a + b) / 2 for a, b in zip(known, known[1:])]
     cuts, kappa = optimise_cuts(oof, "severity", "score", middle)
     sigma = oof.agg(F.stddev_pop(F.col("severity") - F.col("score"))).first()[0] or 1.0
-    return RegressionCuts(prep, parts[-1], tuple(cuts), float(sigma), kappa)
+    return RegressionCuts(models[-1][0], tuple(cuts), float(sigma), kappa)
 
 
 # --- Ordered logit and stacking ---------------------------------------------------------------
@@ -381,6 +396,10 @@ def fit_ordered(df, spec, label, key, *, classes=CLASSES, seed=42, params=None):
     )
 
 
+def cross_ordered(df, spec, label, key, folds, k, *, classes=CLASSES, seed=42, params=None) -> DataFrame:
+    return ordered_logit.cross_fit(df, spec, label, key, folds, k, classes=classes, **(params or {}))[0]
+
+
 @dataclass(frozen=True)
 class Stacked:
     bases: tuple[Scorer, ...]
@@ -402,46 +421,73 @@ class Stacked:
 STACK_BASES = ("xgboost", "lightgbm", "logistic", "ordered_logit")
 
 
+def out_of_fold(
+    folded, family: str, spec, label, key, folds: Sequence[str], k: int, *, classes=CLASSES, seed=42, params=None, fit=None
+) -> DataFrame:
+    """``(id, repeat, fold, y, proba)``: each row scored by models that did not see it.
+
+    Families with a ``cross`` fit all folds in shared passes; for others, and for a
+    ``fit`` given, there is one fit per fold, a few at a time. The seed is
+    ``seed + repeat``.
+    """
+    if fit is None and FAMILIES[family].cross:
+        return FAMILIES[family].cross(
+            folded, spec, label, key, folds, k, classes=classes, seed=seed, params=params
+        )
+    fit = fit or (
+        lambda rows, s: FAMILIES[family].fit(
+            rows, spec, label, key, classes=classes, seed=s, params=params
+        )
+    )
+
+    def one(repeat: int, fold: int) -> DataFrame:
+        held = F.col(folds[repeat]) == fold
+        model = fit(folded.where(~held), seed + repeat)
+        return model.score(folded.where(held & F.col(label).isNotNull())).select(
+            F.col(key).alias("id"),
+            F.lit(repeat).alias("repeat"),
+            F.lit(fold).alias("fold"),
+            F.col(label).cast("int").alias("y"),
+            "proba",
+        )
+
+    return reduce(DataFrame.unionByName, in_parallel([lambda m=m: one(*m) for m in fold_masks(folds, k)]))
+
+
 def fit_stacked(
     df, spec, label, key, *, classes=CLASSES, seed=42, params=None
 ) -> Stacked:
     """Out-of-fold probabilities of the bases feed a multinomial logistic; bases refit on all.
 
-    Folds are stratified; every base scores a row with the model that did not see it.
+    Folds are stratified; every base scores a row with the model that did not see
+    it, and the bases' tables are joined on the key.
     """
     options = {"folds": 3, "bases": STACK_BASES, **(params or {})}
     per_base = {n: options.get(n) for n in options["bases"]}
     k = options["folds"]
     folded = staged(splits.stratified_folds(df, key, label, k=k, seed=seed, name="_fold"))
-
-    def fit(name: str, rows: DataFrame) -> Scorer:
-        return FAMILIES[name].fit(
-            rows, spec, label, key, classes=classes, seed=seed, params=per_base[name]
-        )
-
     names = [f"_base{i}" for i in range(len(options["bases"]))]
-
-    def fold_part(f: int) -> DataFrame:
-        part = folded.where(F.col("_fold") == f)
-        for column, base in zip(names, options["bases"]):
-            part = fit(base, folded.where(F.col("_fold") != f)).score(part, column)
-        return part.select(F.col(label).cast("int").alias("severity"), *names)
-
-    parts = in_parallel([lambda f=f: fold_part(f) for f in range(k)], width=2)
-    oof = parts[0]
-    for part in parts[1:]:
-        oof = oof.unionByName(part)
+    oof = None
+    for column, base in zip(names, options["bases"]):
+        part = out_of_fold(
+            folded, base, spec, label, key, ["_fold"], k, classes=classes, seed=seed, params=per_base[base]
+        )
+        part = staged(part.select("id", F.col("y").alias(f"{column}_y"), F.col("proba").alias(column)))
+        oof = part if oof is None else oof.join(part, "id")
     labels = F.array(*[F.lit(int(c)) for c in classes])
     meta = staged(
         oof.select(
-            (F.array_position(labels, F.col("severity")) - 1).cast("double").alias("label"),
+            (F.array_position(labels, F.col("_base0_y")) - 1).cast("double").alias("label"),
             array_to_vector(F.concat(*names)).alias("features"),
         )
     )
     blend = LogisticRegression(
         family="multinomial", standardization=False, regParam=1.0 / meta.count(), maxIter=5000
     ).fit(meta)
-    bases = in_parallel([lambda n=n: fit(n, folded) for n in options["bases"]], width=2)
+    bases = [
+        FAMILIES[n].fit(folded, spec, label, key, classes=classes, seed=seed, params=per_base[n])
+        for n in options["bases"]
+    ]
     return Stacked(tuple(bases), blend)
 
 
@@ -459,16 +505,23 @@ class Family:
     ordinal: bool
     complexity: int
     space: dict[str, tuple[float, float, str]] = field(default_factory=dict)
+    cross: Callable[..., DataFrame] | None = None
+    boosted: BoostedFamily | None = None
 
 
-# Tuning ranges of the two tuned families (low, high, scale).
+# Tuning ranges of the two tuned families (low, high, scale); rounds are set by the rungs.
+# All but the step, which goes with the presets' larger one.
 BOOST_SPACE = {
-    "maxIter": (200, 900, "step50"),
-    "stepSize": (0.01, 0.2, "log"),
-    "subsamplingRate": (0.6, 1.0, "linear"),
+    "step": (0.05, 0.5, "log"),
+    "row_share": (0.6, 1.0, "linear"),
+    "column_share": (0.5, 1.0, "linear"),
+    "l2": (0.1, 10.0, "log"),
+    "l1": (1e-3, 5.0, "log"),
 }
-XGBOOST_SPACE = {**BOOST_SPACE, "maxDepth": (2, 7, "int"), "minInstancesPerNode": (1, 10, "int")}
-LIGHTGBM_SPACE = {**BOOST_SPACE, "maxDepth": (3, 6, "int"), "minInstancesPerNode": (5, 40, "int")}
+XGBOOST_SPACE = {**BOOST_SPACE, "depth": (2, 7, "int"), "min_weight": (1, 10, "int")}
+LIGHTGBM_SPACE = {**BOOST_SPACE, "leaves": (7, 63, "int"), "min_rows": (5, 40, "int")}
+
+_HIST_GB, _XGBOOST, _LIGHTGBM = BoostedFamily(HIST_GB), BoostedFamily(XGBOOST), BoostedFamily(LIGHTGBM)
 
 # Names, labels, scaling, ordinal flag and complexity of the nine families.
 FAMILIES: dict[str, Family] = {
@@ -476,7 +529,7 @@ FAMILIES: dict[str, Family] = {
     for f in (
         Family("logistic", "Multinomial logistic regression", fit_logistic, True, False, 1),
         Family(
-            "ordered_logit", "Proportional-odds (ordered) logit", fit_ordered, True, True, 2
+            "ordered_logit", "Proportional-odds (ordered) logit", fit_ordered, True, True, 2, cross=cross_ordered
         ),
         Family(
             "frank_hall",
@@ -485,6 +538,7 @@ FAMILIES: dict[str, Family] = {
             False,
             True,
             6,
+            cross=cross_frank_hall,
         ),
         Family(
             "regression_threshold",
@@ -495,16 +549,9 @@ FAMILIES: dict[str, Family] = {
             5,
         ),
         Family("random_forest", "Random forest", fit_random_forest, False, False, 3),
-        Family(
-            "hist_gb",
-            "Boosted trees, one against the rest, all rows and columns",
-            _ovr(HIST_GB),
-            False,
-            False,
-            4,
-        ),
-        Family("xgboost", "Boosted trees, one against the rest, sampled, small leaves", _ovr(XGBOOST), False, False, 4, XGBOOST_SPACE),
-        Family("lightgbm", "Boosted trees, one against the rest, sampled, large leaves", _ovr(LIGHTGBM), False, False, 4, LIGHTGBM_SPACE),
+        Family("hist_gb", "Boosted trees, best first, all rows and columns", _HIST_GB.fit, False, False, 4, cross=_HIST_GB.cross, boosted=_HIST_GB),
+        Family("xgboost", "Boosted trees, by depth, sampled", _XGBOOST.fit, False, False, 4, XGBOOST_SPACE, _XGBOOST.cross, _XGBOOST),
+        Family("lightgbm", "Boosted trees, best first, sampled", _LIGHTGBM.fit, False, False, 4, LIGHTGBM_SPACE, _LIGHTGBM.cross, _LIGHTGBM),
         Family("stacked", "Stacked ensemble", fit_stacked, True, False, 7),
     )
 }

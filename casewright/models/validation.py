@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Mapping, Sequence
@@ -17,13 +18,12 @@ from casewright.functions.probability import (
     hash_normal,
     hash_uniform,
 )
-from casewright.models import baselines
-from casewright.models.families import FAMILIES, Scorer, in_parallel, registry_table
-from casewright.models.ordered_logit import cross_fit
+from casewright.models import baselines, families
+from casewright.models.families import Scorer, in_parallel, registry_table
 from casewright.operators import metrics as M
 from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
-from casewright.session import ensure_staged, staged
+from casewright.session import ensure_staged, small_table, staged
 
 
 def with_folds(
@@ -49,35 +49,11 @@ def out_of_fold(
     seed: int = 42,
     scorer=None,
 ) -> DataFrame:
-    """``(id, repeat, fold, y, proba)``: each row scored by models that did not see it.
-
-    The ordered logit fits all folds in shared passes; other families run one
-    fit per fold, a few at a time.  The model seed is ``seed + repeat``.
-    """
-    if family == "ordered_logit" and scorer is None:
-        options = dict(params or {})
-        return cross_fit(folded, spec, label, key, fold_columns, k, classes=classes, **options)[0]
-    fit = scorer or (
-        lambda rows, s: FAMILIES[family].fit(
-            rows, spec, label, key, classes=classes, seed=s, params=params
-        )
+    """``(id, repeat, fold, y, proba)`` of a family, or of ``scorer(rows, seed)``."""
+    return families.out_of_fold(
+        folded, family, spec, label, key, fold_columns, k, classes=classes, seed=seed, params=params, fit=scorer
     )
 
-    def one(repeat: int, fold: int) -> DataFrame:
-        held = F.col(fold_columns[repeat]) == fold
-        model = fit(folded.where(~held), seed + repeat)
-        return model.score(folded.where(held)).select(
-            F.col(key).alias("id"),
-            F.lit(repeat).alias("repeat"),
-            F.lit(fold).alias("fold"),
-            F.col(label).cast("int").alias("y"),
-            "proba",
-        )
-
-    work = [(r, f) for r in range(len(fold_columns)) for f in range(k)]
-    parts = in_parallel([lambda r=r, f=f: one(r, f) for r, f in work])
-    return reduce(DataFrame.unionByName, parts)
-
 
 def fold_metrics(
     oof: DataFrame, classes: Sequence[int] = M.CLASSES, cut: int = M.CUT
@@ -223,14 +199,18 @@ def draw_trials(
 
 
 def trial_log(trials: DataFrame) -> DataFrame:
-    """Adds the best kappa so far, in trial order."""
-    order = Window.partitionBy("model").orderBy("trial")  # a row per trial
+    """Adds the best kappa so far, in trial order (and rung order, where there are rungs)."""
+    order = Window.partitionBy("model").orderBy(*[c for c in ("rung", "trial") if c in trials.columns])
     return trials.withColumn(
         "best_so_far",
         F.max("cv_qwk").over(order.rowsBetween(Window.unboundedPreceding, 0)),
     )
 
 
+# Rounds at which trials are compared and the worse half is dropped.
+RUNGS = (3, 6, 12)
+
+
 def tune_family(
     df: DataFrame,
     family: str,
@@ -241,38 +221,61 @@ def tune_family(
     trials: Sequence[Mapping[str, Any]],
     k: int = 5,
     seed: int = 42,
+    rungs: Sequence[int] = RUNGS,
     classes: Sequence[int] = M.CLASSES,
     cut: int = M.CUT,
 ) -> DataFrame:
-    """Trial log ``(model, trial, params, cv_qwk, cv_severe_recall, best_so_far)``.
+    """Successive halving: ``(model, rung, trial, rounds, params, n, cv_qwk, cv_severe_recall, kept, best_so_far)``.
 
-    Mean of the fold values per trial; the folds are those of one seeded split.
+    All trials share the staged folds, the bins and every pass. At each rung the
+    live trials are measured on the rows their folds left out (mean of the fold
+    values) and the worse half is dropped, of equals the later ones; a row is
+    kept of every measurement. Each trial is fitted with the values it was drawn
+    with; a model that stopped by itself before a rung is measured as it is.
     """
     folded, columns = with_folds(df, key, label, k=k, repeats=1, seed=seed)
-    parts = []
-    for number, params in enumerate(trials):
-        oof = out_of_fold(
-            folded, family, spec, label, key, columns, k, seed=seed, params=params, classes=classes
+    boosted = families.FAMILIES[family].boosted
+    series, places, masks = boosted.trials(
+        folded, spec, label, key, columns, k, trials, classes=classes, seed=seed
+    )
+    width, live, rows = len(classes), list(range(len(trials))), []
+    for rung, rounds in enumerate(rungs):
+        series.advance(rounds)
+        models = [[series.model(places[m][t]) for t in live] for m in range(len(masks))]
+        held = staged(families.score_held_out(series.table, models, masks, classes))
+        values = F.array(
+            *[
+                F.struct(F.lit(t).alias("trial"), F.slice("outputs", 1 + i * width, width).alias("proba"))
+                for i, t in enumerate(live)
+            ]
         )
-        scored = oof.withColumn("pred", argmax_class(F.col("proba"), classes))
-        folds = M.point_metrics(scored, by=["fold"], classes=classes, cut=cut)
-        parts.append(
-            folds.agg(
-                F.lit(family).alias("model"),
-                F.lit(number).alias("trial"),
-                F.to_json(
-                    F.create_map(*[F.lit(str(x)) for kv in params.items() for x in kv])
-                ).alias("params"),
-                F.avg("qwk").alias("cv_qwk"),
-                F.avg("severe_recall").alias("cv_severe_recall"),
-            )
+        long = held.select("fold", "y", F.inline(values))
+        scored = long.withColumn("pred", argmax_class(F.col("proba"), classes))
+        found = M.point_metrics(scored, by=["trial", "fold"], classes=classes, cut=cut)
+        means = found.groupBy("trial").agg(
+            F.sum("n").alias("n"), F.avg("qwk").alias("qwk"), F.avg("severe_recall").alias("recall")
         )
-    return trial_log(reduce(DataFrame.unionByName, parts))
+        measured = {r["trial"]: r for r in means.collect()}  # a row per trial
+        ranked = sorted(live, key=lambda t: (-(measured[t]["qwk"] or 0.0), t))
+        stay = ranked if rung + 1 == len(rungs) else ranked[: -(-len(live) // 2)]
+        for t in live:
+            made = max(len(series.tasks[own[t]].rounds) for own in places)
+            m = measured[t]
+            rows.append(
+                (family, rung, t, made, json.dumps(dict(trials[t])), int(m["n"]), m["qwk"], m["recall"], t in stay)
+            )
+        series.drop([own[t] for own in places for t in live if t not in stay])
+        live = sorted(stay)
+    schema = (
+        "model string, rung int, trial int, rounds int, params string, n bigint, "
+        "cv_qwk double, cv_severe_recall double, kept boolean"
+    )
+    return trial_log(small_table(df.sparkSession, rows, schema))
 
 
 def best_params(log: DataFrame, trials: Sequence[Mapping[str, Any]]) -> dict[str, Any]:
-    """The drawn parameters of the trial with the highest kappa, the first of equals."""
-    best = log.orderBy(F.desc("cv_qwk"), "trial").select("trial").first()
+    """The drawn parameters of the best trial of the last rung, the first of equals."""
+    best = log.orderBy(F.desc("rung"), F.desc("cv_qwk"), "trial").select("trial").first()
     return dict(trials[best["trial"]])
 
 

@@ -6,17 +6,13 @@ import json
 from dataclasses import dataclass, fields
 from typing import Any
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-)
-from pyspark.ml.regression import GBTRegressionModel, IsotonicRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassificationModel
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import __version__
-from casewright.models import baselines, families, ordered_logit
+from casewright.models import baselines, boosting, families, ordered_logit
 from casewright.models.validation import CalibratedModel
 from casewright.operators.prep import Preprocessor
 from casewright.session import small_table
@@ -29,7 +25,9 @@ _RECORDS = {
     "OrderedLogit": ordered_logit.OrderedLogit,
     "Preprocessor": Preprocessor,
     "Multinomial": families.Multinomial,
-    "OneVersusRest": families.OneVersusRest,
+    "Boosted": boosting.Boosted,
+    "Bins": boosting.Bins,
+    "Tree": boosting.Tree,
     "FrankHall": families.FrankHall,
     "RegressionCuts": families.RegressionCuts,
     "Stacked": families.Stacked,
@@ -41,8 +39,6 @@ _FITTED = {
     for c in (
         LogisticRegressionModel,
         RandomForestClassificationModel,
-        GBTClassificationModel,
-        GBTRegressionModel,
         IsotonicRegressionModel,
     )
 }

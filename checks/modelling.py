@@ -1,7 +1,6 @@
 """Models: fixed coefficients against SQL, and fits as invariant tables.
 
-Boosted and bagged families run with fewer rounds than their presets, which are
-one parameter; the rows are always the whole table.
+Every family is fitted on the whole table with its preset.
 """
 
 from __future__ import annotations
@@ -41,19 +40,6 @@ from checks.registry import query
 from checks.sources import scratch
 
 CLASSES = M.CLASSES
-# Fewer rounds than the presets, so that every family can be fitted in one check run.
-ROUNDS = {
-    "frank_hall": {"maxIter": 6},
-    "regression_threshold": {"maxIter": 6},
-    "random_forest": {"numTrees": 40, "maxDepth": 8},
-    "hist_gb": {"maxIter": 6, "stepSize": 0.3},
-    "xgboost": {"maxIter": 6, "stepSize": 0.3},
-    "lightgbm": {"maxIter": 6, "stepSize": 0.3},
-}
-FEW = {"maxIter": 3, "stepSize": 0.3}
-STACK = {"xgboost": FEW, "lightgbm": FEW, "logistic": {"maxIter": 60}}
-
-
 def frame_for_fit(spark, sf_dir) -> tuple[DataFrame, ft.FeatureSpec]:
     frame, spec = feature_frame(spark, sf_dir)
     return staged(frame), spec
@@ -137,7 +123,7 @@ def m2(spark, sf_dir):
 def _family(name: str):
     def run(spark, sf_dir):
         frame, spec = frame_for_fit(spark, sf_dir)
-        model = families.FAMILIES[name].fit(frame, spec, "severity", "k", params=ROUNDS.get(name))
+        model = families.FAMILIES[name].fit(frame, spec, "severity", "k")
         return quality(model.score(frame))
 
     return run
@@ -297,7 +283,7 @@ query("m12_lightgbm_preset", FITTED)(_family("lightgbm"))
 @query("m13_stacked_ensemble", FITTED)
 def m13(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
-    model = families.fit_stacked(frame, spec, "severity", "k", params={**STACK, "folds": 2})
+    model = families.fit_stacked(frame, spec, "severity", "k")
     return quality(model.score(frame))
 
 

@@ -15,8 +15,9 @@ from checks.fixture import CATALOG
 
 QUICK = {
     "logistic": {"maxIter": 30},
-    "frank_hall": {"maxIter": 1},
-    "regression_threshold": {"maxIter": 1, "inner_folds": 2},
+    "hist_gb": {"rounds": 2},
+    "frank_hall": {"rounds": 1},
+    "regression_threshold": {"rounds": 1, "inner_folds": 2},
 }
 
 

@@ -161,7 +161,7 @@ def test_running_minimum_and_normalisation(spark):
 
 def test_one_sided_binary_problem(toy):
     one_class = toy.where("y <= 2")
-    model = families.fit_frank_hall(one_class, SPEC.only(["x0", "x1"]), "y", "k", classes=(1, 2, 3), params={"maxIter": 2})
+    model = families.fit_frank_hall(one_class, SPEC.only(["x0", "x1"]), "y", "k", classes=(1, 2, 3), params={"rounds": 2})
     assert model.models[1] == 0.0
     assert model.score(one_class).agg(F.max(F.get("proba", F.lit(2)))).first()[0] < 1e-6
 
@@ -205,4 +205,4 @@ def test_trials_are_seeded():
     assert V.draw_trials(space, 5) == V.draw_trials(space, 5) != V.draw_trials(space, 5, seed=1)
     for t in V.draw_trials(space, 50):
         assert all(space[n][0] <= v <= space[n][1] for n, v in t.items())
-        assert t["maxIter"] % 50 == 0
+        assert isinstance(t["depth"], int)
