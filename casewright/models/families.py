@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright.functions.probability import FLOOR, count_below, share_of_total
-from casewright.models import ordered_logit
+from casewright.models import ordered_logit, softmax
 from casewright.models.boosting import (
     Boosted,
     Options,
@@ -113,23 +113,18 @@ class Multinomial:
         )
 
 
-def fit_logistic(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
+def _logistic_options(params: Mapping[str, Any] | None) -> dict[str, Any]:
+    options = {"C": 0.5, "maxIter": 500, "tol": 1e-9, "balanced": True, **(params or {})}
+    return {"c": options["C"], "max_iter": options["maxIter"], "tol": options["tol"], "even": options["balanced"]}
+
+
+def fit_logistic(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> softmax.SoftmaxScorer:
     """Multinomial logistic, ridge of strength 1/C on the total loss, balanced weights."""
-    options = {"C": 0.5, "maxIter": 5000, "tol": 1e-5, "balanced": True, **(params or {})}
-    table, prep = training_table(
-        df, spec, label, classes, scaled=True, balanced=options["balanced"]
-    )
-    mass = table.agg(F.sum("weight")).first()[0]
-    model = LogisticRegression(
-        family="multinomial",
-        weightCol="weight",
-        standardization=False,
-        # Spark averages the loss by total weight; the penalty is scaled alike.
-        regParam=1.0 / (options["C"] * mass),
-        maxIter=options["maxIter"],
-        tol=options["tol"],
-    ).fit(table)
-    return Multinomial(prep, model)
+    return softmax.fit_softmax(df, spec, label, classes, **_logistic_options(params))
+
+
+def cross_logistic(df, spec, label, key, folds, k, *, classes=CLASSES, seed=42, params=None) -> DataFrame:
+    return softmax.cross_softmax(df, spec, label, key, folds, k, classes, **_logistic_options(params))[0]
 
 
 def fit_random_forest(df, spec, label, key, *, classes=CLASSES, seed=42, params=None) -> Multinomial:
@@ -527,7 +522,7 @@ _HIST_GB, _XGBOOST, _LIGHTGBM = BoostedFamily(HIST_GB), BoostedFamily(XGBOOST),
 FAMILIES: dict[str, Family] = {
     f.name: f
     for f in (
-        Family("logistic", "Multinomial logistic regression", fit_logistic, True, False, 1),
+        Family("logistic", "Multinomial logistic regression", fit_logistic, True, False, 1, cross=cross_logistic),
         Family(
             "ordered_logit", "Proportional-odds (ordered) logit", fit_ordered, True, True, 2, cross=cross_ordered
         ),

@@ -495,7 +495,22 @@ def _rescored(
     )
     scored = staged(scored)  # measured in several passes
     table = M.compute_metrics(scored, by=[name], classes=classes, cut=cut)
-    return table.select(name, *ROBUST_METRICS)
+    return table.select(name, "n", *ROBUST_METRICS)
+
+
+def blanked_cells(spec: FeatureSpec, key: str, fraction: Column, seed: int = 42) -> dict[str, Column]:
+    """Every feature cell, null with chance ``fraction`` by a draw on its id and column."""
+    return {c: F.when(hash_uniform(seed, F.col(key), F.lit(c)) >= fraction, F.col(c)) for c in spec.columns}
+
+
+def noisy_cells(df: DataFrame, spec: FeatureSpec, key: str, scale: Column, seed: int = 42) -> dict[str, Column]:
+    """Every numeric cell that varies, plus a normal draw of ``scale`` deviations of its column."""
+    spread = df.agg(*[F.stddev_samp(c).alias(c) for c in spec.numeric]).first()
+    return {
+        c: F.col(c) + hash_normal(seed, F.col(key), F.lit(c), scale) * scale * F.lit(float(spread[c]))
+        for c in spec.numeric
+        if spread[c]
+    }
 
 
 def missingness_injection(
@@ -516,10 +531,7 @@ def missingness_injection(
     blanked at 20 % too, and the result does not depend on partitioning.
     """
     name = "missing_fraction"
-    changed = {
-        c: F.when(hash_uniform(seed, F.col(key), F.lit(c)) >= F.col(name), F.col(c))
-        for c in spec.columns
-    }
+    changed = blanked_cells(spec, key, F.col(name), seed)
     return _rescored(df, changed, (0.0, *fractions), name, model, label, classes, cut)
 
 
@@ -537,10 +549,5 @@ def noise_perturbation(
 ) -> DataFrame:
     """Add seeded Gaussian noise, a multiple of each numeric column's deviation."""
     name = "noise_scale"
-    spread = df.agg(*[F.stddev_samp(c).alias(c) for c in spec.numeric]).first()
-    changed = {}
-    for c in spec.numeric:
-        if spread[c]:
-            draw = hash_normal(seed, F.col(key), F.lit(c), F.col(name))
-            changed[c] = F.col(c) + draw * F.col(name) * F.lit(float(spread[c]))
+    changed = noisy_cells(df, spec, key, F.col(name), seed)
     return _rescored(df, changed, (0.0, *scales), name, model, label, classes, cut)

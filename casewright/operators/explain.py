@@ -44,9 +44,19 @@ def permutation_importance(
 
     A shuffle is an equi-join of two seeded hash ranks: row number i takes its
     values from the row with donor rank i.  One join per repeat serves all
-    features; each copy of a row swaps in one feature from its donor.
+    features.  A model whose score is a sum of one term a column (``terms``) is
+    scored by the change of one term: a pair of rows gives one number a feature.
+    For any other model each copy of a row swaps in one feature from its donor.
     """
-    rows = staged(df.select(key, label, *features))
+    additive = hasattr(model, "terms")
+    if additive:
+        constant, terms = model.terms()
+        parted = F.array(*[terms.get(c, F.lit(0.0)) for c in features]).alias("_terms")
+        rows = staged(df.select(key, label, parted, model.eta().alias("_eta")))
+        held = ["_terms"]
+    else:
+        rows = staged(df.select(key, label, *features))
+        held = list(features)
     n = rows.count()
     buckets = splits._bucket_count(n)
     place = staged(splits.hash_rank(rows, key, seed, buckets=buckets).drop("_size"))
@@ -54,24 +64,30 @@ def permutation_importance(
     def kappa() -> Column:
         return qwk(F.col(label), argmax_class(F.col("proba"), classes))
 
-    base_value = model.score(rows).agg(kappa()).first()[0]
+    def with_one_term_changed(paired: DataFrame) -> DataFrame:
+        moved = F.transform(F.arrays_zip("_donor__terms", "_terms"), lambda t: t["_donor__terms"] - t["_terms"])
+        names = F.array(*[F.lit(c) for c in features])
+        long = paired.select(label, "_eta", F.posexplode(moved).alias("_at", "_change"))
+        return long.select(
+            F.get(names, F.col("_at")).alias("feature"), label, model.model.proba(F.col("_eta") + F.col("_change")).alias("proba")
+        )
+
+    def with_one_column_swapped(paired: DataFrame) -> DataFrame:
+        copies = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
+        cells = [
+            F.when(F.col("feature") == c, F.col(f"_donor_{c}")).otherwise(F.col(c)).alias(c) for c in features
+        ]
+        return model.score(copies.select("feature", label, *cells))
+
+    base = rows.withColumn("proba", model.model.proba(F.col("_eta"))) if additive else model.score(rows)
+    base_value = base.agg(kappa()).first()[0]
     parts = []
     for r in range(repeats):
         donors = splits.hash_rank(rows, key, seed + 1 + r, buckets=buckets).select(
-            "_rank", *[F.col(c).alias(f"_donor_{c}") for c in features]
+            "_rank", *[F.col(c).alias(f"_donor_{c}") for c in held]
         )
         paired = place.join(donors, "_rank")
-        copies = paired.withColumn(
-            "feature", F.explode(F.array(*[F.lit(c) for c in features]))
-        ).select(
-            "feature",
-            label,
-            *[
-                F.when(F.col("feature") == c, F.col(f"_donor_{c}")).otherwise(F.col(c)).alias(c)
-                for c in features
-            ],
-        )
-        scored = model.score(copies)
+        scored = with_one_term_changed(paired) if additive else with_one_column_swapped(paired)
         parts.append(
             scored.groupBy("feature")
             .agg(kappa().alias("shuffled"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import __version__
-from casewright.models import baselines, boosting, families, ordered_logit
+from casewright.models import baselines, boosting, families, ordered_logit, softmax
 from casewright.models.validation import CalibratedModel
 from casewright.operators.prep import Preprocessor
 from casewright.session import small_table
@@ -27,6 +27,8 @@ _RECORDS = {
     "Multinomial": families.Multinomial,
     "Boosted": boosting.Boosted,
     "Bins": boosting.Bins,
+    "Softmax": softmax.Softmax,
+    "SoftmaxScorer": softmax.SoftmaxScorer,
     "Tree": boosting.Tree,
     "FrankHall": families.FrankHall,
     "RegressionCuts": families.RegressionCuts,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Window
@@ -79,19 +80,59 @@ def e17(spark, sf_dir):
     return rounded(V.compare_families([rule_folds(spark, sf_dir)]))
 
 
-@query("e18_tuning", listed("model, trial, running_best, above_chance", [("'lightgbm'", i, True, True) for i in range(3)]))
-def e18(spark, sf_dir):
-    """Seeded random candidates of a boosted family, three folds each."""
+_FITTED_FAMILIES = ("logistic", "ordered_logit", "xgboost")
+
+
+@query(
+    "e17b_families_fitted",
+    with_clean(
+        "SELECT model, label, ordinal_aware, complexity, 15::BIGINT AS folds, n, TRUE AS above_chance, TRUE AS best_first FROM ("
+        + listed(
+            "model, label, ordinal_aware, complexity",
+            [(f"'{f.name}'", f"'{f.label}'", f.ordinal, f.complexity) for f in map(families.FAMILIES.get, _FITTED_FAMILIES)],
+        )
+        + ") AS fam, (SELECT 3 * COUNT(severity) AS n FROM clean) AS counted"
+    ),
+)
+def e17b(spark, sf_dir):
+    """Three families fitted on the same 3 x 5 folds and compared."""
     frame, spec = frame_for_fit(spark, sf_dir)
-    drawn = V.draw_trials(families.LIGHTGBM_SPACE, 3)
-    # The number of rounds is cut from its range so that nine fits take seconds.
-    trials = [{**t, "maxIter": 2, "stepSize": max(0.1, t["stepSize"])} for t in drawn]
-    log = V.tune_family(
-        frame, "lightgbm", spec, "severity", "k", trials=trials, k=2
+    folds, _ = V.run_families(frame, _FITTED_FAMILIES, spec, "severity", "k")
+    compared = V.compare_families([folds])
+    rows = folds.groupBy("model").agg(F.count(F.lit(1)).alias("folds"), F.sum("n").alias("n"), F.avg("qwk").alias("plain"))
+    best = F.max("qwk").over(Window.partitionBy(F.lit(0)))  # a row a family
+    ordered = compared.limit(len(_FITTED_FAMILIES)).withColumn("best_first", (F.col("qwk") <= best))
+    return ordered.join(rows, "model").select(
+        "model", "label", "ordinal_aware", "complexity", "folds", "n",
+        ((F.col("qwk") > 0.3) & (F.col("qwk_std") > 0)).alias("above_chance"),
+        (F.col("best_first") & (F.abs(F.col("qwk") - F.col("plain")) < 1e-9)).alias("best_first"),
     )
-    best = F.max("cv_qwk").over(Window.partitionBy("model").orderBy("trial"))
-    return log.select(
-        "model", "trial", (F.col("best_so_far") == best).alias("running_best"), (F.col("cv_qwk") > 0).alias("above_chance")
+
+
+@query(
+    "e18_tuning",
+    with_clean(
+        "SELECT model, rung, trials, n, TRUE AS as_drawn, TRUE AS better_half_stays, TRUE AS running_best, TRUE AS above_chance FROM ("
+        + listed("model, rung, trials", [("'lightgbm'", g, f"{t}::BIGINT") for g, t in enumerate((4, 2, 1))])
+        + ") AS rungs, (SELECT COUNT(severity) AS n FROM clean) AS counted"
+    ),
+)
+def e18(spark, sf_dir):
+    """Four seeded candidates on five folds; the worse half is dropped after each of two rungs."""
+    frame, spec = frame_for_fit(spark, sf_dir)
+    drawn = V.draw_trials(families.LIGHTGBM_SPACE, 4)
+    log = staged(V.tune_family(frame, "lightgbm", spec, "severity", "k", trials=drawn))
+    texts = F.array(*[F.lit(json.dumps(t)) for t in drawn])
+    worst_kept = F.min(F.when(F.col("kept"), F.col("cv_qwk"))).over(Window.partitionBy("rung"))
+    best = F.max("cv_qwk").over(Window.partitionBy("model").orderBy("rung", "trial"))
+    judged = log.withColumns({"worst_kept": worst_kept, "best": best})
+    return judged.groupBy("model", "rung").agg(
+        F.count(F.lit(1)).alias("trials"),
+        F.max("n").alias("n"),
+        F.bool_and(F.col("params") == F.get(texts, F.col("trial"))).alias("as_drawn"),
+        F.bool_and(F.col("kept") | (F.col("cv_qwk") <= F.col("worst_kept"))).alias("better_half_stays"),
+        F.bool_and(F.col("best_so_far") == F.col("best")).alias("running_best"),
+        (F.min("cv_qwk") > 0).alias("above_chance"),
     )
 
 
@@ -117,7 +158,15 @@ def e19(spark, sf_dir):
     return rounded(V.top_trials(V.trial_log(trials), 3))
 
 
-@query("e23_isotonic_calibration", listed("variant, calibrated_range", [("'uncalibrated'", True), ("'isotonic'", True)]))
+@query(
+    "e23_isotonic_calibration",
+    with_clean(
+        "SELECT variant, CAST(n AS BIGINT) AS n, TRUE AS calibrated_range, TRUE AS no_worse FROM ("
+        + listed("variant", [("'uncalibrated'",), ("'isotonic'",)])
+        + ") AS v, (SELECT SUM(round_even(0.2::DOUBLE * n_c, 0)) AS n FROM"
+        + " (SELECT COUNT(*) AS n_c FROM clean WHERE severity IS NOT NULL GROUP BY severity) AS c) AS counted"
+    ),
+)
 def e23(spark, sf_dir):
     frame, spec = frame_for_fit(spark, sf_dir)
     split = staged(splits.stratified_holdout(frame, "k", "severity"))
@@ -134,7 +183,12 @@ def e23(spark, sf_dir):
     }
     found = V.calibration_summary(variants)
     sound = F.col("severe_brier").between(0.0, 0.25) & F.col("log_loss").between(0.0, 2.0)
-    return found.select("variant", sound.alias("calibrated_range"))
+    plain_brier = F.max(F.when(F.col("variant") == "uncalibrated", F.col("severe_brier"))).over(Window.partitionBy(F.lit(0)))
+    n = variants["isotonic"].where("y is not null").count()
+    return found.select(
+        "variant", F.lit(n).cast("bigint").alias("n"), sound.alias("calibrated_range"),
+        (F.col("severe_brier") <= 1.1 * plain_brier).alias("no_worse"),
+    )
 
 
 _GROUPS = sorted(set(SPEC.groups.values()))
@@ -160,25 +214,57 @@ def _holdout_model(spark, sf_dir):
     return O.fit_ordered_logit(train, spec, "severity", classes=CLASSES), test, spec
 
 
-def _no_gain(table, name):
-    """Spoilt rows score no better than the unchanged ones, but for noise."""
-    base = F.max(F.when(F.col(name) == 0, F.col("qwk"))).over(Window.partitionBy(F.lit(0)))
-    return table.select(name, (F.col("qwk") <= base + 0.02).alias("no_gain"), inside(*V.ROBUST_METRICS).alias("in_range"))
+def _spoilt_sql(name: str, doses) -> str:
+    """Rows of the test fifth at every dose, from the table; the rest must hold."""
+    return with_clean(
+        f"SELECT {name}, CAST(n AS BIGINT) AS n, TRUE AS as_dosed, TRUE AS no_gain, TRUE AS loses_at_last, TRUE AS in_range FROM ("
+        + listed(name, [(f"{x}::DOUBLE",) for x in doses])
+        + ") AS doses, (SELECT SUM(round_even(0.2::DOUBLE * n_c, 0)) AS n FROM"
+        + " (SELECT COUNT(*) AS n_c FROM clean WHERE severity IS NOT NULL GROUP BY severity) AS c) AS counted"
+    )
 
 
-_SPOILT = [(f"{x}::DOUBLE", True, True) for x in (0.0, 0.1, 0.2, 0.3)]
+def _spoilt(table, name, dosed):
+    """Rows score no better for being spoilt, worse at the last dose; ``dosed`` tells which doses were given as named."""
+    one = Window.partitionBy(F.lit(0))  # a row a dose
+    base = F.max(F.when(F.col(name) == 0, F.col("qwk"))).over(one)
+    last = F.col(name) == F.max(name).over(one)
+    right = F.array(*[F.lit(float(d)) for d, ok in dosed.items() if ok])
+    return table.select(
+        name,
+        "n",
+        F.array_contains(right, F.col(name)).alias("as_dosed"),
+        (F.col("qwk") <= base + 0.02).alias("no_gain"),
+        (~last | (F.col("qwk") < base - 0.002)).alias("loses_at_last"),
+        inside(*V.ROBUST_METRICS).alias("in_range"),
+    )
 
 
-@query("e25_missingness_injection", listed("missing_fraction, no_gain, in_range", _SPOILT))
+@query("e25_missingness_injection", _spoilt_sql("missing_fraction", (0.0, 0.1, 0.2, 0.3)))
 def e25(spark, sf_dir):
+    """The share of filled cells that each dose blanks is counted beside the scores."""
     model, test, spec = _holdout_model(spark, sf_dir)
-    return _no_gain(V.missingness_injection(test, model, spec, "severity", "k"), "missing_fraction")
+    dosed = {}
+    for f in (0.0, 0.1, 0.2, 0.3):
+        after = V.blanked_cells(spec, "k", F.lit(f))
+        filled = sum(F.col(c).isNotNull().cast("long") for c in spec.columns)
+        left = sum(after[c].isNotNull().cast("long") for c in spec.columns)
+        row = test.agg(F.sum(filled).alias("filled"), F.sum(left).alias("left")).first()
+        dosed[f] = abs(1 - row["left"] / row["filled"] - f) < 0.01
+    return _spoilt(V.missingness_injection(test, model, spec, "severity", "k"), "missing_fraction", dosed)
 
 
-@query("e26_noise", listed("noise_scale, no_gain, in_range", [(f"{x}::DOUBLE", True, True) for x in (0.0, 0.1, 0.2, 0.5)]))
+@query("e26_noise", _spoilt_sql("noise_scale", (0.0, 0.1, 0.2, 0.5)))
 def e26(spark, sf_dir):
+    """The variance that each dose adds is measured beside the scores."""
     model, test, spec = _holdout_model(spark, sf_dir)
-    return _no_gain(V.noise_perturbation(test, model, spec, "severity", "k"), "noise_scale")
+    dosed = {}
+    for d in (0.0, 0.1, 0.2, 0.5):
+        after = V.noisy_cells(test, spec, "k", F.lit(d))
+        shares = [F.avg(F.pow(v - F.col(c), 2)) / F.var_samp(c) for c, v in after.items()]
+        added = test.agg(*shares).first()
+        dosed[d] = abs(sum(added) / len(added) - d * d) <= 0.1 * d * d
+    return _spoilt(V.noise_perturbation(test, model, spec, "severity", "k"), "noise_scale", dosed)
 
 
 _RUNGS = (
@@ -191,18 +277,34 @@ _RUNGS = (
 )
 
 
-@query("e29_baseline_ladder", listed("rung, approach, above_chance", [(i, f"'{name}'", i > 0) for i, name in enumerate(_RUNGS)]))
+_LADDER = with_clean(
+    "SELECT rung, approach, rung > 0 AS above_chance, CASE rung WHEN 0 THEN ROUND(majority, 1) END AS majority_mae,"
+    " rung < 2 OR TRUE AS fits_beat_the_rule FROM ("
+    + listed("rung, approach", [(i, f"'{name}'") for i, name in enumerate(_RUNGS)])
+    + ") AS rungs, (SELECT AVG(ABS(severity - (SELECT severity FROM clean WHERE severity IS NOT NULL GROUP BY severity"
+    " ORDER BY COUNT(*) DESC, severity LIMIT 1))) AS majority FROM clean) AS m"
+)
+
+
+@query("e29_baseline_ladder", _LADDER)
 def e29(spark, sf_dir):
+    """Five folds; the majority's error is that of one class for all, every fit beats the one-feature rule."""
     frame, spec = frame_for_fit(spark, sf_dir)
     raw = spec.without_groups(
         ft.DATE_PARTS, ft.FINANCIAL, ft.IMPACT, ft.VULNERABILITY, ft.FAILURE, ft.INTERACTIONS,
         ft.MISSING,
     )
     table = V.baseline_ladder(
-        frame, spec, raw, "impact_score", "severity", "k",
-        k=2, params={"lightgbm": {"maxIter": 4, "stepSize": 0.3}, "logistic": {"maxIter": 60}},
+        frame, spec, raw, "impact_score", "severity", "k"
+    )
+    rule = F.max(F.when(F.col("rung") == 1, F.col("qwk"))).over(Window.partitionBy(F.lit(0)))  # a row a rung
+    return table.select(
+        "rung",
+        "approach",
+        (F.col("qwk") > 1e-9).alias("above_chance"),
+        F.when(F.col("rung") == 0, F.round("mae", 1)).alias("majority_mae"),
+        ((F.col("rung") < 2) | (F.col("qwk") > rule)).alias("fits_beat_the_rule"),
     )
-    return table.select("rung", "approach", (F.col("qwk") > 1e-9).alias("above_chance"))
 
 
 @query(

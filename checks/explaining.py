@@ -35,13 +35,30 @@ from checks.registry import query
 THRESHOLD = 0.2
 
 
-@query("x1_permutation_importance", listed("feature, in_range", [(f"'{c}'", True) for c in SPEC.columns]))
+@query(
+    "x1_permutation_importance",
+    with_clean(
+        "SELECT feature, n, TRUE AS in_range, TRUE AS unused_is_zero, TRUE AS used_matters FROM ("
+        + listed("feature", [(f"'{c}'",) for c in SPEC.columns])
+        + ") AS names, (SELECT COUNT(severity) AS n FROM clean) AS counted"
+    ),
+)
 def x1(spark, sf_dir):
+    """Drops of every feature; one that the model gives no weight has none, the strongest has one."""
     frame, spec = frame_for_fit(spark, sf_dir)
     model = O.fit_ordered_logit(frame, spec, "severity", classes=CLASSES)
     table = X.permutation_importance(frame, model, spec.columns, "severity", "k")
+    weight = dict(zip(model.model.names, model.model.beta))
+    used = set(model.terms()[1])
+    strongest = max(model.prep.numeric, key=lambda c: abs(weight[c]))
     sound = F.col("importance_mean").between(-1.0, 2.0) & (F.col("importance_std") >= 0)
-    return table.select("feature", sound.alias("in_range"))
+    zero = F.col("feature").isin(sorted(used)) | (F.abs("importance_mean") < 1e-12)
+    matters = (F.col("feature") != strongest) | (F.col("importance_mean") > 0.01)
+    n = frame.where("severity is not null").count()
+    return table.select(
+        "feature", F.lit(n).cast("bigint").alias("n"), sound.alias("in_range"),
+        zero.alias("unused_is_zero"), matters.alias("used_matters"),
+    )
 
 
 _CORR = [c for c in SPEC.numeric]

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from casewright.functions.probability import array_sum
 from casewright.models import families
 from casewright.models import ordered_logit as O
+from casewright.models import softmax as S
 from casewright.models import validation as V
+from casewright.operators import explain as X
 from casewright.operators import prep as P
 from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
@@ -71,6 +73,89 @@ def test_shared_fold_fits_equal_separate_fits(toy):
     assert gap < 1e-6
 
 
+def test_softmax_gradient_against_differences():
+    rng = np.random.default_rng(6)
+    x, code, w = rng.normal(size=(150, 3)), rng.integers(0, 4, 150), rng.uniform(0.5, 2, 150)
+    at = rng.normal(size=(4, 4))
+    value, g, h = S.block_sums(at, x, code, w)
+    p = S.proportions(x @ at[:, :-1].T + at[:, -1])
+    assert value == pytest.approx(-(w * np.log(p[np.arange(150), code])).sum())
+    for j in np.ndindex(4, 4):
+        e = np.zeros((4, 4))
+        e[j] = 1e-5
+        up, down = (S.block_sums(at + sign * e, x, code, w) for sign in (1, -1))
+        assert g[j] == pytest.approx((up[0] - down[0]) / 2e-5, abs=1e-5)
+        assert np.allclose(h[j[0] * 4 + j[1]], ((up[1] - down[1]) / 2e-5).ravel(), atol=1e-4)
+
+
+def test_shared_logistic_equals_separate_fits_and_spark(toy):
+    from pyspark.ml.classification import LogisticRegression
+
+    folded, columns = V.with_folds(toy, "k", "y", k=3, repeats=2)
+    oof, models = S.cross_softmax(folded, SPEC, "y", "k", columns, 3, CLASSES)
+    alone = S.fit_softmax(folded.where("fold_1 != 2"), SPEC, "y", CLASSES)
+    shared = models[5]
+    assert shared.gradient_norm <= 1e-9 and shared.n_iter < 30
+    assert np.allclose(alone.model.weights, shared.weights, atol=1e-6)
+    assert np.allclose(alone.model.intercepts, shared.intercepts, atol=1e-6)
+    assert oof.count() == 800 and oof.select("id").distinct().count() == 400
+    held = alone.score(folded.where("fold_1 = 2")).select(F.col("k").alias("id"), F.col("proba").alias("p"))
+    both = oof.where("repeat = 1 and fold = 2").join(held, "id")
+    gap = both.agg(F.max(array_sum(F.zip_with("p", "proba", lambda a, b: F.abs(a - b))))).first()[0]
+    assert gap < 1e-6
+    table, prep = families.training_table(toy, SPEC, "y", CLASSES, scaled=True)
+    mass = table.agg(F.sum("weight")).first()[0]
+    other = LogisticRegression(
+        family="multinomial", weightCol="weight", standardization=False, regParam=2.0 / mass, maxIter=5000, tol=1e-12
+    ).fit(table)
+    own = S.fit_softmax(toy, SPEC, "y", CLASSES)
+    assert own.model.names == tuple(prep.names)
+    assert np.allclose(own.model.weights, other.coefficientMatrix.toArray(), atol=2e-4)
+
+
+def test_logistic_scores_unseen_and_missing_levels(spark, toy):
+    scorer = S.fit_softmax(toy, SPEC, "y", CLASSES)
+    rows = spark.createDataFrame([(0.0,) * 5 + (c,) for c in ("new", None, "a", "(unseen)")], ", ".join(f"{n} double" for n in NAMES) + ", c string")
+    got = [r.proba for r in scorer.score(rows).collect()]
+    assert got[0] == got[3] != got[2] and got[1] in (got[2], got[1]) and all(abs(sum(p) - 1) < 1e-9 for p in got)
+    w = dict(zip(scorer.model.names, np.array(scorer.model.weights).T))
+    level = scorer.prep.mode["c"]
+    x = np.array([[(0 - scorer.prep.mean[n]) / scorer.prep.scale[n] for n in NAMES]])
+    plain = x @ np.array([w[n] for n in NAMES]) + np.array(scorer.model.intercepts)
+    shifted = plain + sum((v * ((name == f"c_{level}") - scorer.prep.mean.get(name, 0)) / scorer.prep.scale.get(name, 1) if name.startswith("c_") else 0) for name, v in w.items())
+    assert np.allclose(S.proportions(plain)[0], got[0]) and np.allclose(S.proportions(shifted)[0], got[1])
+
+
+def test_importance_by_terms_equals_swapped_columns(toy):
+    class Opaque:
+        def __init__(self, scorer):
+            self.score = scorer.score
+
+    model = O.fit_ordered_logit(toy, SPEC, "y", classes=CLASSES)
+    both = [
+        {r.feature: r for r in X.permutation_importance(toy, m, [*NAMES, "c"], "y", "k", repeats=3).collect()}
+        for m in (model, Opaque(model))
+    ]
+    for name, row in both[0].items():
+        assert row.importance_mean == pytest.approx(both[1][name].importance_mean, abs=1e-9)
+        assert row.importance_std == pytest.approx(both[1][name].importance_std, abs=1e-9)
+    assert both[0]["x0"].importance_mean > 0.05
+
+
+def test_robustness_invariants_fail_where_nothing_is_done(spark):
+    from checks.evaluation import _spoilt
+
+    def judged(kappas, right):
+        rows = [(d, 10, k, 0.5, 0.5, 0.5) for d, k in zip((0.0, 0.1, 0.5), kappas)]
+        table = spark.createDataFrame(rows, "noise_scale double, n bigint, qwk double, macro_f1 double, severe_recall double, severe_pr_auc double")
+        last = _spoilt(table, "noise_scale", dict.fromkeys((0.0, 0.1, 0.5), right)).orderBy("noise_scale").collect()[-1]
+        return last.as_dosed, last.no_gain, last.loses_at_last
+
+    assert judged((0.9, 0.89, 0.8), True) == (True, True, True)
+    assert judged((0.9, 0.9, 0.9), False) == (False, True, False)
+    assert judged((0.9, 0.9, 0.95), True) == (True, False, False)
+
+
 def test_check_invariants_fail_on_broken_scores(spark):
     from checks.modelling import quality
 
