@@ -17,8 +17,10 @@ at most (1-t)/(1+t)*(a+b) shingles. Per size band that bound D is a number, and:
 4. only keys whose documents are still in several components go on: pairs
    across components, within blocks of bounded size, by dense sketch, then set.
 
-Equal sets are one vertex throughout (a set's 64-bit fingerprint and size stand
-for it). Shingles are 64-bit hashes.
+Equal sets are one vertex throughout: a 64-bit fingerprint of the set and its size
+stands for it, ids come in at the end. Shingles are 64-bit hashes. Components are
+built, not all links: a pair inside a component formed by other links is not
+compared, as a group of n near copies has n * n of them.
 """
 
 from __future__ import annotations
@@ -121,7 +123,7 @@ def _sketches(k: int, num: int, den: int):
         for text in texts:
             s = shingle_set(text, k)
             n.append(len(s))
-            finger.append(xxhash.xxh3_64_intdigest(s.tobytes(), len(s)) - (1 << 63) if len(s) else None)
+            finger.append(_finger(s) if len(s) else None)
             bits.append(dense_sketch(s).tobytes() if len(s) else None)
             keys.append(segment_keys(s, num, den).tobytes())
         yield pa.RecordBatch.from_arrays(
@@ -135,7 +137,7 @@ def _sketches(k: int, num: int, den: int):
 def _explode_keys(batch):
     raw = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
     ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in raw])
-    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(raw)), pa.array(ids)], ["key", "id"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(raw)), pa.array(ids)], ["key", "v"])
 
 
 def _near_by_sketch(num: int, den: int):
@@ -198,6 +200,8 @@ def jaccard_components(
     text_col: str = "text",
     shingle: int = 5,
     threshold: tuple[int, int] = (80, 100),
+    few: int = FEW,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``.
 
@@ -206,49 +210,46 @@ def jaccard_components(
     reachable by links. Null, empty and blank texts have no shingles and link
     with nothing. A row with a null id links with nothing and has a null
     component. Repeated rows give repeated results; rows that share an id are one
-    vertex. Other columns are not read.
+    vertex, whatever their texts (but for blank ones, which keep their own id).
+    Texts of any length are read whole. Other columns are not read. Up to ``few``
+    sets of a key are paired as rows, more in blocks of about ``block``.
     """
     num, den = threshold
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
     sketched = staged(
         map_batches(rows, _sketches(shingle, num, den), "id bigint, n bigint, finger bigint, bits binary, keys binary")
     )
-    named = sketched.where(F.col("id").isNotNull())
-    vertex = staged(named.where("n > 0").groupBy("finger", "n").agg(F.min("id").alias("rep")))
+    named = sketched.where(F.col("id").isNotNull() & (F.col("n") > 0))
+    vertex = staged(named.groupBy(F.col("finger").alias("v")).agg(F.min("id").alias("rep")))
 
-    # Keys met by two documents, then the distinct vertices that hold them.
-    keys = map_batches(named.where("n > 0").select("id", "keys"), _explode_keys, "key bigint, id bigint")
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    # Keys met by two different sets, then the vertices that hold them.
+    keys = map_batches(named.select("finger", "keys"), _explode_keys, "key bigint, v bigint")
+    shared = keys.groupBy("key").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo < hi").select("key")
     shared = staged(shared)
-    of_doc = named.where("n > 0").select("id", "finger", "n").join(vertex, ["finger", "n"]).select("id", "rep")
-    held = staged(
-        keys.join(maybe_broadcast(shared), "key", "left_semi").join(of_doc, "id").select("key", "rep").distinct()
-    )
-    group = held.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    held = staged(keys.join(maybe_broadcast(shared), "key", "left_semi").distinct())
+    group = held.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
     group = staged(group)
-    star = (
-        held.join(group, "key").where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    )
-    sketch = named.join(vertex.select(F.col("rep").alias("id"), "finger", "n"), ["id", "finger", "n"], "left_semi")
-    sketch = sketch.select("id", "n", "bits").dropDuplicates(["id"])
+    star = held.join(group, "key").where("v <> pivot").select(F.col("pivot").alias("a"), F.col("v").alias("b")).distinct()
+    first = vertex.select(F.col("rep").alias("id"), F.col("v").alias("finger"))
+    sketch = named.join(first, ["id", "finger"], "left_semi").select(F.col("finger").alias("v"), "n", "bits")
+    sketch = sketch.dropDuplicates(["v"])
 
     def verified(pairs: DataFrame, by_sketch: bool) -> DataFrame:
         if by_sketch:
-            left = sketch.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("sa"))
-            right = sketch.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("sb"))
+            left = sketch.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("bits").alias("sa"))
+            right = sketch.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("sb"))
             both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
             both = both.where((F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num))
             pairs = map_batches(both, _near_by_sketch(num, den), "a bigint, b bigint")
         pairs = staged(pairs)
-        wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        sets = (
-            rows.join(maybe_broadcast(wanted), "id", "left_semi")
-            .dropDuplicates(["id"])
-        )
-        sets = staged(map_batches(sets, _sets(shingle), "id bigint, s binary"))
+        wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct())
+        ids = staged(vertex.join(wanted, "v").select(F.col("rep").alias("id")).distinct())
+        texts = rows.join(maybe_broadcast(ids), "id", "left_semi").select("text")
+        sets = map_batches(texts, _sets(shingle), "v bigint, s binary").join(maybe_broadcast(wanted), "v", "left_semi")
+        sets = staged(sets.dropDuplicates(["v"]))
         both = (
-            pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+            pairs.join(sets.select(F.col("v").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("v").alias("b"), F.col("s").alias("sb")), "b")
             .select("a", "b", "sa", "sb")
         )
         return staged(map_batches(both, _linked(num, den), "a bigint, b bigint"))
@@ -257,43 +258,47 @@ def jaccard_components(
     comp = components(links)
 
     # Keys whose vertices lie in several components: every pair across them.
-    placed = held.join(group, "key").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-    placed = staged(placed.select("key", "size", "pivot", "rep", F.coalesce("component", "rep").alias("comp")))
+    placed = held.join(group, "key").join(comp.withColumnRenamed("id", "v"), "v", "left")
+    placed = staged(placed.select("key", "size", "pivot", "v", F.coalesce("component", "v").alias("comp")))
     several = (
         placed.where("size > 2").groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
     )
     rest = staged(placed.join(several.select("key"), "key", "left_semi"))
-    few = rest.where(F.col("size") <= FEW)
+    small = rest.where(F.col("size") <= few)
     pairs = (
-        few.alias("x")
-        .join(few.alias("y"), "key")
-        .where("x.rep < y.rep and x.comp <> y.comp and x.rep <> x.pivot")
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        small.alias("x")
+        .join(small.alias("y"), "key")
+        .where("x.v < y.v and x.comp <> y.comp and x.v <> x.pivot")
+        .select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
         .distinct()
     )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    many = rest.where(F.col("size") > FEW).withColumn("blocks", blocks)
-    many = many.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    many = rest.where(F.col("size") > few).withColumn("blocks", blocks)
+    many = many.withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    units = many.join(sketch.withColumnRenamed("id", "rep"), "rep").withColumn("other", other)
+    units = many.join(sketch, "v").withColumn("other", other)
     units = units.select(
         "key",
         F.least("block", "other").alias("c1"),
         F.greatest("block", "other").alias("c2"),
         "block",
-        F.col("rep").alias("id"),
+        F.col("v").alias("id"),
         "comp",
         "n",
         "bits",
     )
     spread = units.groupBy("key", "c1", "c2").applyInArrow(_block_pairs(num, den), "a bigint, b bigint")
     more = verified(pairs, True).unionAll(verified(spread.distinct(), False))
-    final = components(links.unionAll(more))
-    label = vertex.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "finger", "n", F.coalesce("component", "rep").alias("component_id")
-    )
+
+    # Rows that share an id are one vertex: their sets are tied.
+    twice = named.groupBy("id").agg(F.min("finger").alias("lo"), F.max("finger").alias("hi")).where("lo < hi")
+    tied = named.join(staged(twice), "id").where("finger <> lo").select(F.col("lo").alias("a"), F.col("finger").alias("b"))
+    final = components(links.unionAll(more).unionAll(tied.distinct()))
+    placed = staged(vertex.join(final.withColumnRenamed("id", "v"), "v", "left").select("v", "rep", F.coalesce("component", "v").alias("comp")))
+    least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    label = placed.join(least, "comp").select(F.col("v").alias("finger"), "component_id")
     return (
-        sketched.join(label, ["finger", "n"], "left")
+        sketched.join(label, "finger", "left")
         .select(
             F.col("id").alias("doc_id"),
             F.col("n").alias("n_shingles"),
@@ -302,10 +307,17 @@ def jaccard_components(
     )
 
 
+def _finger(s: np.ndarray) -> int:
+    """64-bit fingerprint of a set and its size."""
+    return xxhash.xxh3_64_intdigest(s.tobytes(), len(s)) - (1 << 63)
+
+
 def _sets(k: int):
     def run(batch):
-        out = [shingle_set(x, k).tobytes() for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "s"])
+        found = [shingle_set(x, k) for x in batch.column(0).to_pylist()]
+        found = [s for s in found if len(s)]
+        out = [pa.array([_finger(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())]
+        yield pa.RecordBatch.from_arrays(out, ["v", "s"])
 
     return run
 

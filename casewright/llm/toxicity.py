@@ -38,6 +38,10 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 )
 
 
+# Log odds of every text where no label was given.
+NO_EVIDENCE = -1.0
+
+
 def swap_table(terms: Sequence[Sequence[str]]) -> dict[str, str]:
     return {a: line[(i + 1) % len(line)] for line in terms for i, a in enumerate(line)}
 
@@ -94,6 +98,8 @@ def _learn(docs, labels, id_col, text_col, label_col, held_out, terms, sample, t
     taught = rows.where(~F.col("held_out") & F.col("text").isNotNull()).join(marks, "id")
     design = labelled_slots(taught.select("id", "text", "y"), sample, signs=False, swap=swapper(swap_table(terms)))
     weights, params, trace = fit(design, logistic, [0.0], passes=passes, rate=rate, penalty=penalty, tie=tie)
+    if not trace:
+        params = np.array([NO_EVIDENCE])
     return rows, docs.sparkSession.sparkContext.broadcast((weights, params)), bool(trace)
 
 
@@ -117,17 +123,19 @@ def toxicity_scores(
     Learnt from at most about ``sample`` labelled rows (drawn by hash of the id)
     that ``held_out``, a column over the id, does not mark. Rows with a null
     label, id or text teach nothing; conflicting labels of an id each count.
-    Null and empty texts get the score of no evidence. Without any label all
-    scores are 0.5 and nothing is predicted toxic. Repeated rows give repeated
+    Null and empty texts get the score of no evidence. Without any label every
+    score is that of ``NO_EVIDENCE`` and nothing is predicted toxic. Texts of any
+    length are read whole. Repeated rows give repeated
     results. Other columns are not read.
     """
-    rows, value, learnt = _learn(
+    rows, value, _ = _learn(
         docs, labels, id_col, text_col, label_col, held_out, terms, sample, tie, passes, rate, penalty
     )
     kind = dict(rows.dtypes)["id"]
     scored = map_batches(rows, _scored(value), f"id {kind}, held_out boolean, score double")
-    toxic = (F.col("score") >= 0.5) & F.lit(learnt)
-    return scored.select(F.col("id").alias(id_col), "held_out", "score", toxic.cast("int").alias("predicted"))
+    return scored.select(
+        F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
 
 
 def without_toxic(

@@ -89,12 +89,17 @@ def url_verdicts(
     ).first()
     labels, slashes = (F.lit(int(x)) for x in deep)
 
-    cut = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
-    same = cut.groupBy("id", "host", "path").agg(F.count("*").alias("rows"))
+    # Rows are expanded and joined where they are read; what meets again are one row's candidates.
+    cut = pages.select(
+        F.monotonically_increasing_id().alias("_row"),
+        F.col(id_col).alias("id"),
+        url_host(F.col(url_col)).alias("host"),
+        url_path(F.col(url_col)).alias("path"),
+    )
     if deep[0] == 0:
-        found = same.withColumn("best", F.lit(None).cast("struct<size:int,hosts:int,block:int,rule:string,verdict:string>"))
+        found = cut.withColumn("best", F.lit(None).cast("struct<size:int,hosts:int,block:int,rule:string,verdict:string>"))
     else:
-        each = same.withColumn("suffix", F.explode(_suffixes(F.col("host"), labels)))
+        each = cut.withColumn("suffix", F.explode(_suffixes(F.col("host"), labels)))
         each = each.withColumn("prefix", F.explode(_prefixes(F.col("path"), slashes)))
         each = each.withColumn("url_digest", _digest(F.col("suffix"), F.col("prefix")))
         each = each.withColumn("short", F.substring("url_digest", 1, SHORT))
@@ -111,12 +116,11 @@ def url_verdicts(
             F.concat("rule_host", "rule_path").alias("rule"),
             F.col("rule_verdict").alias("verdict"),
         )
-        found = met.groupBy("id", "host", "path", "rows").agg(F.max(F.when(fits, rule)).alias("best"))
+        found = met.groupBy("_row", "id", "host", "path").agg(F.max(F.when(fits, rule)).alias("best"))
     return found.select(
         F.col("id").alias(id_col),
         "host",
         "path",
         F.col("best.rule").alias("rule"),
         F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"),
-        F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_copy"),
-    ).drop("_copy")
+    )

@@ -84,6 +84,29 @@ def test_many_near_copies_are_compared_in_blocks(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, 3, 90, 100)
 
 
+def test_pairs_of_two_blocks(spark):
+    """Small blocks: near copies of several bodies that share many keys, and lone links between blocks."""
+    draw = random.Random(4)
+    common = [f"c{i}" for i in range(60)]
+    docs = []
+    for i in range(240):
+        body = common + [f"g{i % 6}x{j}" for j in range(12)]
+        for j in draw.sample(range(len(body)), draw.choice((0, 1, 4, 9))):
+            body[j] = f"x{draw.randrange(9999)}"
+        docs.append((i, " ".join(body)))
+    got = jaccard_components(frame(spark, docs), shingle=2, threshold=(80, 100), few=3, block=16).collect()
+    want = brute_components(docs, 2, 80, 100)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert 10 < len({c for _, c in want.values()}) < 230
+
+
+def test_rows_that_share_an_id_are_one_vertex(spark):
+    a, b, c = ([f"{x}{i}" for i in range(40)] for x in "abc")
+    docs = [(1, a), (1, b), (2, [*a, "z"]), (3, [*b, "y"]), (0, [*c, "q"]), (4, c), (4, ["lone"] * 3), (5, [])]
+    got = jaccard_components(frame(spark, [(i, " ".join(w)) for i, w in docs]), shingle=3).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 1), (1, 1), (2, 1), (3, 1), (4, 0), (4, 0), (5, 5)]
+
+
 def test_special_rows_of_the_join(spark):
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (None, "one"), (4, "one"), (6, "a " * 30_000)]
     got = jaccard_components(frame(spark, docs)).collect()
