@@ -136,8 +136,9 @@ def _sketches(k: int, num: int, den: int):
 
 def _explode_keys(batch):
     raw = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-    ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in raw])
-    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(raw)), pa.array(ids)], ["key", "v"])
+    sizes = [len(x) for x in raw]
+    v, rep = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 2))
+    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(raw)), pa.array(v), pa.array(rep)], ["key", "v", "rep"])
 
 
 def _near_by_sketch(num: int, den: int):
@@ -223,12 +224,14 @@ def jaccard_components(
     vertex = staged(named.groupBy(F.col("finger").alias("v")).agg(F.min("id").alias("rep")))
 
     # Keys met by two different sets, then the vertices that hold them.
-    keys = map_batches(named.select("finger", "keys"), _explode_keys, "key bigint, v bigint")
+    keys = map_batches(named.select("finger", "keys", "id"), _explode_keys, "key bigint, v bigint, rep bigint")
     shared = keys.groupBy("key").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo < hi").select("key")
     shared = staged(shared)
-    held = staged(keys.join(maybe_broadcast(shared), "key", "left_semi").distinct())
-    group = held.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
-    group = staged(group)
+    met = keys.join(maybe_broadcast(shared), "key", "left_semi")
+    held = staged(met.groupBy("key", "v").agg(F.min("rep").alias("rep")))
+    # The pivot is the set of the smallest id: the same one for the many keys of a group.
+    group = held.groupBy("key").agg(F.min(F.struct("rep", "v"))["v"].alias("pivot"), F.count("*").alias("size"))
+    group, held = staged(group), held.drop("rep")
     star = held.join(group, "key").where("v <> pivot").select(F.col("pivot").alias("a"), F.col("v").alias("b")).distinct()
     first = vertex.select(F.col("rep").alias("id"), F.col("v").alias("finger"))
     sketch = named.join(first, ["id", "finger"], "left_semi").select(F.col("finger").alias("v"), "n", "bits")
@@ -329,5 +332,12 @@ def first_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """
     found = jaccard_components(docs, **options)
     drop = staged(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_drop")).distinct())
-    kept = docs.join(maybe_broadcast(drop), docs[options.get("id_col", "doc_id")] == F.col("_drop"), "left_anti")
-    return kept.dropDuplicates()
+    name = options.get("id_col", "doc_id")
+    kept = docs.join(maybe_broadcast(drop), docs[name] == F.col("_drop"), "left_anti")
+    # Only ids that occur twice (null among them) can be repeated rows: the others are not shuffled.
+    twice = staged(docs.groupBy(F.col(name).alias("_twice")).count().where("count > 1").select("_twice"))
+    if not twice.limit(1).count():
+        return kept
+    same = kept[name].eqNullSafe(F.col("_twice"))
+    repeated = kept.join(maybe_broadcast(twice), same, "left_semi").dropDuplicates()
+    return kept.join(maybe_broadcast(twice), same, "left_anti").unionByName(repeated)
