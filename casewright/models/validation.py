@@ -389,6 +389,46 @@ def regime_comparison(runs: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def monotone_comparison(
+    df: DataFrame,
+    spec: FeatureSpec,
+    label: str,
+    key: str,
+    directions: Mapping[str, int],
+    *,
+    k: int = 5,
+    seed: int = 42,
+    classes: Sequence[int] = M.CLASSES,
+    cut: int = M.CUT,
+    params: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """``(variant, n_constrained, cv_qwk_mean, cv_qwk_std)`` without and with monotone columns.
+
+    The model is the ordinal decomposition: each chance of a class above k is
+    itself one output, so a direction (1 rises, -1 falls) holds for all of them.
+    Directions of columns that are not numeric features are left out. Both
+    variants use the same folds; the deviation is that of the folds (ddof 0).
+    """
+    folded, columns = with_folds(df, key, label, k=k, repeats=1, seed=seed)
+    held = {c: int(d) for c, d in directions.items() if c in spec.numeric and d}
+    rows = []
+    for variant, bound in (("unconstrained", {}), ("monotone_constrained", held)):
+        oof = out_of_fold(
+            folded, "frank_hall", spec, label, key, columns, k,
+            seed=seed, classes=classes, params={**(params or {}), "monotone": bound},
+        )
+        folds = fold_metrics(staged(oof), classes, cut)
+        rows.append(
+            folds.agg(
+                F.lit(variant).alias("variant"),
+                F.lit(len(bound)).alias("n_constrained"),
+                F.avg("qwk").alias("cv_qwk_mean"),
+                F.stddev_pop("qwk").alias("cv_qwk_std"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 # --- Calibration ------------------------------------------------------------------------------
 
 

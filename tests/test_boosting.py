@@ -197,6 +197,17 @@ def test_monotone_columns_never_fall(toy, rows):
     assert sum((np.array(t.feature) == 0).sum() for r in bound.rounds for t in r) > 0
 
 
+def test_monotone_comparison(toy):
+    table = V.monotone_comparison(
+        toy, SPEC, "y", "k", {"a": 1, "b": -1, "g": 1, "unknown": 1},
+        k=3, classes=(1, 2, 3, 4), cut=3, params={"rounds": 4, "step": 0.3, "patience": None},
+    )
+    got = {r.variant: r for r in table.collect()}
+    assert {v: r.n_constrained for v, r in got.items()} == {"unconstrained": 0, "monotone_constrained": 2}
+    assert all(0.3 < r.cv_qwk_mean < 1 and 0 < r.cv_qwk_std < 0.3 for r in got.values())
+    assert got["unconstrained"].cv_qwk_mean != got["monotone_constrained"].cv_qwk_mean
+
+
 def test_many_levels_and_empty_columns(spark):
     data = [(i, None, f"l{i % 400}" if i % 3 else "often", 1 + (i % 3 == 0) + (i % 2)) for i in range(1200)]
     df = spark.createDataFrame(data, "k bigint, a double, g string, y int")
