@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
+def file_digests(spark: SparkSession, path: str, *, below: bool = False) -> DataFrame:
     """``(name, sha256)`` of every file under a path; one task per file split.
 
+    With ``below`` all folders under ``path`` are read and a name is the path
+    below it, so equal file names in two folders stay apart.
+
     ``binaryFile`` reads a file into one row, so this is for manifests of
     ordinary input files, as delivered, not for single files beyond 2 GB.
     """
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", below).load(path)
+    full = F.url_decode("path")
+    root = re.sub("^[A-Za-z0-9+.-]+:/*", "/", path).rstrip("/") + "/"
+    name = F.substr(full, F.instr(full, root) + len(root)) if below else F.substring_index(full, "/", -1)
     return files.select(
-        F.url_decode(F.substring_index("path", "/", -1)).alias("name"),
+        name.alias("name"),
         F.sha2("content", 256).alias("sha256"),
     )
 

@@ -6,6 +6,29 @@ from pyspark.sql import functions as F
 from casewright.sources import artefacts, digest, reports, tabular
 
 
+def test_equal_names_in_two_folders_stay_apart(spark, tmp_path):
+    import hashlib
+
+    lines = []
+    for folder, text in (("a", "one"), ("b c", "two")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "x.txt").write_text(text)
+        lines.append(f"{hashlib.sha256(text.encode()).hexdigest()}  {folder}/x.txt")
+    (tmp_path / "manifest").write_text("\n".join(lines))
+    manifest = digest.read_manifest(spark, str(tmp_path / "manifest"))
+    for root in (str(tmp_path / "in"), f"file://{tmp_path}/in/"):
+        found = digest.file_digests(spark, root, below=True)
+        assert {r.name for r in found.collect()} == {"a/x.txt", "b c/x.txt"}
+        digest.verify_digests(found, manifest)
+    (tmp_path / "in" / "a" / "x.txt").write_text("two")
+    try:
+        digest.verify_digests(digest.file_digests(spark, root, below=True), manifest)
+    except ValueError as error:
+        assert "a/x.txt" in str(error)
+    else:
+        raise AssertionError("a changed file passed")
+
+
 def test_digest_of_names_with_spaces(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "two words.txt").write_bytes(b"abc")
