@@ -232,6 +232,37 @@ def test_bucketed_ranks_are_the_global_ranks(toy):
     assert ranks[0] == ranks[1]
 
 
+def test_cuts_are_the_ranks_of_a_full_sort(spark, toy):
+    """However many passes: rows read out early, late, or only when all bits are used."""
+    rows = [(r["k"], r["y"]) for r in toy.select("k", "y").collect()]
+    rows += [(None, rows[0][1]), (rows[1][0], rows[1][1]), (rows[1][0], rows[1][1]), (7_000_000, None)]
+    df = spark.createDataFrame(rows, toy.select("k", "y").schema)
+    hashed = df.select("y", "k", splits.order_hash("k", 3).alias("a"), splits.order_hash("k", 4).alias("b")).collect()
+    for read_out in (0, 3, 1_000):
+        sizes, cuts = splits.hash_cuts(df, "k", [3, 4], lambda n: [0, n // 3, n - 1, n], "y", read_out=read_out)
+        for y in {r["y"] for r in hashed} - {None}:
+            for i, name in enumerate("ab"):
+                order = sorted((r[name], r["k"]) for r in hashed if r["y"] == y)
+                n = len(order)
+                assert sizes[y] == n
+                assert cuts[y, i] == [order[0], order[n // 3], order[n - 1], None]
+
+
+def test_splits_move_no_rows(spark, toy):
+    folded = splits.repeated_stratified_folds(toy, "k", "y", k=4, repeats=2)
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and "Window" not in plan and "Aggregate" not in plan
+    for name in ("fold_0", "fold_1"):
+        counts = folded.groupBy("y").pivot(name, [0, 1, 2, 3]).count().na.fill(0).collect()
+        assert all(max(r[1:]) - min(r[1:]) <= 1 for r in counts)
+    none = toy.where("k < 0")
+    assert splits.plain_folds(none, "k").count() == splits.stratified_folds(none, "k", "y").count() == 0
+    twice = splits.plain_folds(toy.unionByName(toy), "k", k=3)
+    assert twice.groupBy("k").agg(F.count_distinct("fold").alias("d")).where("d > 1").count() == 0
+    unlabelled = toy.limit(5).withColumn("y", F.lit(None).cast("int"))
+    assert splits.stratified_folds(unlabelled, "k", "y").where("fold is null").count() == 5
+
+
 def test_repeats_differ(toy):
     folded = splits.repeated_stratified_folds(toy, "k", "y", k=4, repeats=2)
     assert folded.count() == 400
