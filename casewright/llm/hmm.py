@@ -6,12 +6,13 @@ three bytes. A text's probability is that of its class sequence under a hidden
 Markov model, times each word's smoothed share of its class, so it is a proper
 distribution over all texts, unseen words included.
 
-Training is Baum-Welch: each pass computes expected counts in Arrow batches
-where the encoded texts lie, adds them up per block of classes in a shuffle, and
-re-estimates. Texts are trained on in runs of ``RUN`` words. The first passes
-go through the training documents slice by slice (each document once), the last
-takes all of them. Scores use the scaled forward recursion over whole texts, in
-double precision.
+Training is Baum-Welch on whole texts: each pass computes expected counts in
+Arrow batches where the encoded texts lie, adds them up per block of classes in a
+tree of shuffles, and re-estimates. The first passes go through the training
+documents slice by slice (each document once) to give a starting point; then full
+passes over all of them follow until one raises the log10 likelihood per token by
+less than ``TOLERANCE``. Scores use the scaled forward recursion over whole texts.
+All recursions are in double precision.
 
 What is broadcast has a fixed size: the counts of at most ``HEAD`` words and a
 table of classes by states. Counts of rarer words are joined.
@@ -24,6 +25,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,9 @@ OWN = 12_288  # words with a class of their own, at most
 ENDINGS = 4_096
 HEAD = 262_144  # words whose counts are broadcast, at most
 STATES = 8
-RUN = 128
 SLICES = 8
+TOLERANCE = 0.002  # gain of a full pass, log10 per token, below which training ends
+FAN = 256  # partial sums added in one group of the tree
 PRIOR = 20.0  # pseudo-counts of a state, spread like the classes overall
 TOKENS = 1 << 18  # per array of the recursions
 ROWS = 500  # texts that are lists of words at a time
@@ -219,30 +222,46 @@ def _e_step(value):
     """Sums of expected counts over a task's texts, a row for each block of classes."""
 
     def run(batches):
-        start_p, move, emit = (x.astype(np.float32) for x in value.value)
-        k, total = len(start_p), None
+        start_p, move, emit = value.value
+        total = None
         for batch in batches:
-            runs = []
-            for raw in batch.column(0).to_pylist():
-                x = np.frombuffer(raw, np.uint16)
-                runs += [x[i : i + RUN] for i in range(0, len(x), RUN)]
-            for group in _chunks(runs):
-                s, m, e, ll = expected_counts([runs[i] for i in group], start_p, move, emit)
-                small = np.concatenate([s, m.ravel(), [ll, float(sum(len(runs[i]) for i in group))]])
+            texts = [np.frombuffer(raw, np.uint16) for raw in batch.column(0).to_pylist()]
+            for group in _chunks(texts):
+                s, m, e, ll = expected_counts([texts[i] for i in group], start_p, move, emit)
+                small = np.concatenate([s, m.ravel(), [ll, float(sum(len(texts[i]) for i in group))]])
                 total = (small, e) if total is None else (total[0] + small, total[1] + e)
         if total is not None:
             parts = [(-1, total[0])] + [(i, total[1][i : i + PART].ravel()) for i in range(0, len(total[1]), PART)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in parts], pa.int32()), pa.array([x.astype(np.float64).tobytes() for _, x in parts], pa.binary())],
-                ["part", "sums"],
+                [
+                    pa.array([p for p, _ in parts], pa.int32()),
+                    pa.array([TaskContext.get().partitionId()] * len(parts), pa.int32()),
+                    pa.array([x.astype(np.float64).tobytes() for _, x in parts], pa.binary()),
+                ],
+                ["part", "task", "sums"],
             )
 
     return run
 
 
+SUMS = "part int, task int, sums binary"
+
+
 def _add(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.float64) for x in table["sums"].to_pylist()], axis=0)
-    return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+    """One row for the partial sums of one block of classes, added in the order of their tasks."""
+    table = table.sort_by("task")
+    total = sum(np.frombuffer(x.as_py(), np.float64) for x in table["sums"])
+    kept = table.slice(0, 1)
+    return kept.set_column(2, "sums", pa.array([total.tobytes()], pa.binary()))
+
+
+def _tree_sum(partial: DataFrame, tasks: int) -> dict[int, np.ndarray]:
+    """Sums per block of classes; no group adds more than ``FAN`` rows of some 128 KB."""
+    while tasks > 1:
+        tasks = -(-tasks // FAN)
+        level = partial.withColumn("task", F.floor(F.col("task") / FAN).cast("int"))
+        partial = level.groupBy("part", "task").applyInArrow(_add, SUMS)
+    return {r["part"]: np.frombuffer(bytes(r["sums"]), np.float64) for r in partial.collect()}  # fixed size
 
 
 class Model:
@@ -268,22 +287,31 @@ class Model:
         self.emit = emit / emit.sum(0)
 
 
-def _train(spark, texts: DataFrame, model: Model, slices: int) -> list[float]:
-    """Passes over one slice each, then over all; log10 likelihood per token of every pass."""
-    states, trace = len(model.start), []
-    for part in [*range(slices), None]:
-        used = texts if part is None else texts.where(F.col("slice") == part)
-        value = spark.sparkContext.broadcast(model.params())
-        sums = used.select("classes").mapInArrow(_e_step(value), "part int, sums binary")
-        found = sums.groupBy("part").applyInArrow(_add, "part int, sums binary").collect()  # fixed size
-        value.unpersist()
-        if not found:
-            continue
-        got = {r["part"]: np.frombuffer(bytes(r["sums"]), np.float64) for r in found}
-        small = got.pop(-1)
-        emitted = np.concatenate([got[i].reshape(-1, states) for i in sorted(got)])
-        model.update(small[:states], small[states : states + states**2].reshape(states, states), emitted)
-        trace.append(small[-2] / math.log(10) / max(small[-1], 1))
+def _pass(texts: DataFrame, model: Model) -> float | None:
+    """One update; the log10 likelihood per token before it, None without texts."""
+    states = len(model.start)
+    value = texts.sparkSession.sparkContext.broadcast(model.params())
+    partial = texts.select("classes").mapInArrow(_e_step(value), SUMS)
+    got = _tree_sum(partial, partial.rdd.getNumPartitions())
+    value.unpersist()
+    if not got:
+        return None
+    small = got.pop(-1)
+    emitted = np.concatenate([got[i].reshape(-1, states) for i in sorted(got)])
+    model.update(small[:states], small[states : states + states**2].reshape(states, states), emitted)
+    return small[-2] / math.log(10) / max(small[-1], 1)
+
+
+def _train(texts: DataFrame, model: Model, slices: int, tolerance: float) -> list[float]:
+    """A pass over each slice, then full ones to the tolerance; the likelihoods before each full pass."""
+    for part in range(slices) if slices > 1 else ():
+        _pass(texts.where(F.col("slice") == part), model)
+    trace: list[float] = []
+    while len(trace) < 2 or trace[-1] - trace[-2] >= tolerance:
+        reached = _pass(texts, model)
+        if reached is None:
+            break
+        trace.append(reached)
     return trace
 
 
@@ -307,6 +335,7 @@ def hmm_scores(
     held_out=None,
     states: int = STATES,
     slices: int = SLICES,
+    tolerance: float = TOLERANCE,
     seed: int = 42,
 ) -> DataFrame:
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row per row of ``docs``.
@@ -316,6 +345,9 @@ def hmm_scores(
     token. ``base_score`` is the log10 probability under add-one word counts,
     ``score`` under the model. Null and empty texts are the end token alone.
     Repeated rows count as often as they occur. Other columns are not read.
+    Long texts are one sequence each, in training and in scoring: memory grows
+    by some 200 bytes a token of the longest text. Training ends with the first
+    full pass that gains less than ``tolerance`` (log10 per token).
     """
     spark = docs.sparkSession
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
@@ -367,7 +399,7 @@ def hmm_scores(
     prior[voc.first_ending : voc.end] += voc.ending_sums
     prior[voc.end] += ends
     model = Model(prior, states, seed)
-    _train(spark, encoded.where(~F.col("held_out")), model, slices)
+    _train(encoded.where(~F.col("held_out")), model, slices, tolerance)
 
     # Words beyond the head: occurrences per text meet their counts in a join.
     tail = encoded.select("row", F.explode("tail").alias("word"))

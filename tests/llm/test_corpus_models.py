@@ -65,6 +65,23 @@ def test_repeated_passes_raise_the_likelihood(tiny_model):
         params, last = (s / s.sum(), m / m.sum(1, keepdims=True), e / e.sum(0)), ll
 
 
+def test_training_is_baum_welch_on_whole_texts(spark, monkeypatch):
+    """Full passes through Spark equal the plain updates, to the stated gain; sums go through a deep tree."""
+    monkeypatch.setattr(hmm, "FAN", 2)
+    draw = np.random.default_rng(5)
+    texts = [draw.integers(0, 6, n).astype(np.uint16) for n in (1, 700, 3, 40, 41, 300, 2, 5_000)]
+    df = spark.createDataFrame([(x.tobytes(), 0) for x in texts], "classes binary, slice int").repartition(7)
+    model, plain = (hmm.Model(np.ones(6), 3, 42) for _ in range(2))
+    trace = hmm._train(df, model, 1, 1e-4)
+    want, tokens = [], sum(map(len, texts))
+    while len(want) < 2 or want[-1] - want[-2] >= 1e-4:
+        s, m, e, ll = hmm.expected_counts(texts, *plain.params())
+        plain.update(s, m, e)
+        want.append(ll / np.log(10) / tokens)
+    assert len(trace) > 2 and np.allclose(trace, want)
+    assert all(np.allclose(a, b) for a, b in zip(model.params(), plain.params()))
+
+
 def lm_docs(spark):
     draw = random.Random(0)
     tongues = [[f"{a}{i}" for i in range(40)] for a in ("ka", "lo", "mi")]
