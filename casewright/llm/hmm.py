@@ -41,6 +41,7 @@ TOLERANCE = 0.002  # gain of a full pass, log10 per token, below which training
 FAN = 256  # partial sums added in one group of the tree
 PRIOR = 20.0  # pseudo-counts of a state, spread like the classes overall
 TOKENS = 1 << 18  # per array of the recursions
+WIDE = 1 << 19  # the same in training: more texts step together
 ROWS = 500  # texts that are lists of words at a time
 PART = 2_048  # classes a row of partial counts holds
 
@@ -178,31 +179,33 @@ def log_likelihood(sequences, start_p, move, emit) -> np.ndarray:
 
 def expected_counts(sequences, start_p, move, emit):
     """Expected starts, moves and emissions, and the log likelihood (Baum-Welch E step)."""
-    k = len(start_p)
     order, width, start, flat = in_steps(sequences)
-    steps = len(width)
-    gamma, scale = np.empty((len(flat), k), emit.dtype), np.empty(len(flat), emit.dtype)
-    alpha = None
-    for t in range(steps):
-        s = slice(start[t], start[t + 1])
-        alpha = emit[flat[s]] * start_p if alpha is None else (alpha[: width[t]] @ move) * emit[flat[s]]
-        scale[s] = alpha.sum(1)
-        alpha = alpha / scale[s][:, None]
-        gamma[s] = alpha
-    moves = np.zeros((k, k))
-    beta = np.ones((0, k), emit.dtype)
-    for t in range(steps - 1, -1, -1):
-        s = slice(start[t], start[t + 1])
-        full = np.ones((width[t], k), emit.dtype)
-        if t + 1 < steps:
-            n = slice(start[t + 1], start[t + 2])
-            onward = emit[flat[n]] * beta / scale[n][:, None]
-            moves += gamma[s][: width[t + 1]].T @ onward
-            full[: width[t + 1]] = onward @ move.T
-        gamma[s] *= full
-        beta = full
-    emitted = np.stack([np.bincount(flat, gamma[:, j], minlength=len(emit)) for j in range(k)], 1)
-    return gamma[: width[0]].sum(0).astype(float), moves * move, emitted, float(np.log(scale.astype(float)).sum())
+    at, first, k = start.tolist(), width[0], len(start_p)
+    # A row per state, so that the long axis is contiguous.
+    seen = np.take(np.ascontiguousarray(emit.T), flat, axis=1)
+    alpha, beta, scale = np.empty_like(seen), np.ones_like(seen), np.empty(len(flat), emit.dtype)
+    back, onto = np.ascontiguousarray(move), np.ascontiguousarray(move.T)
+    now = alpha[:, :first]
+    np.multiply(seen[:, :first], start_p[:, None], out=now)
+    for a, b in zip(at, at[1:]):
+        if a:
+            last, now = now, alpha[:, a:b]
+            np.matmul(onto, last[:, : b - a], out=now)
+            now *= seen[:, a:b]
+        np.add.reduce(now, 0, out=scale[a:b])
+        now /= scale[a:b]
+    seen /= scale
+    for t in range(len(width) - 1, 0, -1):
+        a, b = at[t], at[t + 1]
+        onward = seen[:, a:b]
+        onward *= beta[:, a:b]
+        np.matmul(back, onward, out=beta[:, at[t - 1] : at[t - 1] + b - a])
+    # The step before: the same sequence in the (wider) step before it.
+    before = np.arange(first, len(flat)) - np.repeat(width[:-1], width[1:])
+    moves = np.take(alpha, before, axis=1) @ seen[:, first:].T
+    alpha *= beta
+    emitted = np.stack([np.bincount(flat, row, minlength=len(emit)) for row in alpha], 1)
+    return alpha[:, :first].sum(1), moves * move, emitted, float(np.log(scale).sum())
 
 
 def _chunks(arrays, limit=TOKENS):
@@ -226,7 +229,7 @@ def _e_step(value):
         total = None
         for batch in batches:
             texts = [np.frombuffer(raw, np.uint16) for raw in batch.column(0).to_pylist()]
-            for group in _chunks(texts):
+            for group in _chunks(texts, WIDE):
                 s, m, e, ll = expected_counts([texts[i] for i in group], start_p, move, emit)
                 small = np.concatenate([s, m.ravel(), [ll, float(sum(len(texts[i]) for i in group))]])
                 total = (small, e) if total is None else (total[0] + small, total[1] + e)
@@ -346,7 +349,7 @@ def hmm_scores(
     ``score`` under the model. Null and empty texts are the end token alone.
     Repeated rows count as often as they occur. Other columns are not read.
     Long texts are one sequence each, in training and in scoring: memory grows
-    by some 200 bytes a token of the longest text. Training ends with the first
+    by some 300 bytes a token of the longest text. Training ends with the first
     full pass that gains less than ``tolerance`` (log10 per token).
     """
     spark = docs.sparkSession
