@@ -23,6 +23,9 @@ MIN_FREQUENCY = 5
 RARE = "infrequent"
 
 
+# Counted levels of all nominal columns that the driver takes; more are refused.
+MAX_LEVELS = 100_000
+
 # Share of the rows on either side of the middle that the median is looked for in.
 BAND = 0.04
 
@@ -112,10 +115,25 @@ def level_counts(
 
 def modes(counts: DataFrame, weight: str = "n") -> DataFrame:
     """Most frequent level per column; the smallest text wins a tie."""
-    best = Window.partitionBy("column").orderBy(F.desc(weight), "level")
     present = counts.where(F.col("level").isNotNull() & (F.col(weight) > 0))
-    ranked = present.withColumn("_r", F.row_number().over(best))  # a row per level
-    return ranked.where(F.col("_r") == 1).select("column", F.col("level").alias("mode"))
+    best = F.min(F.struct((-F.col(weight)).alias("n"), F.col("level").alias("level")))
+    return present.groupBy("column").agg(best["level"].alias("mode"))
+
+
+def bounded_levels(
+    df: DataFrame, columns: Sequence[str], masks: Mapping[str, Column], most: int = MAX_LEVELS
+) -> list:
+    """Level counts on the driver, refused where there are more than ``most``.
+
+    A one-hot design with a column a level does not fit identifiers and free
+    text; at most ``most`` + 1 rows are ever fetched.
+    """
+    if not columns:
+        return []
+    counted = level_counts(df, columns, masks).limit(most + 1).collect()
+    if len(counted) > most:
+        raise ValueError(f"{', '.join(columns)} hold more than {most:,} levels; drop or group them")
+    return counted
 
 
 def _flags(masks: Mapping[str, Column]) -> list[Column]:
@@ -280,9 +298,13 @@ def fit_preprocessors(
     *,
     scaled: bool = True,
     min_frequency: int = MIN_FREQUENCY,
+    max_levels: int = MAX_LEVELS,
     window_rows: int = WINDOW_ROWS,
 ) -> dict[str, Preprocessor]:
-    """Fit one preprocessor per training set, all of them in three shared passes."""
+    """Fit one preprocessor per training set, all of them in three shared passes.
+
+    Nominal columns with more than ``max_levels`` levels together are refused.
+    """
     masks = dict(masks or {"all": F.lit(1)})
     numeric, nominal = list(spec.numeric), list(spec.nominal)
     fill: dict[str, dict[str, float]] = {n: {} for n in masks}
@@ -297,7 +319,7 @@ def fit_preprocessors(
             n, c = row["training_set"], row["column"]
             mean[n][c] = float(row["mean"] or 0.0)
             scale[n][c] = float(row["std"] or 0.0) or 1.0
-    counted = level_counts(df, nominal, masks).collect() if nominal else []
+    counted = bounded_levels(df, nominal, masks, max_levels)
     fitted = {}
     for n in masks:
         # A column without any value in the training set carries no information.

@@ -11,6 +11,7 @@ from casewright.session import staged
 from checks.featuring import SPEC
 from checks.fixture import cleaned, feature_frame, with_clean, with_features
 from checks.metrics import r, rounded
+from checks.profiling import long_sql
 from checks.registry import query
 
 NUMERIC = list(SPEC.numeric)
@@ -53,6 +54,22 @@ def t1b(spark, sf_dir):
     )
 
 
+def _masked_medians_sql() -> str:
+    sets = ", ".join(f"quantile_cont(v, 0.5) FILTER (WHERE k % {K} <> {f}) AS m{f}" for f in range(K))
+    out = ", ".join(r(f"m{f}", f"m{f}") for f in range(K))
+    return f"""{with_clean('')[:-1]}, long AS ({long_sql(_SPREAD, keep='k')}),
+med AS (SELECT col, {sets} FROM long GROUP BY col)
+SELECT col AS "column", {out} FROM med"""
+
+
+@query("t1c_masked_medians", _masked_medians_sql())
+def t1c(spark, sf_dir):
+    """Medians of five training sets, masks by remainder of the key, in one pass."""
+    frame = cleaned(spark, sf_dir).select("k", *_SPREAD)
+    masks = {f"m{f}": F.col("k") % K != f for f in range(K)}
+    return rounded(T.medians(frame, _SPREAD, masks))
+
+
 _MODE_SQL = """cnt AS ({long}),
 best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY col ORDER BY n DESC, v) AS rn FROM cnt)
 SELECT col AS "column", v AS mode FROM best WHERE rn = 1"""

@@ -106,11 +106,32 @@ _MISSING_COUNTS = (
 )
 def p3(spark, sf_dir):
     table = A.missing_vs_target(cleaned(spark, sf_dir), _GAPPY, "severity")
-    # The p-value has no SQL counterpart; the statistic and its degrees of freedom do.
     return rounded(table.select("column", "n", "dof", "chi2"))
 
 
-@query("p3b_missing_vs_target_p")
+def chi_p_sql(chi2: str = "chi2", dof: str = "dof") -> str:
+    """Upper tail of chi-square: one minus the series of the lower incomplete gamma function."""
+    half, a = f"(CAST({chi2} AS DOUBLE) / 2)", f"(CAST({dof} AS DOUBLE) / 2)"
+    series = f"(SELECT SUM(exp(({a} + i) * ln({half}) - {half} - lgamma({a} + i + 1))) FROM range(2000) g(i))"
+    # Beyond 700 the tail is below any digit shown and the series would need more terms.
+    return (
+        f"CASE WHEN {half} <= 0 THEN 1::DOUBLE WHEN {half} > 700 THEN 0::DOUBLE "
+        f"ELSE GREATEST(0::DOUBLE, LEAST(1::DOUBLE, 1 - {series})) END"
+    )
+
+
+def ks_p_sql() -> str:
+    """Asymptotic two-sample tail: the alternating series, from (statistic, n_a, n_b)."""
+    scaled = "(statistic * sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b)))"
+    series = f"(SELECT SUM((CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END) * exp(-2 * j * j * {scaled} * {scaled})) FROM range(1, 101) g(j))"
+    return f"CASE WHEN {scaled} < 0.2 THEN 1::DOUBLE ELSE GREATEST(0::DOUBLE, LEAST(1::DOUBLE, {series})) END"
+
+
+@query(
+    "p3b_missing_vs_target_p",
+    f"{with_clean('')[:-1]},\n{chi2_sql(_MISSING_COUNTS)}\n"
+    f"SELECT col AS \"column\", {r(chi_p_sql(), 'p_value')} FROM chi",
+)
 def p3b(spark, sf_dir):
     table = A.missing_vs_target(cleaned(spark, sf_dir), _GAPPY, "severity")
     return rounded(table.select("column", "p_value"))
@@ -281,6 +302,29 @@ def p15(spark, sf_dir):
     return rounded(table.withColumn("above_5", F.col("vif") > 5))
 
 
+_VIF_PAIR = ("impact_score", "duration_days")
+
+
+def _vif_pair_sql() -> str:
+    a, b = _VIF_PAIR
+    filled = ", ".join(
+        f"COALESCE(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM clean)) AS {n}"
+        for c, n in ((a, "x"), (b, "y"))
+    )
+    vif = r("xx * yy / (xx * yy - xy * xy)", "vif")
+    return f"""{with_clean('')[:-1]}, fil AS (SELECT {filled} FROM clean),
+g AS (SELECT SUM(x * x) AS xx, SUM(x * y) AS xy, SUM(y * y) AS yy FROM fil)
+SELECT '{a}' AS "column", {vif} FROM g UNION ALL SELECT '{b}' AS "column", {vif} FROM g"""
+
+
+@query("p15b_variance_inflation_pair", _vif_pair_sql())
+def p15b(spark, sf_dir):
+    """Two columns, whose inverse SQL can write out."""
+    frame = cleaned(spark, sf_dir)
+    fills = {row["column"]: row["median"] for row in medians(frame, _VIF_PAIR).collect()}
+    return rounded(A.variance_inflation(frame, fills))
+
+
 def _assoc_counts(columns) -> str:
     return (
         "SELECT col, COALESCE(v, '(missing)') AS a, severity AS b, COUNT(*) AS n FROM ("
@@ -368,7 +412,13 @@ def p20(spark, sf_dir):
     return rounded(table.select("column", "n", "dof", "chi2"))
 
 
-@query("p21_shift_table")
+@query(
+    "p21_shift_table",
+    f"""{with_clean('')[:-1]},\n{_KS_SQL},\n{chi2_sql(_SHIFT_COUNTS)},
+both_tests AS (SELECT col, 'KS' AS test, statistic, {ks_p_sql()} AS p FROM ks
+  UNION ALL SELECT col, 'chi2' AS test, chi2 AS statistic, {chi_p_sql()} AS p FROM chi)
+SELECT col AS "column", test, {r('statistic', 'statistic')}, {r('p', 'p_value')}, p < 0.05 AS shifted FROM both_tests""",
+)
 def p21(spark, sf_dir):
     early, late = split_datasets(cleaned(spark, sf_dir))
     table = A.shift_table(

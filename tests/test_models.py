@@ -206,6 +206,19 @@ def test_holdback_rows_do_not_move_fitted_statistics(toy):
     assert alone.mean == pytest.approx(masked.mean) and alone.scale == pytest.approx(masked.scale)
 
 
+def test_too_many_levels_are_refused(toy):
+    most = toy.select("c").distinct().count()
+    assert P.fit_preprocessor(toy, SPEC, max_levels=most).levels["c"]
+    with pytest.raises(ValueError, match="levels"):
+        P.fit_preprocessor(toy, SPEC, max_levels=most - 1)
+
+
+def test_mode_of_tied_levels_is_the_smallest_text(spark):
+    rows = [("b",), ("a",), ("a",), ("b",), ("c",), (None,), (None,), (None,)]
+    counts = P.level_counts(spark.createDataFrame(rows, "x string"), ["x"])
+    assert P.modes(counts).collect() == [("x", "a")]
+
+
 def test_unknown_levels_encode_to_zeros(spark, toy):
     prep = P.fit_preprocessor(toy, SPEC)
     row = spark.createDataFrame([(0.0, 0.0, 0.0, 0.0, 0.0, "new")], ", ".join(f"{n} double" for n in NAMES) + ", c string")
