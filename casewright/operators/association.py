@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,6 +148,138 @@ def spearman(
     )
 
 
+# A value held by this share of a column's rows or more is looked up in the Arrow block; a column
+# has at most 1 / HEAVY_SHARE such values.  All other values are joined.
+HEAVY_SHARE = 1e-3
+# Ranks one block may hold at a time.
+BLOCK_CELLS = 4_000_000
+
+
+def spearman_matrix(
+    df: DataFrame,
+    columns: Sequence[str],
+    *,
+    window_rows: int = WINDOW_ROWS,
+    heavy_share: float = HEAVY_SHARE,
+) -> DataFrame:
+    """Rank correlation of all pairs: ``(a, b, n, spearman)``, ``a`` before ``b`` as listed.
+
+    A pair counts the rows where both are present; NaN is missing.  ``spearman``
+    is null where either column is constant over those rows or there are none.
+
+    Each column is ranked once.  Its running totals carry a weight per null
+    pattern (all rows, and the rows where each nullable column is present), so
+    the rank of a value among the rows of any pair is read off the same table.
+    Rows are not copied per pair: ranks are put beside the row and their
+    cross-products summed in Arrow blocks, one small matrix a task.
+    """
+    columns = list(columns)
+    d = len(columns)
+    spark = df.sparkSession
+    cells = [
+        F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_c{i}")
+        for i, c in enumerate(columns)
+    ]
+    rows = staged(df.select(F.monotonically_increasing_id().alias("_id"), *cells))
+    missing = rows.agg(*[F.count_if(F.col(f"_c{i}").isNull()).alias(f"_c{i}") for i in range(d)]).first()
+    nullable = [i for i in range(d) if missing[i]]
+    pattern = [nullable.index(i) + 1 if i in nullable else 0 for i in range(d)]
+    p = len(nullable) + 1
+
+    def long(of: Sequence[int], *keep: str) -> DataFrame:
+        entries = [F.struct(F.lit(i).alias("column"), F.col(f"_c{i}").alias("value")) for i in of]
+        present = [F.col(f"_c{i}").isNotNull().cast("int").alias(f"_w{q + 1}") for q, i in enumerate(nullable)]
+        exploded = rows.select(*keep, *present, F.explode(F.array(*entries)).alias("e"))
+        return exploded.select(*keep, *[f"_w{q}" for q in range(1, p)], "e.*").where("value is not null")
+
+    weights = {"w0": F.lit(1)} | {f"w{q}": F.col(f"_w{q}") for q in range(1, p)}
+    cum = cumulative(long(range(d)), "value", weights, ["column"], window_rows=window_rows)
+    # Ranks are taken around their mean, so that absent cells count as zero.
+    centred = [F.col(f"w{q}_before") + (F.col(f"w{q}") - F.col(f"w{q}_total")) / F.lit(2.0) for q in range(p)]
+    table = staged(
+        cum.select(
+            "column", "value", (F.col("w0") >= heavy_share * F.col("w0_total")).alias("_heavy"),
+            F.array(*centred).alias("ranks"), F.array(*[F.col(f"w{q}_total") for q in range(p)]).alias("_n"),
+        )
+    )
+    shapes = table.groupBy("column").agg(F.max("_n").alias("n"), F.count_if(~F.col("_heavy")).alias("light"))
+    counts, light_columns = np.zeros((d, p), dtype=np.int64), []
+    for row in shapes.collect():  # a row a column
+        counts[row["column"]] = row["n"]
+        if row["light"]:
+            light_columns.append(row["column"])
+    heavy: list[tuple] = [((), np.zeros((0, p)))] * d
+    found: dict[int, list] = {}
+    for row in table.where("_heavy").collect():  # at most d / heavy_share rows
+        found.setdefault(row["column"], []).append((row["value"], row["ranks"]))
+    for i, entries in found.items():
+        entries.sort()
+        heavy[i] = (np.array([e[0] for e in entries]), np.array([e[1] for e in entries]))
+
+    wide = rows.withColumn("_light", F.lit(None).cast("array<struct<column:int,ranks:array<double>>>"))
+    if light_columns:
+        keys = F.broadcast(table.where("_heavy").select("column", "value"))
+        own = (
+            long(sorted(light_columns), "_id").select("_id", "column", "value")
+            .join(keys, ["column", "value"], "left_anti")
+            .join(table.where(~F.col("_heavy")).select("column", "value", "ranks"), ["column", "value"])
+            .groupBy("_id")
+            .agg(F.collect_list(F.struct("column", "ranks")).alias("_light"))  # at most d entries
+        )
+        wide = rows.join(own, "_id", "left")
+
+    step = max(1, BLOCK_CELLS // (d * p))
+
+    def products(batches):
+        cross, squares = np.zeros((d, d)), np.zeros((d, p))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                ranks = np.zeros((batch.num_rows, d, p))
+                there = np.zeros((batch.num_rows, d), dtype=bool)
+                for i in range(d):
+                    x = batch.column(f"_c{i}").to_numpy(zero_copy_only=False)
+                    there[:, i] = ~np.isnan(x)
+                    values, known = heavy[i]
+                    if len(values):
+                        at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+                        hit = values[at] == x
+                        ranks[hit, i] = known[at[hit]]
+                lists = batch.column("_light")
+                inner = lists.flatten()
+                if len(inner):
+                    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                    flat = inner.field("ranks").flatten().to_numpy(zero_copy_only=False)
+                    ranks[np.repeat(np.arange(len(sizes)), sizes), inner.field("column").to_numpy()] = flat.reshape(-1, p)
+                for q in range(1, p):
+                    ranks[~there[:, nullable[q - 1]], :, q] = 0.0
+                squares += np.einsum("bip,bip->ip", ranks, ranks)
+                for q in range(p):
+                    mine = [i for i in range(d) if pattern[i] == q]
+                    for r in range(q, p):
+                        other = [i for i in range(d) if pattern[i] == r]
+                        if mine and other:
+                            cross[np.ix_(mine, other)] += ranks[:, mine, r].T @ ranks[:, other, q]
+        at = np.arange(d)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(at, d)), pa.array(np.tile(at, d)), pa.array(cross.ravel()),
+             pa.array(squares[:, pattern].ravel())],
+            ["i", "j", "xy", "xx"],
+        )
+
+    parts = wide.drop("_id").mapInArrow(products, "i bigint, j bigint, xy double, xx double")
+    cross, squares = np.zeros((d, d)), np.zeros((d, d))
+    for row in parts.groupBy("i", "j").agg(F.sum("xy").alias("xy"), F.sum("xx").alias("xx")).collect():  # d x d
+        cross[row["i"], row["j"]], squares[row["i"], row["j"]] = row["xy"], row["xx"]
+    result = []
+    for i in range(d):
+        for j in range(i + 1, d):
+            xy = cross[i, j] if pattern[i] <= pattern[j] else cross[j, i]
+            size = float(squares[i, j] * squares[j, i])
+            result.append((columns[i], columns[j], int(counts[i, pattern[j]]), float(xy) / size**0.5 if size > 0 else None))
+    return small_table(spark, result, "a string, b string, n bigint, spearman double")
+
+
 def variance_inflation(df: DataFrame, fills: dict[str, float]) -> DataFrame:
     """VIF of median-filled columns, without an intercept: ``G_ii * inverse(G)_ii``.
 

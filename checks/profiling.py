@@ -276,11 +276,11 @@ _SPEARMAN = [
 ]
 
 
-def _spearman_sql() -> str:
+def _spearman_sql(pairs) -> str:
     parts = " UNION ALL ".join(
         f"SELECT '{a}' AS a, '{b}' AS b, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y "
         f"FROM features WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
-        for a, b in _SPEARMAN
+        for a, b in pairs
     )
     return f"""{with_features('')[:-1]}, pr AS ({parts}),
 rk AS (SELECT a, b, RANK() OVER (PARTITION BY a, b ORDER BY x) + (COUNT(*) OVER (PARTITION BY a, b, x) - 1) / CAST(2 AS DOUBLE) AS rx,
@@ -288,12 +288,25 @@ rk AS (SELECT a, b, RANK() OVER (PARTITION BY a, b ORDER BY x) + (COUNT(*) OVER
 SELECT a, b, COUNT(*) AS n, {r('CORR(rx, ry)', 'spearman')} FROM rk GROUP BY a, b"""
 
 
-@query("p14_spearman", _spearman_sql())
+@query("p14_spearman", _spearman_sql(_SPEARMAN))
 def p14(spark, sf_dir):
     frame, _ = feature_frame(spark, sf_dir)
     return rounded(A.spearman(frame, _SPEARMAN))
 
 
+_MATRIX = ["severity", *NUMERIC_COLUMNS, "priority_level_code", "scale_level_code"]
+
+
+@query(
+    "p14b_spearman_matrix",
+    _spearman_sql([(a, b) for i, a in enumerate(_MATRIX) for b in _MATRIX[i + 1 :]]),
+)
+def p14b(spark, sf_dir):
+    """All pairs of the class, the numeric columns and the ordinal codes, each column ranked once."""
+    frame, _ = feature_frame(spark, sf_dir)
+    return rounded(A.spearman_matrix(frame, _MATRIX))
+
+
 @query("p15_variance_inflation")
 def p15(spark, sf_dir):
     frame = cleaned(spark, sf_dir)

@@ -125,6 +125,33 @@ def test_spearman_and_ks_by_brute_force(spark, frame):
     assert ks["statistic"] == pytest.approx(np.abs(curves[0] - curves[1]).max())
 
 
+@pytest.mark.parametrize("heavy_share", [1e-3, 0.2, 1.1])
+def test_spearman_matrix_by_brute_force(spark, frame, heavy_share):
+    """Pairwise-complete ranks with differing null patterns; hot values looked up, joined, or both."""
+    rng = np.random.default_rng(8)
+    pdf = frame.assign(
+        z=np.where(rng.random(len(frame)) < 0.3, np.nan, frame.v.fillna(0) + rng.normal(0, 5, len(frame))),
+        one=1.0,
+        none=np.nan,
+    )
+    names = ["v", "w", "y", "z", "one", "none"]
+    df = spark.createDataFrame(pdf).withColumns({c: F.nanvl(c, F.lit(None)) for c in ("v", "none")}).repartition(3)
+    got = A.spearman_matrix(df, names, window_rows=SMALL, heavy_share=heavy_share).collect()
+    assert [(r["a"], r["b"]) for r in got] == [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    for r in got:
+        both = pdf[[r["a"], r["b"]]].dropna()
+        assert r["n"] == len(both)
+        if "one" in (r["a"], r["b"]) or "none" in (r["a"], r["b"]):
+            assert r["spearman"] is None
+        else:
+            assert r["spearman"] == pytest.approx(both[r["a"]].rank().corr(both[r["b"]].rank()), abs=1e-9)
+
+
+def test_spearman_matrix_of_an_empty_table(spark, frame):
+    got = A.spearman_matrix(to_spark(spark, frame).where("false"), ["v", "y"]).collect()
+    assert [tuple(r) for r in got] == [("v", "y", 0, None)]
+
+
 def test_variance_inflation_by_brute_force(spark, frame):
     pdf = frame.assign(z=frame.v.fillna(2.0) + frame.y, one=1.0)
     got = A.variance_inflation(to_spark(spark, pdf).repartition(5), {"v": 2.0, "w": 0.0, "y": 0.0, "z": 0.0, "one": 0.0})
