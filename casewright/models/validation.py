@@ -9,7 +9,8 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.ml.regression import IsotonicRegression
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from casewright.functions.probability import (
 )
 from casewright.models import baselines, families
 from casewright.models.families import Scorer, in_parallel, registry_table
+from casewright.models.isotonic import Curve, isotonic_curves
 from casewright.operators import metrics as M
 from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
@@ -435,34 +437,37 @@ def monotone_comparison(
 class CalibratedModel:
     """Mean over folds of per-class isotonic curves, renormalised."""
 
-    def __init__(self, members: Sequence[tuple[Scorer, Sequence[Any]]], classes: Sequence[int]):
+    def __init__(self, members: Sequence[tuple[Scorer, Sequence[Curve]]], classes: Sequence[int]):
         self.members = list(members)
         self.classes = list(classes)
 
     def score(self, df: DataFrame, out: str = "proba") -> DataFrame:
+        """Rows without probabilities, or with a null or NaN among them, get null."""
         n = len(self.classes)
-        wide = df
-        averaged_parts = [F.lit(0.0)] * n
-        made = []
-        for m, (model, curves) in enumerate(self.members):
-            raw = f"_raw{m}"
-            wide = model.score(wide, raw)
-            made.append(raw)
-            fitted = []
-            for i, curve in enumerate(curves):
-                x, name = f"_x{m}_{i}", f"_c{m}_{i}"
-                wide = curve.transform(
-                    wide.withColumn(x, F.get(raw, F.lit(i))),
-                    {curve.featuresCol: x, curve.predictionCol: name},
-                )
-                fitted.append(F.col(name))
-                made += [x, name]
-            total = sum(fitted[1:], fitted[0])
-            for i, value in enumerate(fitted):
+        curves = [list(own) for _, own in self.members]
+
+        @F.pandas_udf("array<double>")
+        def calibrated(raw: pd.Series) -> pd.Series:
+            if not len(raw):
+                return raw
+            stacked = np.stack([np.asarray(v, dtype=float) for v in raw]).reshape(len(raw), len(curves), n)
+            mean = np.zeros((len(raw), n))
+            for m, own in enumerate(curves):
+                value = np.column_stack([curve.at(stacked[:, m, i]) for i, curve in enumerate(own)])
+                total = value.sum(axis=1, keepdims=True)
                 # All-zero curves fall back to equal shares.
-                share = F.when(total > 0, value / total).otherwise(F.lit(1.0 / n))
-                averaged_parts[i] = averaged_parts[i] + share / F.lit(float(len(self.members)))
-        return wide.withColumn(out, F.array(*averaged_parts)).drop(*made)
+                mean += np.where(total > 0, value / np.where(total > 0, total, 1.0), 1.0 / n)
+            rows = list(mean / len(curves))
+            gaps = np.isnan(stacked).any(axis=(1, 2))
+            return pd.Series([None if gap else row for gap, row in zip(gaps, rows)])
+
+        wide, made = df, []
+        for m, (model, _) in enumerate(self.members):
+            made.append(f"_raw{m}")
+            wide = model.score(wide, made[-1])
+        filled = F.transform(F.flatten(F.array(*made)), lambda v: F.coalesce(v, F.lit(float("nan"))))
+        empty = F.array_repeat(F.lit(float("nan")), n * len(made))
+        return wide.withColumn(out, calibrated(F.coalesce(filled, empty))).drop(*made)
 
 
 def fit_calibrated(
@@ -475,27 +480,31 @@ def fit_calibrated(
     k: int = 5,
     seed: int = 42,
 ) -> CalibratedModel:
-    """Fit on k-1 folds, learn one isotonic curve per class on the fold left out."""
-    folded = staged(splits.stratified_folds(df, key, label, k=k, seed=seed, name="_fold"))
+    """Fit on k-1 folds, learn one isotonic curve per class on the fold left out.
 
-    def member(f: int):
-        model = fit(folded.where(F.col("_fold") != f))
-        held = staged(
-            model.score(folded.where(F.col("_fold") == f)).select(
-                F.col(label).cast("int").alias("y"), "proba"
-            )
+    The curves of all folds and classes come from one series of jobs.
+    """
+    folded = staged(splits.stratified_folds(df, key, label, k=k, seed=seed, name="_fold"))
+    models = in_parallel([lambda f=f: fit(folded.where(F.col("_fold") != f)) for f in range(k)])
+    held = [
+        model.score(folded.where(F.col("_fold") == f)).select("_fold", F.col(label).cast("int").alias("y"), "proba")
+        for f, model in enumerate(models)
+    ]
+    cells = [
+        F.struct(
+            F.lit(i).alias("_class"),
+            F.get("proba", F.lit(i)).alias("x"),
+            (F.col("y") == c).cast("double").alias("t"),
         )
-        curves = [
-            IsotonicRegression(featuresCol="x", labelCol="t").fit(
-                held.select(
-                    F.get("proba", F.lit(i)).alias("x"), (F.col("y") == c).cast("double").alias("t")
-                )
-            )
-            for i, c in enumerate(classes)
-        ]
-        return model, curves
-
-    return CalibratedModel(in_parallel([lambda f=f: member(f) for f in range(k)]), classes)
+        for i, c in enumerate(classes)
+    ]
+    long = reduce(DataFrame.unionByName, held).select("_fold", F.explode(F.array(*cells)).alias("c"))
+    curves = isotonic_curves(long.select("_fold", "c.*"), "x", "t", ["_fold", "_class"])
+    nothing = Curve((), ())
+    return CalibratedModel(
+        [(model, [curves.get((f, i), nothing) for i in range(len(classes))]) for f, model in enumerate(models)],
+        classes,
+    )
 
 
 def calibration_summary(variants: Mapping[str, DataFrame], cut: int = M.CUT) -> DataFrame:

@@ -117,6 +117,53 @@ def negligible_features(table: DataFrame, value: str, limit: float = NEGLIGIBLE)
 # --- Attributions -------------------------------------------------------------------------------
 
 
+# Copies of a background row that one block may hold, counted in cells.
+WALK_CELLS = 2_000_000
+
+
+def _walk_orders(seed: int, hashes: np.ndarray, d: int) -> np.ndarray:
+    """A seeded order of ``d`` features per row: the places of ``d`` mixed 64-bit numbers, sorted."""
+    with np.errstate(over="ignore"):
+        z = hashes.astype(np.uint64)[:, None] + np.uint64(seed) + (np.arange(d, dtype=np.uint64) + 1) * np.uint64(
+            0x9E3779B97F4A7C15
+        )
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+    return np.argsort(z, axis=1, kind="stable")
+
+
+def _walk(
+    x: np.ndarray,
+    background: np.ndarray,
+    orders: np.ndarray,
+    expected: Callable[[np.ndarray], np.ndarray],
+    weights: np.ndarray | None,
+) -> np.ndarray:
+    """Gain of each feature when all rows take theirs, one a step, in the order of their row."""
+    n, d = x.shape
+    at = np.arange(n)
+    out = np.empty((n, d))
+    if weights is None:
+        state = np.repeat(background[None, :, :], n, axis=0)
+    else:
+        state = np.repeat((background @ weights)[None, :], n, axis=0)
+        swaps = weights[:, None] * background.T  # what the background has of each feature
+    last = np.full(n, float(np.mean(expected(background if weights is None else background @ weights))))
+    for step in range(d):
+        j = orders[:, step]
+        if weights is None:
+            state[at, :, j] = x[at, j][:, None]
+            value = expected(state.reshape(-1, d))
+        else:
+            state += (weights[j] * x[at, j])[:, None] - swaps[j]
+            value = expected(state.ravel())
+        value = value.reshape(n, -1).mean(axis=1)
+        out[at, j] = value - last
+        last = value
+    return out
+
+
 def severity_attributions(
     df: DataFrame,
     key: str,
@@ -124,51 +171,45 @@ def severity_attributions(
     background: np.ndarray,
     expected: Callable[[np.ndarray], np.ndarray],
     *,
+    weights: np.ndarray | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Permutation attributions of an expected class: ``(key, base, prediction, values)``.
 
     Per row one seeded order of the features is walked forward and backward; each
     step averages the model over the background rows with the features walked so
-    far taken from the row.  ``base + sum(values) = prediction`` holds exactly.
+    far taken from the row.  ``base + sum(values) = prediction`` holds to rounding.
     ``inputs`` is an array column; the background is a small fixed sample.
+
+    All rows of a block step together.  ``expected`` maps a matrix of inputs to
+    expected classes; with ``weights`` it maps the scores ``inputs @ weights``
+    instead, and a step only adds the change of one feature to the score.
     """
-    base = float(np.mean(expected(background)))
     d = background.shape[1]
+    base = float(np.mean(expected(background if weights is None else background @ weights)))
     kind = dict(df.dtypes)[key]
-
-    def walk(x: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """Contribution of each feature when taken in this order."""
-        taken = np.zeros((d + 1, d), dtype=bool)
-        for step, j in enumerate(order):
-            taken[step + 1] = taken[step]
-            taken[step + 1, j] = True
-        mixed = np.where(taken[:, None, :], x, background[None, :, :])
-        value = expected(mixed.reshape(-1, d)).reshape(d + 1, -1).mean(axis=1)
-        out = np.empty(d)
-        out[order] = np.diff(value)
-        return out
+    step = max(1, WALK_CELLS // max(1, len(background) * (d if weights is None else 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-            matrix = np.asarray(flat, dtype=float).reshape(batch.num_rows, d)
-            values = np.empty_like(matrix)
-            for i, h in enumerate(batch.column("h").to_pylist()):
-                order = np.random.default_rng([seed, h & 0x7FFFFFFF]).permutation(d)
-                values[i] = (walk(matrix[i], order) + walk(matrix[i], order[::-1])) / 2
-            offsets = np.arange(0, values.size + 1, d, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(key),
-                    pa.array(np.full(len(values), base)),
-                    pa.array(expected(matrix)),
-                    pa.ListArray.from_arrays(offsets, values.ravel()),
-                ],
-                names=[key, "base", "prediction", "values"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+                matrix = np.asarray(flat, dtype=float).reshape(batch.num_rows, d)
+                orders = _walk_orders(seed, batch.column("h").to_numpy(), d)
+                values = _walk(matrix, background, orders, expected, weights)
+                values += _walk(matrix, background, orders[:, ::-1], expected, weights)
+                values /= 2
+                offsets = np.arange(0, values.size + 1, d, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(key),
+                        pa.array(np.full(len(values), base)),
+                        pa.array(expected(matrix if weights is None else matrix @ weights)),
+                        pa.ListArray.from_arrays(offsets, values.ravel()),
+                    ],
+                    names=[key, "base", "prediction", "values"],
+                )
 
     narrow = df.select(key, F.col(inputs).alias("x"), F.xxhash64(F.lit(seed), key).alias("h"))
     return narrow.mapInArrow(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import __version__
-from casewright.models import baselines, boosting, families, ordered_logit, softmax
+from casewright.models import baselines, boosting, families, isotonic, ordered_logit, softmax
 from casewright.models.validation import CalibratedModel
 from casewright.operators.prep import Preprocessor
 from casewright.session import small_table
@@ -33,6 +33,7 @@ _RECORDS = {
     "FrankHall": families.FrankHall,
     "RegressionCuts": families.RegressionCuts,
     "Stacked": families.Stacked,
+    "Curve": isotonic.Curve,
     "Majority": baselines.Majority,
     "OneFeatureRule": baselines.OneFeatureRule,
 }

@@ -103,10 +103,10 @@ def _attributed(spark, sf_dir):
     beta, cuts = np.array(fitted.model.beta), np.array(fitted.model.cuts)
     values = np.array(CLASSES, dtype=float)
 
-    def expected(matrix: np.ndarray) -> np.ndarray:
-        return O.probabilities(matrix @ beta, cuts) @ values
+    def expected(score: np.ndarray) -> np.ndarray:
+        return O.probabilities(score, cuts) @ values
 
-    return X.severity_attributions(rows, "k", "x", background, expected), fitted
+    return X.severity_attributions(rows, "k", "x", background, expected, weights=beta), fitted
 
 
 @query("x3_severity_attributions", with_clean(holds("clean", "additive", "within_classes")))
