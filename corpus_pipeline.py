@@ -15,7 +15,6 @@ from casewright.llm.toxicity import without_toxic
 from casewright.session import ship_package, staged
 
 
-
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
     ship_package(spark)
@@ -29,15 +28,21 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more stay in the document with the smallest id only."""
+    """Passages of 50 words or more stay in the document with the smallest id only.
+
+    Rows that lose nothing keep their text as it is; ``n_chars`` follows the text.
+    Extra columns are passed on, whatever their names.
+    """
     ship_package(spark)
     others = [c for c in docs.columns if c != "doc_id"]
-    cut = cut_repeats(docs, carry=others)
+    own = {c: f"_own{i}" for i, c in enumerate(others)}
+    cut = cut_repeats(docs, carry=others).toDF("doc_id", *own.values(), "n_words", "n_removed", "kept_text", "repeats")
     changed = F.col("n_removed") > 0
-    cut = cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
-    if "n_chars" in others:
-        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    kept = {c: F.col(name) for c, name in own.items()}
+    kept["text"] = F.when(changed, F.col("kept_text")).otherwise(kept["text"])
+    if "n_chars" in kept:
+        kept["n_chars"] = F.when(changed, F.length("kept_text").cast("bigint")).otherwise(kept["n_chars"])
+    return cut.select(*[kept.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +51,15 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+# Columns that the mix adds; extra columns of these names give way to them.
+MIX_COLUMNS = ("size", "source_size", "target", "taken", "pieces")
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes words of, with how many and which."""
     ship_package(spark)
-    return mix_sources(docs, carry=[c for c in docs.columns if c != "doc_id"]).where("taken > 0")
+    carry = [c for c in docs.columns if c not in ("doc_id", *MIX_COLUMNS)]
+    return mix_sources(docs, carry=carry).where("taken > 0")
 
 
 STAGES = [
