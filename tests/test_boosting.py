@@ -3,6 +3,7 @@ from __future__ import annotations
 import heapq
 import json
 import math
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -238,3 +239,13 @@ def test_halving_records_every_rung(toy):
 def test_erfc_is_exact_to_ten_digits():
     x = np.concatenate([np.linspace(-8, 24, 4001), [0.0, -30.0, 40.0]])
     assert np.allclose(families.erfc(x), [math.erfc(v) for v in x], rtol=1e-10, atol=1e-300)
+
+
+def test_superseded_score_tables_are_deleted(toy, monkeypatch):
+    """Each refresh of the scores wrote another table and kept them all."""
+    kept = []
+    staged = B.staged
+    monkeypatch.setattr(B, "staged", lambda df: kept.append(staged(df)) or kept[-1])
+    fit(toy, replace(PLAIN, rounds=5))
+    alive = [os.path.exists(t._casewright_path) for t in kept]
+    assert len(alive) >= 3 and alive[0] and sum(alive) == 2
