@@ -335,3 +335,32 @@ def test_trials_are_seeded():
     for t in V.draw_trials(space, 50):
         assert all(space[n][0] <= v <= space[n][1] for n, v in t.items())
         assert isinstance(t["depth"], int)
+
+
+def test_gradient_holds_far_from_the_bounds():
+    """With a floored difference of sigmoids the slope was 89 where the loss rose by 86."""
+    rng = np.random.default_rng(0)
+    x, code, w = rng.normal(size=(500, 2)), rng.integers(0, 6, 500), rng.uniform(0.5, 2, 500)
+    at, e = np.array([40.0, 0.0, -2, -1, 0, 1, 2]), np.eye(7)[0] * 1e-5
+    _, g, _ = O.block_sums(at, x, code, w, 5)
+    up, down = (O.block_sums(at + s * e, x, code, w, 5)[0] for s in (1, -1))
+    assert g[0] == pytest.approx((up - down) / 2e-5, rel=1e-6)
+
+
+def test_one_basis_serves_all_training_sets():
+    rng = np.random.default_rng(2)
+    numbers = np.where(rng.random((60, 2)) < 0.2, np.nan, rng.normal(size=(60, 2)))
+    levels = rng.integers(-1, 3, (60, 1)).astype(float)
+    layout = O.Layout(("p", "q"), ("c",), (["a", "b", "z"],), 0)
+    preps = [
+        P.Preprocessor(
+            ("p", "q"), ("c",), {"p": 0.1 * i, "q": 0.5}, {"p": 0.3, "q": 0.2 * i}, {"p": 2.0, "q": 1.0 + i},
+            {"c": "ab"[i]}, {"c": ("a", "b")[: 2 - i]}, {"c": ("z",) if not i else ("b", "z")},
+        )
+        for i in range(2)
+    ]
+    basis = O.Basis.of(layout, preps)
+    for prep in [*preps, preps[1].part(FeatureSpec(("q",), ("c",)))]:
+        wide = [layout.numeric.index(c) for c in prep.numeric]
+        plain = prep.matrix(numbers[:, wide], levels, list(layout.books))
+        assert np.allclose(basis.block(numbers, levels) @ basis.map(prep), plain, atol=1e-12)
