@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 
 from casewright.functions.probability import argmax_class
 from casewright.models.ordered_logit import fit_ordered_logit
-from casewright.operators import splits
 from casewright.operators.features import FeatureSpec
-from casewright.operators.metrics import CLASSES, join_groups, qwk
+from casewright.operators.metrics import CLASSES, join_groups, kappa_from_sums, qwk
 from casewright.operators.profile import class_ranges
 from casewright.operators.ranking import exact_quantiles, quantile_bins
-from casewright.session import small_table, staged
+from casewright.session import ensure_staged, small_table, staged
 
 # Fixed value: importance below this is negligible.
 NEGLIGIBLE = 0.001
@@ -29,6 +28,10 @@ NEGLIGIBLE = 0.001
 # --- Permutation importance -------------------------------------------------------------------
 
 
+# Rows of a block within which values are shuffled, on average.
+SHUFFLE_ROWS = 25_000
+
+
 def permutation_importance(
     df: DataFrame,
     model: Any,
@@ -39,63 +42,50 @@ def permutation_importance(
     repeats: int = 10,
     seed: int = 42,
     classes: Sequence[int] = CLASSES,
+    block_rows: int = SHUFFLE_ROWS,
 ) -> DataFrame:
-    """Drop in kappa when one feature's values are shuffled among the rows.
-
-    A shuffle is an equi-join of two seeded hash ranks: row number i takes its
-    values from the row with donor rank i.  One join per repeat serves all
-    features.  A model whose score is a sum of one term a column (``terms``) is
-    scored by the change of one term: a pair of rows gives one number a feature.
-    For any other model each copy of a row swaps in one feature from its donor.
+    """Drop in kappa when one feature's values are shuffled among the labelled rows.
+
+    Rows are dealt by a seeded hash to blocks of about ``block_rows``, so every
+    block is a random draw of all rows, and values are shuffled within blocks; up
+    to that size there is one block. All repeats and features share that one
+    exchange. A model whose score is a sum of one term a column (``terms``) only
+    exchanges its terms and a block returns sums; for any other model each copy of
+    a row swaps in one feature from its donor.
     """
-    additive = hasattr(model, "terms")
-    if additive:
-        constant, terms = model.terms()
-        parted = F.array(*[terms.get(c, F.lit(0.0)) for c in features]).alias("_terms")
-        rows = staged(df.select(key, label, parted, model.eta().alias("_eta")))
-        held = ["_terms"]
-    else:
-        rows = staged(df.select(key, label, *features))
-        held = list(features)
-    n = rows.count()
-    buckets = splits._bucket_count(n)
-    place = staged(splits.hash_rank(rows, key, seed, buckets=buckets).drop("_size"))
-
-    def kappa() -> Column:
-        return qwk(F.col(label), argmax_class(F.col("proba"), classes))
-
-    def with_one_term_changed(paired: DataFrame) -> DataFrame:
-        moved = F.transform(F.arrays_zip("_donor__terms", "_terms"), lambda t: t["_donor__terms"] - t["_terms"])
-        names = F.array(*[F.lit(c) for c in features])
-        long = paired.select(label, "_eta", F.posexplode(moved).alias("_at", "_change"))
-        return long.select(
-            F.get(names, F.col("_at")).alias("feature"), label, model.model.proba(F.col("_eta") + F.col("_change")).alias("proba")
-        )
-
-    def with_one_column_swapped(paired: DataFrame) -> DataFrame:
-        copies = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
-        cells = [
-            F.when(F.col("feature") == c, F.col(f"_donor_{c}")).otherwise(F.col(c)).alias(c) for c in features
-        ]
-        return model.score(copies.select("feature", label, *cells))
-
-    base = rows.withColumn("proba", model.model.proba(F.col("_eta"))) if additive else model.score(rows)
-    base_value = base.agg(kappa()).first()[0]
-    parts = []
-    for r in range(repeats):
-        donors = splits.hash_rank(rows, key, seed + 1 + r, buckets=buckets).select(
-            "_rank", *[F.col(c).alias(f"_donor_{c}") for c in held]
+    rows = ensure_staged(df).where(F.col(label).isNotNull())
+    blocks = max(1, -(-rows.count() // block_rows))
+    dealt = rows.withColumn("_h", F.xxhash64(F.lit(seed), key)).withColumn("_block", F.pmod("_h", F.lit(blocks)))
+    names, y = list(features), F.col(label).cast("bigint").alias("_y")
+
+    def together(*columns: Column) -> DataFrame:
+        narrow = dealt.select("_block", "_h", y, *columns)
+        return narrow.repartition(blocks, "_block").sortWithinPartitions("_block", "_h")
+
+    if hasattr(model, "terms"):
+        terms = model.terms()[1]
+        used = [c for c in names if c in terms]
+        parted = F.array(*[terms[c] for c in used]).cast("array<double>").alias("_terms")
+        run = _term_sums([names.index(c) for c in used], len(names), repeats, seed, model.model.bounds(), classes)
+        sums = together(parted, model.eta().alias("_eta")).mapInArrow(
+            run, "at int, repeat int, " + ", ".join(f"{c} bigint" for c in _SUMS)
         )
-        paired = place.join(donors, "_rank")
-        scored = with_one_term_changed(paired) if additive else with_one_column_swapped(paired)
-        parts.append(
-            scored.groupBy("feature")
-            .agg(kappa().alias("shuffled"))
-            .withColumn("repeat", F.lit(r))
-        )
-    drops = reduce(DataFrame.unionByName, parts).withColumn(
-        "drop", F.lit(float(base_value)) - F.col("shuffled")
-    )
+        feature = F.get(F.array(*[F.lit(c) for c in names]), F.col("at")).alias("feature")
+        kappas = sums.groupBy(feature, "repeat").agg(kappa_from_sums(*[F.sum(c) for c in _SUMS]).alias("kappa"))
+    else:
+        own = [F.col(c).alias(f"_own{i}") for i, c in enumerate(names)]
+        narrow = together(*own)
+        kinds = [(f.name, f.dataType.simpleString()) for f in narrow.schema.fields[3:]]
+        kinds += [(f"_donor{i}", kind) for i, (_, kind) in enumerate(kinds)]
+        pairs = narrow.mapInArrow(_pairs(len(names), repeats, seed), ", ".join(f"{n} {k}" for n, k in [("_y", "bigint"), ("repeat", "int"), *kinds]))
+        swapped = F.when(F.col("repeat") < 0, F.array(F.lit(None).cast("string"))).otherwise(F.array(*[F.lit(c) for c in names]))
+        copies = pairs.withColumn("feature", F.explode(swapped))
+        cells = [F.when(F.col("feature") == c, F.col(f"_donor{i}")).otherwise(F.col(f"_own{i}")).alias(c) for i, c in enumerate(names)]
+        scored = model.score(copies.select("feature", "repeat", "_y", *cells))
+        kappas = scored.groupBy("feature", "repeat").agg(qwk(F.col("_y"), argmax_class(F.col("proba"), classes)).alias("kappa"))
+    # One row a feature and repeat, and the row of the unshuffled table.
+    base = F.max(F.when(F.col("repeat") < 0, F.col("kappa"))).over(Window.partitionBy(F.lit(0)))
+    drops = kappas.withColumn("drop", base - F.col("kappa")).where("repeat >= 0")
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("importance_mean"), "feature")
     return (
         drops.groupBy("feature")
@@ -107,6 +97,95 @@ def permutation_importance(
     )
 
 
+_SUMS = ("n", "s_y", "s_p", "s_yy", "s_pp", "s_d2")
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one block at a time, from batches that are sorted by ``_block``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        at = batch.column("_block").to_numpy()
+        ends = [0, *(np.flatnonzero(np.diff(at)) + 1), len(at)] if len(at) else []
+        for start, end in zip(ends, ends[1:]):
+            if held and held[-1].column("_block")[0].as_py() != at[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _donors(block: pa.Table, seed: int, repeat: int) -> np.ndarray:
+    """A seeded shuffle of the places of a block's rows."""
+    return np.random.default_rng([seed, repeat, block.column("_block")[0].as_py()]).permutation(block.num_rows)
+
+
+def _term_sums(
+    places: Sequence[int], n_features: int, repeats: int, seed: int, bounds: np.ndarray, classes: Sequence[int]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums for kappa of the unshuffled rows (``repeat`` -1) and of every feature and repeat.
+
+    ``places[j]`` is the feature of term j; a feature without a term changes nothing.
+    """
+    values = np.array(classes, dtype=np.int64)
+    free = np.setdiff1d(np.arange(n_features), places)
+
+    def sums(levels: np.ndarray, y: np.ndarray, eta: np.ndarray) -> np.ndarray:
+        place = np.zeros(len(eta), dtype=np.int64)
+        for bound in bounds:
+            place += eta >= bound
+        size = len(values)
+        n = np.bincount(y * size + place, minlength=len(levels) * size).reshape(-1, size)
+        a, p = levels[:, None], values[None, :]
+        return np.array([(n * v).sum() for v in (1, a, p, a * a, p * p, (a - p) ** 2)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((repeats, n_features, len(_SUMS)), dtype=np.int64)
+        base = np.zeros(len(_SUMS), dtype=np.int64)
+        for block in _whole_blocks(batches):
+            levels, y = np.unique(block.column("_y").to_numpy(), return_inverse=True)
+            eta = block.column("_eta").to_numpy()
+            flat = block.column("_terms").combine_chunks().flatten().to_numpy()
+            terms = np.ascontiguousarray(flat.reshape(len(eta), len(places)).T)
+            same = sums(levels, y, eta)
+            base += same
+            for r in range(repeats):
+                donors = _donors(block, seed, r)
+                total[r, free] += same
+                for j, term in zip(places, terms):
+                    total[r, j] += sums(levels, y, eta + (term[donors] - term))
+        if base[0]:
+            rows = np.vstack([base, total.reshape(-1, len(_SUMS))])
+            at, repeat = np.tile(np.arange(n_features), repeats), np.repeat(np.arange(repeats), n_features)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(-1, at), pa.int32()), pa.array(np.append(-1, repeat), pa.int32())]
+                + [pa.array(np.ascontiguousarray(c)) for c in rows.T],
+                names=["at", "repeat", *_SUMS],
+            )
+
+    return run
+
+
+def _pairs(
+    n_features: int, repeats: int, seed: int, step: int = 2_000
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Every row once as it is (``repeat`` -1) and beside its donor of each repeat."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _whole_blocks(batches):
+            own = block.select(["_y", *[f"_own{i}" for i in range(n_features)]]).combine_chunks()
+            for r in range(-1, repeats):
+                donors = _donors(block, seed, r) if r >= 0 else np.arange(own.num_rows)
+                for start in range(0, own.num_rows, step):
+                    at = pa.array(donors[start : start + step])
+                    mine, other = own.slice(start, step), own.take(at)
+                    columns = [mine.column(0), pa.array(np.full(len(at), r), pa.int32()), *mine.columns[1:], *other.columns[1:]]
+                    names = ["_y", "repeat", *mine.column_names[1:], *[f"_donor{i}" for i in range(n_features)]]
+                    yield from pa.table(columns, names=names).combine_chunks().to_batches()
+
+    return run
+
+
 def negligible_features(table: DataFrame, value: str, limit: float = NEGLIGIBLE) -> DataFrame:
     return table.agg(
         F.count_if(F.col(value) < F.lit(limit)).alias("n_negligible"),

@@ -364,3 +364,41 @@ def test_one_basis_serves_all_training_sets():
         wide = [layout.numeric.index(c) for c in prep.numeric]
         plain = prep.matrix(numbers[:, wide], levels, list(layout.books))
         assert np.allclose(basis.block(numbers, levels) @ basis.map(prep), plain, atol=1e-12)
+
+
+def test_importance_deals_rows_once_however_many_repeats(toy):
+    model = O.fit_ordered_logit(toy, SPEC, "y", classes=CLASSES)
+
+    def exchanges(repeats):
+        table = X.permutation_importance(toy, model, NAMES, "y", "k", repeats=repeats, block_rows=50)
+        return table._jdf.queryExecution().optimizedPlan().toString().count("Repartition")
+
+    assert exchanges(2) == exchanges(9) == 1
+
+
+def test_importance_in_blocks_is_that_of_a_plain_shuffle(toy):
+    model = O.fit_ordered_logit(toy, SPEC, "y", classes=CLASSES)
+    for rows in (toy, toy.withColumn("y", F.when(F.col("k") % 5 != 0, F.col("y")))):
+        whole, parted = (
+            {r.feature: r for r in X.permutation_importance(rows, model, [*NAMES, "c"], "y", "k", block_rows=b).collect()}
+            for b in (10_000, 50)
+        )
+        assert set(parted) == {*NAMES, "c"}
+        frame = model.score(rows.where("y is not null")).toPandas()
+        y = frame["y"].to_numpy().astype(int)
+        rng = np.random.default_rng(7)
+
+        def kappa(proba):
+            p = np.argmax(proba, axis=1) + 1
+            return 1 - ((y - p) ** 2).sum() / ((y * y).sum() + (p * p).sum() - 2 * y.sum() * p.sum() / len(y))
+
+        eta = model.score(rows.where("y is not null"), latent="e").toPandas()["e"].to_numpy()
+        assert np.array_equal(np.searchsorted(model.model.bounds(), eta, side="right"), np.argmax(np.stack(frame["proba"]), axis=1))
+        x0 = frame["x0"].fillna(model.prep.fill["x0"]).to_numpy()
+        slope = model.model.beta[0] / model.prep.scale["x0"]
+        base = kappa(np.stack(frame["proba"]))
+        plain = [base - kappa(O.probabilities(eta + slope * (rng.permutation(x0) - x0), np.array(model.model.cuts))) for _ in range(200)]
+        spread = np.std(plain) / np.sqrt(10)
+        for table in (whole, parted):
+            assert abs(table["x0"].importance_mean - np.mean(plain)) < 5 * spread
+            assert 0 < table["x0"].importance_std < 3 * np.std(plain)
