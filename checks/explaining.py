@@ -104,7 +104,7 @@ def _attributed(spark, sf_dir):
     values = np.array(CLASSES, dtype=float)
 
     def expected(score: np.ndarray) -> np.ndarray:
-        return O.probabilities(score, cuts) @ values
+        return O.expected_classes(score, cuts, values)
 
     return X.severity_attributions(rows, "k", "x", background, expected, weights=beta), fitted
 

@@ -151,3 +151,13 @@ def test_walk_orders_are_spread():
     first = np.bincount(orders[:, 0], minlength=4) / len(orders)
     assert np.allclose(first, 0.25, atol=0.03)
     assert len({tuple(o) for o in orders.tolist()}) == 24
+
+
+def test_expected_class_is_that_of_the_probabilities():
+    from casewright.models import ordered_logit as O
+
+    score = np.concatenate([np.linspace(-45, 45, 2001), [-1e6, 1e6]])
+    for cuts, values in (([-2.0, -1.0, 0.5, 2.0, 30.0], [1, 2, 3, 4, 5, 6]), ([0.3], [2.0, 7.5])):
+        got = O.expected_classes(score, np.array(cuts), np.array(values, float))
+        want = O.probabilities(score, np.array(cuts)) @ np.array(values, float)
+        assert np.allclose(got, want, atol=1e-9) and got.min() >= values[0] and got.max() <= values[-1]
