@@ -105,3 +105,16 @@ def test_row_functions(spark):
         cells.null_skipping_sum(a, b), cells.log1p_floor(c), cells.safe_ratio(a, d)
     ).collect()
     assert [tuple(r) for r in out] == [(1.0, 0.0, None), (None, None, None), (5.0, 0.0, 0.5)]
+
+
+def test_allowed_cells_are_not_stripped_first(spark):
+    from casewright.contracts import nominal
+
+    contract = nominal("c", "a", "b c", " odd")
+    given = ["a", " a\t", "b c", " b c", " odd", "odd", "x", "", None, "A"]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(given)], "i int, c string")
+    text = cells.stripped(F.col("c"))
+    plain = F.when(text.isin(*contract.allowed), text)
+    got = rows.select("i", Q.quarantined_category(contract).alias("got"), plain.alias("want")).orderBy("i").collect()
+    assert [r.got for r in got] == [r.want for r in got] == ["a", "a", "b c", "b c", None, None, None, None, None, None]
+    assert str(Q.quarantined_category(contract)).index("IN") < str(Q.quarantined_category(contract)).index("btrim")
