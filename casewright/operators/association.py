@@ -153,6 +153,8 @@ def spearman(
 HEAVY_SHARE = 1e-3
 # Ranks one block may hold at a time.
 BLOCK_CELLS = 4_000_000
+# Joined ranks a task puts beside their rows.
+TASK_CELLS = 500_000
 
 
 def spearman_matrix(
@@ -161,6 +163,7 @@ def spearman_matrix(
     *,
     window_rows: int = WINDOW_ROWS,
     heavy_share: float = HEAVY_SHARE,
+    task_cells: int = TASK_CELLS,
 ) -> DataFrame:
     """Rank correlation of all pairs: ``(a, b, n, spearman)``, ``a`` before ``b`` as listed.
 
@@ -216,17 +219,24 @@ def spearman_matrix(
         entries.sort()
         heavy[i] = (np.array([e[0] for e in entries]), np.array([e[1] for e in entries]))
 
+    # Ranks are put beside their rows in tasks of bounded size, however many rows there are.
+    tasks = -(-int(sum(counts[i, 0] for i in light_columns)) // task_cells)
+
+    def by_row(part: DataFrame) -> DataFrame:
+        few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return part if few else part.repartition(tasks, "_id")
+
     wide = rows.withColumn("_light", F.lit(None).cast("array<struct<column:int,ranks:array<double>>>"))
     if light_columns:
         keys = F.broadcast(table.where("_heavy").select("column", "value"))
-        own = (
+        joined = (
             long(sorted(light_columns), "_id").select("_id", "column", "value")
             .join(keys, ["column", "value"], "left_anti")
             .join(table.where(~F.col("_heavy")).select("column", "value", "ranks"), ["column", "value"])
-            .groupBy("_id")
-            .agg(F.collect_list(F.struct("column", "ranks")).alias("_light"))  # at most d entries
         )
-        wide = rows.join(own, "_id", "left")
+        entries = F.collect_list(F.struct("column", "ranks")).alias("_light")  # at most d entries
+        own = by_row(joined).groupBy("_id").agg(entries)
+        wide = by_row(rows).join(own, "_id", "left")
 
     step = max(1, BLOCK_CELLS // (d * p))
 

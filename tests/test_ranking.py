@@ -188,3 +188,16 @@ def test_tails():
     for dof, point in ((1, 3.841459), (2, 5.991465), (5, 11.070498), (10, 18.307038)):
         assert chi_square_tail(point, dof) == pytest.approx(0.05, abs=1e-6)
     assert kolmogorov_tail(1.358 / np.sqrt(500), 1000, 1000) == pytest.approx(0.05, abs=5e-4)
+
+
+def test_spearman_matrix_deals_rows_to_tasks_of_bounded_size(spark, frame, monkeypatch):
+    df = to_spark(spark, frame)
+    dealt, plain = [], type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, *a: dealt.append(a) or plain(self, *a))
+    whole = A.spearman_matrix(df, ["v", "y"], heavy_share=1.0).collect()
+    assert dealt == []
+    parted = A.spearman_matrix(df, ["v", "y"], heavy_share=1.0, task_cells=50).collect()
+    cells = frame[["v", "y"]].count().sum()
+    assert dealt == [(-(-int(cells) // 50), "_id")] * 2
+    assert [tuple(r)[:3] for r in parted] == [tuple(r)[:3] for r in whole]
+    assert [r["spearman"] for r in parted] == pytest.approx([r["spearman"] for r in whole], abs=1e-12)
