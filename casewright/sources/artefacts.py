@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import base64
 import json
 from dataclasses import dataclass, fields
 from typing import Any
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import __version__
-from casewright.models import baselines, boosting, families, isotonic, ordered_logit, softmax
+from casewright.models import baselines, boosting, families, forest, isotonic, ordered_logit, softmax
 from casewright.models.validation import CalibratedModel
 from casewright.operators.prep import Preprocessor
 from casewright.session import small_table
@@ -25,6 +27,7 @@ _RECORDS = {
     "OrderedLogit": ordered_logit.OrderedLogit,
     "Preprocessor": Preprocessor,
     "Multinomial": families.Multinomial,
+    "Forest": forest.Forest,
     "Boosted": boosting.Boosted,
     "Bins": boosting.Bins,
     "Softmax": softmax.Softmax,
@@ -70,6 +73,8 @@ def _pack(value: Any, fitted: list[Any]) -> Any:
     for name, kind in _RECORDS.items():
         if type(value) is kind:
             return {"record": name, "fields": {f.name: _pack(getattr(value, f.name), fitted) for f in fields(value)}}
+    if isinstance(value, np.ndarray):
+        return {"array": base64.b64encode(value.tobytes()).decode(), "kind": value.dtype.str, "shape": list(value.shape)}
     if isinstance(value, dict):
         return {"map": [[k, _pack(v, fitted)] for k, v in value.items()]}
     if isinstance(value, (list, tuple)):
@@ -86,6 +91,9 @@ def _unpack(content: Any, folder: str) -> Any:
         return content
     if "fitted" in content:
         return _FITTED[content["fitted"]].load(f"{folder}/{content['folder']}")
+    if "array" in content:
+        flat = np.frombuffer(base64.b64decode(content["array"]), content["kind"])
+        return flat.reshape(content["shape"])
     if "calibrated" in content:
         return CalibratedModel(*_unpack(content["calibrated"], folder))
     if "map" in content:
