@@ -249,3 +249,27 @@ def test_superseded_score_tables_are_deleted(toy, monkeypatch):
     fit(toy, replace(PLAIN, rounds=5))
     alive = [os.path.exists(t._casewright_path) for t in kept]
     assert len(alive) >= 3 and alive[0] and sum(alive) == 2
+
+
+def test_sums_reach_the_driver_once_a_model_where_they_are_large(spark, toy, monkeypatch):
+    sent = []
+    real = B.tree_sum
+
+    def counting(parts, **options):
+        rows = parts.collect()
+        sent.append((len(rows), len({r["model"] for r in rows})))
+        return real(spark.createDataFrame(rows, parts.schema), **options)
+
+    def grown() -> list:
+        models, _ = B.fit_boosted(
+            toy, SPEC, "y", "k", [families.softmax_problem((1, 2, 3, 4))], [PLAIN], classes=(1, 2, 3, 4)
+        )
+        return models[0][0].rounds
+
+    monkeypatch.setattr(B, "tree_sum", counting)
+    direct = grown()
+    assert max(rows for rows, _ in sent) > 1
+    sent.clear()
+    monkeypatch.setattr(B, "DIRECT_BYTES", 0)
+    assert grown() == direct
+    assert all(rows == models for rows, models in sent)
