@@ -402,3 +402,58 @@ def test_importance_in_blocks_is_that_of_a_plain_shuffle(toy):
         for table in (whole, parted):
             assert abs(table["x0"].importance_mean - np.mean(plain)) < 5 * spread
             assert 0 < table["x0"].importance_std < 3 * np.std(plain)
+
+
+def test_slopes_alone_equal_the_gradient():
+    rng = np.random.default_rng(5)
+    x, code = rng.normal(size=(300, 4)), rng.integers(0, 6, 300)
+    w = rng.uniform(0.0, 2, 300)
+    for scale in (0.3, 60.0):
+        at = np.concatenate([rng.normal(size=4) * scale, [-2.0, -1, 0, 1, 2]])
+        _, gradient, _ = O.block_sums(at, x, code, w, 5)
+        rows, cuts = O.block_slopes(at[4:], x @ at[:4], code, w)
+        assert np.allclose(np.concatenate([x.T @ rows, cuts]), gradient, rtol=1e-10, atol=1e-10)
+
+
+def test_folds_sum_gradients_only(toy, monkeypatch):
+    """Every fold ends at the optimum of its rows, and no fold asks for Hessians while its gradient halves."""
+    seen, newton = [], O._pass
+    monkeypatch.setattr(O, "_pass", lambda design, tasks, *rest: (seen.append(len(tasks)), newton(design, tasks, *rest))[1])
+    rows = toy.select(*[c for c in toy.columns], F.explode(F.sequence(F.lit(0), F.lit(19))).alias("copy"))
+    rows = rows.withColumn("k", F.col("k") * 20 + F.col("copy")).drop("copy")
+    folded, columns = V.with_folds(rows, "k", "y", k=3, repeats=2)
+    _, models = O.cross_fit(folded, SPEC, "y", "k", columns, 3, classes=CLASSES)
+    assert all(m.gradient_norm <= 1e-9 for m in models) and max(seen) == 1
+    monkeypatch.setattr(O, "_lent", lambda *_: None)
+    _, plain = O.cross_fit(folded, SPEC, "y", "k", columns, 3, classes=CLASSES)
+    assert max(seen) == 6
+    for a, b in zip(models, plain):
+        assert np.allclose(a.beta + a.cuts, b.beta + b.cuts, atol=1e-6)
+
+
+def test_packed_rows_are_the_arrays(toy):
+    wide, packed = (O.build_design(toy, SPEC, "y", CLASSES, key="k", packed=p) for p in (False, True))
+    kinds = dict(packed.table.dtypes)
+    assert kinds["numbers"] == kinds["levels"] == "binary"
+
+    def matrices(design):
+        found = {}
+        for batch in design.table.toArrow().to_batches():
+            code, _, numbers, levels = O._blocks(batch, design.layout)
+            for i, row in enumerate(zip(code, numbers, levels)):
+                found[batch.column("id")[i].as_py()] = np.concatenate([[row[0]], row[1], row[2]])
+        return np.array([found[k] for k in sorted(found)])
+
+    assert np.array_equal(matrices(wide), matrices(packed), equal_nan=True)
+
+
+def test_logistic_writes_its_rows_once(toy, monkeypatch):
+    """A fit of a staged table stages its coded rows and no second copy of the table."""
+    from casewright import session
+
+    rows, seen = session.staged(toy), []
+    for module in (session, O):
+        plain = module.staged
+        monkeypatch.setattr(module, "staged", lambda df, plain=plain: (seen.append(df.columns), plain(df))[1])
+    S.fit_softmax(rows, SPEC, "y", CLASSES, max_iter=2)
+    assert [c for c in seen if "numbers" in c] == seen
