@@ -457,3 +457,20 @@ def test_logistic_writes_its_rows_once(toy, monkeypatch):
         monkeypatch.setattr(module, "staged", lambda df, plain=plain: (seen.append(df.columns), plain(df))[1])
     S.fit_softmax(rows, SPEC, "y", CLASSES, max_iter=2)
     assert [c for c in seen if "numbers" in c] == seen
+
+
+def test_parts_of_a_large_table_grow(toy, monkeypatch):
+    """Each part lies in the next, and a fit begun on them ends where a fit from zero does."""
+    copies = toy.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("x0", F.col("x0") + F.col("copy") / 100)
+    plain = O.fit_ordered_logit(copies, SPEC, "y", classes=CLASSES).model
+    design = O.build_design(copies, SPEC, "y", CLASSES, key="copy", packed=True)
+    monkeypatch.setattr(O, "START_LEAST", 100)
+    monkeypatch.setattr(O, "START_ROWS", 700)
+    monkeypatch.setattr(O, "START_GROWTH", 1.4)
+    parts = O.start_designs(design, O.class_counts(design, 6, [None])[0])
+    sizes = [sum(found) for _, _, found in parts]
+    assert len(parts) == 2 and 500 < sizes[0] < sizes[1] < 1300
+    inside = parts[0][0].table.select("numbers", "levels", "code").subtract(parts[1][0].table.select("numbers", "levels", "code"))
+    assert inside.count() == 0
+    begun = O.fit_ordered_logit(copies, SPEC, "y", classes=CLASSES).model
+    assert np.allclose(begun.beta + begun.cuts, plain.beta + plain.cuts, atol=1e-7)
