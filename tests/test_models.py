@@ -474,3 +474,16 @@ def test_parts_of_a_large_table_grow(toy, monkeypatch):
     assert inside.count() == 0
     begun = O.fit_ordered_logit(copies, SPEC, "y", classes=CLASSES).model
     assert np.allclose(begun.beta + begun.cuts, plain.beta + plain.cuts, atol=1e-7)
+
+
+def test_a_known_spread_is_not_measured_again(toy):
+    """The cells are the same, and no job runs where the spread is given."""
+    spread = V.spreads(toy, SPEC)
+    tracker, group = toy.sparkSession.sparkContext.statusTracker(), "known-spread"
+    toy.sparkSession.sparkContext.setJobGroup(group, group)
+    known = V.noisy_cells(toy, SPEC, "k", F.lit(0.2), spread=spread)
+    assert not tracker.getJobIdsForGroup(group)
+    fresh = V.noisy_cells(toy, SPEC, "k", F.lit(0.2))
+    assert tracker.getJobIdsForGroup(group)
+    gap = toy.agg(*[F.max(F.abs(known[c] - fresh[c])).alias(c) for c in NAMES]).first()
+    assert max(gap) == 0
