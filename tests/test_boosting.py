@@ -273,3 +273,49 @@ def test_sums_reach_the_driver_once_a_model_where_they_are_large(spark, toy, mon
     monkeypatch.setattr(B, "DIRECT_BYTES", 0)
     assert grown() == direct
     assert all(rows == models for rows, models in sent)
+
+
+def test_models_that_fit_a_task_grow_there_without_passes(toy, monkeypatch):
+    """Each round cost a pass a level, and each pass carried the sums of all bins of all models."""
+    folded, columns = V.with_folds(toy, "k", "y", k=3, repeats=1)
+    options = B.Options(rounds=12, leaves=6, min_rows=5, row_share=0.8, column_share=0.7, patience=3)
+
+    def grown():
+        series, _, _ = B.open_series(
+            folded, SPEC, "y", "k", [families.softmax_problem(range(4))], [options],
+            classes=(1, 2, 3, 4), masks=[(0, 0), (0, 1), None], folds=columns,
+        )
+        series.advance(5)
+        series.advance()
+        return series.passes, [series.model(i) for i in range(3)]
+
+    monkeypatch.setattr(B, "LEAST_ROUNDS", 1)
+    passes, alone = grown()
+    assert passes == 0
+    monkeypatch.setattr(B, "TASK_BYTES", 0)
+    passes, shared = grown()
+    assert passes > 12
+    for a, b in zip(alone, shared):
+        assert len(a.rounds) == len(b.rounds) and np.allclose(a.trail, b.trail)
+        for x, y in zip((t for r in a.rounds for t in r), (t for r in b.rounds for t in r)):
+            assert (x.feature, x.bin, x.left) == (y.feature, y.bin, y.left) and np.allclose(x.value, y.value)
+
+
+def test_columns_of_few_bins_share_a_byte_and_equal_ones_a_sum():
+    draw = np.random.default_rng(5)
+    sizes = np.array([3, 200, 4, 3, 200, 7, 3, 256])
+    codes = np.stack([draw.integers(0, s, 3000) for s in sizes], 1).astype(np.uint8)
+    codes[:, 4] = codes[:, 1]
+    layout = B.HistogramLayout(sizes, np.zeros(8, bool))
+    cells = B.Cells(codes, layout)
+    assert sorted(j for g in layout.groups for j in g) == list(range(8)) and len(layout.groups) == 5
+    assert len(set(cells.first)) == 4
+    columns, rows = np.array([0, 1, 3, 4, 5, 7]), np.flatnonzero(draw.random(3000) < 0.6)
+    slot, g, h = draw.integers(0, 2, len(rows)), draw.normal(size=len(rows)), draw.random(len(rows))
+    found = cells.sums(columns, rows, slot * 256, 2, [g + 1j * h])[0]
+    starts = layout.part(columns)[1]
+    for j, a in zip(columns, starts):
+        for node in range(2):
+            at = codes[rows, j][slot == node]
+            for q, x in enumerate((g, h, np.ones(len(rows)))):
+                assert np.allclose(found[node, q, a : a + sizes[j]], np.bincount(at, x[slot == node], sizes[j]))
