@@ -487,3 +487,46 @@ def test_a_known_spread_is_not_measured_again(toy):
     assert tracker.getJobIdsForGroup(group)
     gap = toy.agg(*[F.max(F.abs(known[c] - fresh[c])).alias(c) for c in NAMES]).first()
     assert max(gap) == 0
+
+
+def test_a_fold_whose_own_step_overshoots_is_not_asked_again_for_the_same_hessian():
+    """A fold that started with a lent Hessian asked for its own at one point again and again, and never moved."""
+    draw = np.random.default_rng(2)
+    x = np.column_stack([draw.normal(size=400), np.ones(400)])
+    code, w = (x[:, 0] + 0.3 * draw.normal(size=400) > 0).astype(int), np.ones(400)
+    ridge, far = np.array([[1e-3, 0.0]] * 2), np.array([[3.0, 0.0], [-3.0, 0.0]])
+    path = S._Path(ridge, far, np.eye(2), lent=True)
+    path.bend(S._sums(np.zeros((2, 2)), x, code, w, True)[2])
+    for _ in range(150):
+        if path.probe:
+            path.take(S._losses(path.at, path.step, x, code, w))
+            continue
+        value, g, h = S._sums(path.trial(), x, code, w, path.ask)
+        path.take(np.concatenate([[value], g.ravel(), h[np.triu_indices(4)] if path.ask else []]))
+        if path.norm < 1e-6:
+            break
+    assert path.norm < 1e-6
+
+
+def test_stack_grows_its_boosted_bases_in_one_series_and_blends_as_spark_does(toy, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+
+    series, blended = [], []
+    boosted, softmax = families.fit_boosted, families.softmax.fit_softmax
+    monkeypatch.setattr(families, "fit_boosted", lambda *a, **o: series.append(o["masks"]) or boosted(*a, **o))
+    monkeypatch.setattr(families.softmax, "fit_softmax", lambda df, *a, **o: blended.append(df) or softmax(df, *a, **o))
+    small = {"rounds": 3, "patience": None}
+    model = families.fit_stacked(
+        toy, SPEC, "y", "k", classes=CLASSES,
+        params={"folds": 2, "bases": ("xgboost", "lightgbm"), "xgboost": small, "lightgbm": small},
+    )
+    assert series == [[(0, 0), (0, 1), None]] and len(model.bases) == 2
+    out = model.score(toy).agg(F.count("*"), F.max(F.abs(array_sum(F.col("proba")) - 1))).first()
+    assert out[0] == toy.count() and out[1] < 1e-9
+    names = list(model.blend.model.names)
+    place = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("severity")) - 1
+    rows = blended[0].select(place.cast("double").alias("label"), families.array_to_vector(F.array(*names)).alias("features"))
+    other = LogisticRegression(
+        family="multinomial", standardization=False, regParam=1.0 / rows.count(), maxIter=5000, tol=1e-12
+    ).fit(rows)
+    assert np.allclose(model.blend.model.weights, other.coefficientMatrix.toArray(), atol=2e-3)
