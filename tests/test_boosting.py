@@ -319,3 +319,15 @@ def test_columns_of_few_bins_share_a_byte_and_equal_ones_a_sum():
             at = codes[rows, j][slot == node]
             for q, x in enumerate((g, h, np.ones(len(rows)))):
                 assert np.allclose(found[node, q, a : a + sizes[j]], np.bincount(at, x[slot == node], sizes[j]))
+
+
+def test_passes_read_blocks_of_rows(toy, monkeypatch):
+    """Passes read a row of bytes a table row, which cost more than their sums."""
+    monkeypatch.setattr(B, "BLOCK_BYTES", 2000)
+    series, _, table = B.open_series(
+        toy, SPEC, "y", "k", [families.softmax_problem(range(4))], [PLAIN], classes=(1, 2, 3, 4)
+    )
+    series.advance()
+    cells = series.blocks.select(F.length("code").alias("n"), F.length("codes").alias("m")).collect()
+    assert table.count() == 500 == sum(r.n for r in cells) // 4 and 500 * 5 == sum(r.m for r in cells)
+    assert 8 < len(cells) < 60 and len(series.model(0).rounds) == 4
